@@ -15,7 +15,8 @@ from tidings.functions.labels import label_from_score
 from tidings.functions.links import dedup_key
 from tidings.functions.times import parse_iso
 from tidings.operators import quality, sightings
-from tidings.session import configure
+from tidings.session import configure, shared_folder, spread
+from tidings.sources import files, history
 from tidings.sources.feeds import FEED
 
 # configured topics: three that occur, out of order, and one that does not
@@ -57,7 +58,7 @@ LINK = """CASE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,15 +98,39 @@ def typed_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sightings.normalize(raw_records(spark, sf_dir))
 
 
-def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fresh_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headlines table worked out from the events."""
     return sightings.collapse(typed_sightings(spark, sf_dir))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def stored_history(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the history tables of `sf_dir`, written on first use in a session. Analytics
+    read the stored history, as they would in production."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES or not files.exists(spark, _STORES[key]):
+        folder = shared_folder(spark, "history")
+        tables = {"headlines": fresh_headlines(spark, sf_dir), "sentiment": fresh_sentiment(spark, sf_dir)}
+        history.export_history(tables, folder)
+        _STORES[key] = folder
+    return _STORES[key]
+
+
+def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.load_history(spark, stored_history(spark, sf_dir))["headlines"]
+
+
+def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.load_history(spark, stored_history(spark, sf_dir))["sentiment"]
+
+
 def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.good_headlines(headlines(spark, sf_dir))
 
 
-def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fresh_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of two models per story; the second model has seen only stories filed under
     `purchase` at least once."""
     story = (

@@ -111,7 +111,7 @@ def raw_merge(spark, sf):
 def _stored(spark, sf) -> jobs.Paths:
     paths = jobs.Paths(shared_folder(spark, "catalog"))
     history.export_history(
-        {"headlines": A.headlines(spark, sf), "sentiment": A.sentiment(spark, sf)}, paths.history
+        {"headlines": A.fresh_headlines(spark, sf), "sentiment": A.fresh_sentiment(spark, sf)}, paths.history
     )
     return paths
 
@@ -376,13 +376,15 @@ def load_summary(spark, sf):
 
 @query(sql(f"SELECT {HEAD} FROM head", "head"))
 def batch_collapse(spark, sf):
-    return plain(A.headlines(spark, sf))
+    return plain(A.fresh_headlines(spark, sf))
 
 
 @query(sql("""SELECT topic, headline_id, title, source, link, CAST(published_at AS VARCHAR) AS published_at, place FROM edition""",
            "edition"))
 def edition_top_k(spark, sf):
-    return plain(editions.edition(A.good(spark, sf)).withColumn("place", F.col("place").cast("long")))
+    """The whole way from events: keys, collapse, quality filter, newest headlines per topic."""
+    good = quality.good_headlines(A.fresh_headlines(spark, sf))
+    return plain(editions.edition(good).withColumn("place", F.col("place").cast("long")))
 
 
 @query(sql("""SELECT CAST(run_date AS VARCHAR) AS run_date, topic, headline_id, ord,

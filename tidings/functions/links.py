@@ -15,19 +15,23 @@ TRACKING_NAMES = ("oc", "gclid", "fbclid", "mc_cid", "mc_eid", "cmpid", "ref", "
 # authority, path, query
 _HTTP_LINK = r"(?s)^(?i:https?)://([^/?#]+)([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
 _STRAY_PERCENT = "%(?![0-9A-Fa-f]{2})"
+_PLAIN = "^[A-Za-z0-9_.~-]*\\z"
 
 
 def _decode(text: Column) -> Column:
-    """Form decoding that leaves a percent sign without two hex digits as it is."""
+    """Form decoding that leaves a percent sign without two hex digits as it is. Most text has
+    nothing to decode and is passed through."""
     fixed = F.regexp_replace(text, _STRAY_PERCENT, "%25")
-    return F.coalesce(F.try_url_decode(fixed), text)
+    coded = F.contains(text, F.lit("%")) | F.contains(text, F.lit("+"))
+    return F.when(coded, F.coalesce(F.try_url_decode(fixed), text)).otherwise(text)
 
 
 def _encode(text: Column) -> Column:
     """Form encoding where the tilde is plain and the asterisk is escaped."""
-    return F.replace(
+    coded = F.replace(
         F.replace(F.url_encode(text), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A")
     )
+    return F.when(F.rlike(text, F.lit(_PLAIN)), text).otherwise(coded)
 
 
 def _query_pair(piece: Column) -> Column:
@@ -45,7 +49,7 @@ def _canonical_query(query: Column) -> Column:
     pieces = F.filter(F.split(query, "&"), lambda p: p != "")
     pairs = F.filter(F.transform(pieces, _query_pair), lambda p: ~_is_tracking(p))
     encoded = F.transform(
-        F.array_sort(pairs),
+        F.sort_array(pairs),
         lambda p: F.concat(_encode(p["key"]), F.lit("="), _encode(p["value"])),
     )
     return F.array_join(encoded, "&")
@@ -62,11 +66,12 @@ def normalize_link(link: Column) -> Column:
 
 
 def _assemble(authority: Column, path: Column, query: Column) -> Column:
-    host = F.regexp_replace(F.lower(authority), r"^www\.", "")
+    lower = F.lower(authority)
+    host = F.when(F.startswith(lower, F.lit("www.")), F.substr(lower, F.lit(5))).otherwise(lower)
     bare_path = F.rtrim(path, F.lit("/"))
     pieces = F.array(
         F.concat(F.lit("https://"), host, F.when(bare_path == "", "/").otherwise(bare_path)),
-        F.when(query != "", F.nullif(_canonical_query(query), F.lit(""))),
+        F.when(query != "", let(_canonical_query(query), lambda q: F.when(q != "", q))),
     )
     return F.array_join(pieces, "?")
 
@@ -77,4 +82,6 @@ def dedup_key(link: Column, title: Column, source: Column) -> Column:
     by_text = F.concat(
         F.lit("title:"), normalize_text(title), F.lit("|source:"), normalize_text(source)
     )
-    return F.substr(F.sha2(F.coalesce(by_link, by_text), 256), F.lit(1), F.lit(16))
+    key = F.substr(F.sha2(F.coalesce(by_link, by_text), 256), F.lit(1), F.lit(16))
+    # never null, and said so: otherwise joins on the key add a null check that computes it twice
+    return F.coalesce(key, F.lit(""))
