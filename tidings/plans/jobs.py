@@ -18,7 +18,7 @@ from tidings.functions.times import edition_day, on_utc_day
 from tidings.operators import agreement, quality, scoring, sightings
 from tidings.operators.dimensions import missing_dates
 from tidings.plans import reports
-from tidings.session import cut_lineage
+from tidings.session import scratch
 from tidings.sources import documents, feeds, history, raw
 
 
@@ -122,11 +122,12 @@ def score_history(
     scored = {}
     for name, scorer in scorers.items():
         stories = scoring.pending(good, tables["sentiment"], name)
-        # a model may be slow, so its answers are stored once before they are counted and written
-        rows = cut_lineage(scoring.score_stories(stories, name, scorer, now))
-        scored[name] = rows.count()
-        if scored[name]:
-            history.append_sentiment(spark, paths.history, rows)
+        with scratch(spark) as store:
+            # a model may be slow: its answers are stored once, then counted and appended
+            rows = store(scoring.score_stories(stories, name, scorer, now))
+            scored[name] = rows.count()
+            if scored[name]:
+                history.append_sentiment(spark, paths.history, rows)
     return scored
 
 
@@ -190,9 +191,10 @@ def run_backfill(
     ]
     missing = [str(r["run_date"]) for r in missing_dates(landed, today, days).collect()]
     dropped = drops.agg(F.coalesce(F.sum("low_quality"), F.lit(0)).alias("n")).first()["n"]
-    parsed = cut_lineage(records)
-    written = raw.write_partitions(spark, paths.raw, parsed).groupBy("date").agg(F.sum("n").alias("n"))
-    fetched = {r["date"]: r["n"] for r in written.collect()}
+    with scratch(spark) as store:
+        written = raw.write_partitions(spark, paths.raw, store(records))
+    per_day = written.groupBy("date").agg(F.sum("n").alias("n"))
+    fetched = {r["date"]: r["n"] for r in per_day.collect()}
     run = {
         "run_date": covered[-1], "mode": "backfill", "failed_topics": [],
         "filtered_low_quality": dropped, "requests": 0,
@@ -214,10 +216,12 @@ def compare(
     """Agreement of two models over the stored history, written as a document and returned."""
     tables = history.load_history(spark, paths.history)
     good = quality.good_headlines(tables["headlines"])
-    pairs = cut_lineage(agreement.paired_scores(good, tables["sentiment"], model_a, model_b))
-    report = reports.agreement_report(
-        good, tables["sentiment"], model_a, model_b, topics=topics, generated_at=generated_at, pairs=pairs
-    )
-    documents.write_document(report, paths.report("agreement"))
-    return report
+    with scratch(spark) as store:
+        pairs = store(agreement.paired_scores(good, tables["sentiment"], model_a, model_b))
+        report = reports.agreement_report(
+            good, tables["sentiment"], model_a, model_b, topics=topics, generated_at=generated_at, pairs=pairs
+        )
+        documents.write_document(report, paths.report("agreement"))
+        schema = report.schema
+    return documents.read_document(spark, paths.report("agreement"), schema)
 

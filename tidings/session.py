@@ -1,12 +1,17 @@
-"""Session settings the operators rely on, and the shared folder for cut lineage."""
+"""Session settings the operators rely on, and tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidings.sources.files import remove
+
 # Skewed joins are split and small shuffles are merged at run time. Static settings such as
 # memory and executor counts belong to the cluster and are left alone.
 SESSION_CONF = {
@@ -40,14 +45,25 @@ def shared_folder(spark: SparkSession, name: str = "work") -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of `df` in the shared folder, for a job that reads a table and then
-    overwrites it. The stored copy survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """`with scratch(spark) as store:` - `store(df)` writes `df` to the shared folder and returns
+    the written table.
+
+    For a job that overwrites what it has read, or reads a costly result several times. The
+    table is computed once, survives the loss of executors and goes away with the block."""
+    folder = shared_folder(spark, "scratch")
+    numbers = count()
+
+    def store(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(numbers)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield store
+    finally:
+        remove(spark, folder)
 
 
 def spread(df: DataFrame) -> DataFrame:

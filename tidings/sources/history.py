@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators.sightings import KEY, upsert
 from tidings.schemas import HEADLINES, SENTIMENT
-from tidings.session import cut_lineage
+from tidings.session import scratch
 from tidings.sources.files import exists, remove
 
 TABLES = {"headlines": HEADLINES, "sentiment": SENTIMENT}
@@ -112,16 +112,17 @@ def upsert_months(spark: SparkSession, history_dir: str, batch: DataFrame) -> se
     sighting can move a row to an earlier month; both months are rewritten, and a month that
     lost its last row is removed."""
     stored = read_table(spark, history_dir, "headlines")
-    batch = cut_lineage(batch)  # read four times below
-    touched = _months(stored.select(*KEY, "month").join(batch.select(*KEY), KEY, "left_semi"))
-    touched |= _months(batch.withColumn("month", month_column("headlines")))
-    if not touched:
-        return set()
-    before = stored.filter(F.col("month").isin(*sorted(touched)))
-    # the months read here are overwritten next
-    merged = cut_lineage(upsert(before, batch))
-    _write(merged, history_dir, "headlines", "dynamic")
-    written = _months(merged.withColumn("month", month_column("headlines")))
+    with scratch(spark) as store:
+        batch = store(batch.withColumn("month", month_column("headlines")))
+        touched = _months(stored.select(*KEY, "month").join(batch.select(*KEY), KEY, "left_semi"))
+        touched |= _months(batch)
+        if not touched:
+            return set()
+        before = stored.filter(F.col("month").isin(*sorted(touched)))
+        # the months read here are overwritten next
+        merged = store(upsert(before, batch).withColumn("month", month_column("headlines")))
+        written = _months(merged)
+        _write(merged, history_dir, "headlines", "dynamic")
     for month in touched - written:
         remove(spark, f"{_folder(history_dir, 'headlines')}/month={month}")
     return touched

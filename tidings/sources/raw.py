@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidings.functions.links import dedup_key
 from tidings.functions.text import slug
 from tidings.schemas import RAW_RECORD
-from tidings.session import cut_lineage
+from tidings.session import scratch
 from tidings.sources.files import exists
 
 PARTITIONS = ["date", "topic_slug"]
@@ -104,18 +104,27 @@ def write_partitions(spark: SparkSession, raw_dir: str, records: DataFrame) -> D
     nothing. Inside a folder rows go from the latest to the earliest publication; the range
     partitioning lets a crowded topic fill several files in that order."""
     touched = records.select("date", slug(F.col("topic")).alias("topic_slug")).distinct()
-    dates = [row["date"] for row in touched.select("date").distinct().collect()]
-    stored = read_partition(spark, raw_dir, dates).join(touched, PARTITIONS, "left_semi")
-    # the folders read above are overwritten below
-    merged = cut_lineage(merge_records(stored, records))
+    # one row per folder to rewrite
+    folders = [tuple(row) for row in touched.collect()]
+    if not folders:
+        return records.sparkSession.createDataFrame([], "date string, topic string, n bigint")
+    touched = spark.createDataFrame(folders, "date string, topic_slug string")
+
+    def current() -> DataFrame:
+        rows = read_partition(spark, raw_dir, sorted({date_ for date_, _ in folders}))
+        return rows.join(touched, PARTITIONS, "left_semi")
+
     latest_first = [F.coalesce("published_at", F.lit("")).desc(), F.desc("key")]
-    (
-        merged.repartitionByRange(*PARTITIONS, *latest_first)
-        .sortWithinPartitions(*PARTITIONS, *latest_first)
-        .drop("key")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .json(raw_dir)
-    )
-    return merged.groupBy("date", "topic").agg(F.count("*").alias("n"))
+    with scratch(spark) as store:
+        # the folders read here are overwritten below
+        merged = store(merge_records(current(), records))
+        (
+            merged.repartitionByRange(*PARTITIONS, *latest_first)
+            .sortWithinPartitions(*PARTITIONS, *latest_first)
+            .drop("key")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITIONS)
+            .json(raw_dir)
+        )
+    return current().groupBy("date", "topic").agg(F.count("*").alias("n"))
