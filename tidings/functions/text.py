@@ -29,9 +29,12 @@ def strip(text: Column) -> Column:
 
 
 def casefold(text: Column) -> Column:
-    """Caseless comparison form: sharp s and ligatures expand, both sigmas are one letter."""
-    folded = F.lower(F.upper(F.translate(text, f"{_DOTLESS}ẞ", f"{_STAND_IN}ß")))
-    return F.translate(folded, f"ς{_STAND_IN}", f"σ{_DOTLESS}")
+    """Caseless comparison form: sharp s and ligatures expand, both sigmas are one letter.
+
+    The middle step also keeps the two case functions apart: Spark simplifies lower(upper(x)) to
+    lower(x), which is not the same."""
+    upper = F.upper(F.translate(text, f"{_DOTLESS}ẞ", f"{_STAND_IN}ß"))
+    return F.translate(F.lower(F.translate(upper, _STAND_IN, _DOTLESS)), "ς", "σ")
 
 
 def normalize_text(text: Column) -> Column:
