@@ -106,11 +106,11 @@ def fresh_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORES: dict[tuple[str, str], str] = {}
 
 
-def stored_history(spark: SparkSession, sf_dir: str) -> str:
+def stored_history(spark: SparkSession, sf_dir: str, renew: bool = False) -> str:
     """Folder with the history tables of `sf_dir`, written on first use in a session. Analytics
     read the stored history, as they would in production."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES or not files.exists(spark, _STORES[key]):
+    if renew or key not in _STORES or not files.exists(spark, _STORES[key]):
         folder = shared_folder(spark, "history")
         tables = {"headlines": fresh_headlines(spark, sf_dir), "sentiment": fresh_sentiment(spark, sf_dir)}
         history.export_history(tables, folder)

@@ -32,16 +32,20 @@ def flagged_stories(headlines: DataFrame, rules=RULES) -> DataFrame:
     )
 
 
-def good_headlines(headlines: DataFrame, rules=RULES) -> DataFrame:
+def good_headlines(headlines: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """Headlines without flagged stories. Spark broadcasts the flagged ids when it measures
-    them as small and meets on the id otherwise."""
-    return headlines.join(
-        flagged_stories(headlines, rules).select("headline_id"), "headline_id", "left_anti"
-    ).select(*headlines.columns)
+    them as small and meets on the id otherwise.
+
+    `flagged` takes a stored result of `flagged_stories`. Several reports can then share the
+    pattern matching, and each still reads only the columns and days it needs."""
+    ids = flagged_stories(headlines) if flagged is None else flagged
+    return headlines.join(ids.select("headline_id"), "headline_id", "left_anti").select(
+        *headlines.columns
+    )
 
 
-def hidden_rows(headlines: DataFrame, rules=RULES) -> DataFrame:
+def hidden_rows(headlines: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """One row: how many (story, topic) rows the filter hides."""
-    return headlines.select("headline_id").join(
-        flagged_stories(headlines, rules).select("headline_id"), "headline_id", "left_semi"
-    ).agg(F.count("*").alias("excluded_low_quality"))
+    ids = flagged_stories(headlines) if flagged is None else flagged
+    hidden = headlines.select("headline_id").join(ids.select("headline_id"), "headline_id", "left_semi")
+    return hidden.agg(F.count("*").alias("excluded_low_quality"))

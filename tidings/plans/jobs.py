@@ -7,15 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.config import BACKFILL_TAG, DEFAULT_MODELS, MAX_PER_TOPIC, TOPICS
+from tidings.config import BACKFILL_TAG, DEFAULT_MODELS, MAX_PER_TOPIC, TOPICS, TREND_DAYS
 from tidings.functions.quality import is_low_quality
 from tidings.functions.times import edition_day, on_utc_day
-from tidings.operators import agreement, quality, scoring, sightings
+from tidings.operators import activity, quality, scoring, sightings
 from tidings.operators.dimensions import missing_dates
 from tidings.plans import reports
 from tidings.session import scratch
@@ -67,28 +67,37 @@ def write_reports(
     limit: int = MAX_PER_TOPIC, generated_at=None,
 ) -> None:
     """latest, trends and status documents from the stored history."""
-    tables = history.load_history(spark, paths.history)
-    headlines, sentiment = tables["headlines"], tables["sentiment"]
-    # every report reads the good rows; persisted rows are recomputed when an executor is lost
-    good = quality.good_headlines(headlines).persist()
-    try:
+    headlines = history.read_table(spark, paths.history, "headlines")
+    sentiment = history.read_table(spark, paths.history, "sentiment")
+    with scratch(spark) as store:
+        # the ids of flagged stories are shared; the headlines are read by each report anew, since
+        # each wants other columns and days
+        flagged = store(quality.flagged_stories(headlines))
+        good = quality.good_headlines(headlines, flagged)
+        latest = activity.latest_run_date(good).first()["run_date"]
         documents.write_document(
-            reports.latest_report(good, sentiment, topics=topics, limit=limit, generated_at=generated_at),
+            reports.latest_report(
+                good, sentiment, run_date=latest, topics=topics, limit=limit, generated_at=generated_at
+            ),
             paths.report("latest"),
         )
+        recent = good
+        if latest is not None:
+            # only the months of the window are listed and read
+            recent = history.within(good, latest - timedelta(days=TREND_DAYS - 1), latest)
         documents.write_document(
-            reports.trends_report(good, sentiment, topics=topics, generated_at=generated_at),
+            reports.trends_report(
+                recent, sentiment, end_date=latest, topics=topics, generated_at=generated_at
+            ),
             paths.report("trends"),
         )
         documents.write_document(
             reports.status_report(
-                headlines, sentiment, run=run, topics=topics, limit=limit, good=good,
+                headlines, sentiment, run=run, topics=topics, limit=limit, flagged=flagged,
                 parquet_files=history.count_files(spark, paths.history), generated_at=generated_at,
             ),
             paths.report("status"),
         )
-    finally:
-        good.unpersist()
 
 
 def load_records(
@@ -119,9 +128,13 @@ def score_history(
     """Score every good story a model has not scored; returns new scores per model."""
     tables = history.load_history(spark, paths.history)
     good = quality.good_headlines(tables["headlines"])
+    lanes = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
     scored = {}
     for name, scorer in scorers.items():
-        stories = scoring.pending(good, tables["sentiment"], name)
+        # few bytes but much work per row: Spark would merge small partitions, a fixed number stays
+        stories = scoring.pending(good, tables["sentiment"], name).repartition(lanes)
         with scratch(spark) as store:
             # a model may be slow: its answers are stored once, then counted and appended
             rows = store(scoring.score_stories(stories, name, scorer, now))
@@ -217,7 +230,7 @@ def compare(
     tables = history.load_history(spark, paths.history)
     good = quality.good_headlines(tables["headlines"])
     with scratch(spark) as store:
-        pairs = store(agreement.paired_scores(good, tables["sentiment"], model_a, model_b))
+        pairs = store(reports.report_pairs(good, tables["sentiment"], model_a, model_b))
         report = reports.agreement_report(
             good, tables["sentiment"], model_a, model_b, topics=topics, generated_at=generated_at, pairs=pairs
         )

@@ -204,14 +204,19 @@ def agreement_numbers(stories: DataFrame) -> DataFrame:
     return numbers.select("*", agreement.score_correlation(stories).scalar().alias("score_correlation"))
 
 
+def report_pairs(good: DataFrame, sentiment: DataFrame, model_a: str, model_b: str) -> DataFrame:
+    """`paired_scores` without the texts, which no number of the report needs."""
+    return agreement.paired_scores(good, sentiment, model_a, model_b).drop("title", "source", "link")
+
+
 def agreement_report(
     good: DataFrame, sentiment: DataFrame, model_a: str = "vader", model_b: str = "finbert", *,
     topics=TOPICS, generated_at=None, max_score_pairs: int = SCORE_PAIRS,
     max_disagreements: int = DISAGREEMENTS, pairs: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: agreement of two models over the whole history. `pairs` takes the result of
-    `paired_scores` when the caller has stored it; the parts below read it several times."""
-    paired = agreement.paired_scores(good, sentiment, model_a, model_b) if pairs is None else pairs
+    """One row: agreement of two models over the whole history. `pairs` takes a stored result of
+    `report_pairs`; the parts below read it several times."""
+    paired = report_pairs(good, sentiment, model_a, model_b) if pairs is None else pairs
     stories = agreement.one_row_per_story(paired, topics)
     cells = agreement.label_cells(stories)
 
@@ -228,7 +233,10 @@ def agreement_report(
             )
         ).alias("labels")
     )
-    differing = agreement.disagreements(stories, max_disagreements).select(
+    # texts are looked up for the listed stories only
+    texts = good.select("headline_id", "topic", "title", "source", "link")
+    listed = agreement.disagreements(stories, max_disagreements)
+    differing = listed.join(texts, ["headline_id", "topic"]).select(
         (-F.unix_date("last_run_date")).alias("age"),
         (-F.abs(F.col("score_b") - F.col("score_a"))).alias("closeness"),
         F.col("headline_id").alias("id"), "topic", "title",
@@ -299,11 +307,10 @@ def topic_sizes(good: DataFrame, run_date=None, topics=TOPICS, limit: int = MAX_
     )
 
 
-def history_numbers(headlines: DataFrame, sentiment: DataFrame, good: DataFrame | None = None) -> DataFrame:
+def history_numbers(headlines: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """One row: headlines, excluded_low_quality, first_run_date, last_run_date, run_days."""
-    kept = quality.good_headlines(headlines) if good is None else good
-    hidden = quality.hidden_rows(headlines)
-    return activity.history_overview(kept).select(
+    hidden = quality.hidden_rows(headlines, flagged)
+    return activity.history_overview(quality.good_headlines(headlines, flagged)).select(
         "headlines", hidden.scalar().alias("excluded_low_quality"),
         "first_run_date", "last_run_date", "run_days",
     )
@@ -354,15 +361,15 @@ def run_block(run: dict | None) -> Column:
 def status_report(
     headlines: DataFrame, sentiment: DataFrame, *, run: dict | None = None, topics=TOPICS,
     limit: int = MAX_PER_TOPIC, trend_days: int = TREND_DAYS, parquet_files: int = 0,
-    generated_at=None, good: DataFrame | None = None,
+    generated_at=None, flagged: DataFrame | None = None,
 ) -> DataFrame:
     """One row: the run, the size of the history, and counts per topic, run date and source."""
-    kept = quality.good_headlines(headlines) if good is None else good
+    kept = quality.good_headlines(headlines, flagged)
     scored = activity.sentiment_counts(kept, sentiment)
     head = _one_row(
         headlines,
         generated_at=_stamp(generated_at),
-        _h=history_numbers(headlines, sentiment, kept).select(F.struct("*")).scalar(),
+        _h=history_numbers(headlines, flagged).select(F.struct("*")).scalar(),
         _scored=_sorted_list(scored, ["model"], ["model", "n"]),
         topics=_sorted_list(
             topic_sizes(kept, None, topics, limit).withColumnRenamed("topic", "label"),
