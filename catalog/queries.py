@@ -446,7 +446,8 @@ def link_normalize(spark, sf):
     )
 
 
-_NORM = "trim(regexp_replace(lower({}), '[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'))"
+# sharp s expands in the caseless form
+_NORM = "trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'))"
 
 
 @query(sql(f"SELECT doc_id, {_NORM.format('text')} AS text FROM documents"))
