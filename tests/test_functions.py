@@ -208,3 +208,28 @@ def test_labels_from_probabilities(spark):
 def test_primary_model(spark):
     rows = [(["vader", "finbert"],), (["vader", "aa"],), (["zz", "bb"],), ([],)]
     assert evaluate(spark, labels.primary_model(F.col("m")), rows, "m array<string>") == ["finbert", "vader", "bb", None]
+
+
+def test_the_cheap_tests_before_the_rules_change_no_result(spark):
+    titles = [t or "" for t, _ in DROPPED] + KEPT + [r.example for r in quality.RULES]
+    titles += [t.upper() for t in titles] + [t.lower() for t in titles]
+    titles += [t.replace("i", "ı").replace("k", "K").replace("s", "ſ") for t in titles]
+    rows = [(t,) for t in titles]
+    stripped = text.strip(F.col("t"))
+    plain = F.when(stripped == "", F.lit("empty"))
+    for rule in quality.RULES:
+        plain = plain.when(rule.matches(stripped), F.lit(rule.name))
+    want = evaluate(spark, plain, rows, "t string")
+    assert evaluate(spark, quality.low_quality_reason(F.col("t")), rows, "t string") == want
+    assert len({w for w in want if w}) == 5
+
+
+def test_short_ways_through_links_and_texts_change_no_result(spark):
+    queries = ["id=1&utm_a=2", "utm_a=2&id=1&ref=3", "utm_a", "utm_a&oc=&b=", "b", "b=1&a=2", "ref=1&&x=y", "refx=1", "xref=1&oc=2",
+               "%75tm_a=1&b=2", "a=b=c", "a=x+y", "UTM_A=1&A=~-_.", "=v", "&", "oc=1&oc=2&id=3", "id=3&oc"]
+    rows = [(q,) for q in queries]
+    assert evaluate(spark, links._canonical_query(F.col("q")), rows, "q string") == evaluate(
+        spark, links._sorted_query(F.col("q")), rows, "q string")
+    words = ["a b", "A  B", " a", "a ", "a\tb", "ABC", "é É", "", "a", " ", "Straße X", None]
+    want = [" ".join((w or "").casefold().split()) for w in words]
+    assert evaluate(spark, text.normalize_text(F.col("t")), [(w,) for w in words], "t string") == want

@@ -14,6 +14,10 @@ TRACKING_NAMES = ("oc", "gclid", "fbclid", "mc_cid", "mc_eid", "cmpid", "ref", "
 
 # authority, path, query
 _HTTP_LINK = r"(?s)^(?i:https?)://([^/?#]+)([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
+_TRACKING_PIECE = (
+    rf"(?i)(?:^|&)(?:{TRACKING_PREFIX}[^=&]*|{'|'.join(TRACKING_NAMES)})(?:=[^&]*)?(?=&|\z)"
+)
+_ONE_PLAIN_PAIR = r"^(?:[A-Za-z0-9_.~-]*=[A-Za-z0-9_.~-]*)?\z"
 _STRAY_PERCENT = "%(?![0-9A-Fa-f]{2})"
 _PLAIN = "^[A-Za-z0-9_.~-]*\\z"
 
@@ -46,6 +50,20 @@ def _is_tracking(pair: Column) -> Column:
 
 
 def _canonical_query(query: Column) -> Column:
+    """Parameters without tracking, sorted and encoded.
+
+    Most links keep no parameter or a single plain one, and then taking the tracking pieces out
+    of the text is enough."""
+    rest = F.ltrim(F.regexp_replace(query, _TRACKING_PIECE, ""), F.lit("&"))
+
+    def choose(kept: Column) -> Column:
+        simple = ~F.contains(query, F.lit("%")) & F.rlike(kept, F.lit(_ONE_PLAIN_PAIR))
+        return F.when(simple, kept).otherwise(_sorted_query(query))
+
+    return let(rest, choose)
+
+
+def _sorted_query(query: Column) -> Column:
     pieces = F.filter(F.split(query, "&"), lambda p: p != "")
     pairs = F.filter(F.transform(pieces, _query_pair), lambda p: ~_is_tracking(p))
     encoded = F.transform(

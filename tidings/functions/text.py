@@ -17,6 +17,7 @@ _SPACE_RANGES = (
 )
 _SPACES = "".join(chr(c) for lo, hi in _SPACE_RANGES for c in range(ord(lo), ord(hi) + 1))
 _SPACE_RUN = "[" + "".join(f"{lo}-{hi}" for lo, hi in _SPACE_RANGES) + "]+"
+_PLAIN_LINE = r"^[!-~][ -~]*\z"
 
 # Dotless i has no other caseless form and would become a plain i through upper case; a private
 # character stands in for it on the way. Capital sharp s has to be written small first.
@@ -38,9 +39,13 @@ def casefold(text: Column) -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    """Caseless text with single spaces and no outer white space; null becomes empty."""
-    folded = casefold(F.coalesce(text, F.lit("")))
-    return F.trim(F.regexp_replace(folded, _SPACE_RUN, " "))
+    """Caseless text with single spaces and no outer white space; null becomes empty.
+
+    Plain ASCII words with single spaces, the common case, only need lower case."""
+    given = F.coalesce(text, F.lit(""))
+    spaced = F.contains(given, F.lit("  ")) | F.endswith(given, F.lit(" "))
+    full = F.trim(F.regexp_replace(casefold(given), _SPACE_RUN, " "))
+    return F.when(F.rlike(given, F.lit(_PLAIN_LINE)) & ~spaced, F.lower(given)).otherwise(full)
 
 
 def slug(label: Column) -> Column:
