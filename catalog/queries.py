@@ -235,10 +235,17 @@ def pending_sentiment(spark, sf):
     return scoring.pending(A.good(spark, sf), A.sentiment(spark, sf), MODEL_B)
 
 
+def _kept(frame: DataFrame) -> DataFrame:
+    """`frame` as a written table, for inputs that are tables in production and read repeatedly."""
+    folder = shared_folder(frame.sparkSession, "table")
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def _stored_and_batch(spark, sf):
     typed = A.typed_sightings(spark, sf)
     middle = F.col("run_date").between("2024-01-08", "2024-01-20")
-    return sightings.collapse(typed.filter(middle)), sightings.collapse(typed.filter(~middle))
+    return _kept(sightings.collapse(typed.filter(middle))), _kept(sightings.collapse(typed.filter(~middle)))
 
 
 @query(sql("""SELECT count(*) FILTER (WHERE s.topic IS NULL) AS inserted, count(s.topic) AS seen_again
@@ -684,8 +691,8 @@ def upsert_state(spark, sf):
 @query(sql(f"SELECT {HEAD} FROM head", "head"))
 def replay_is_idempotent(spark, sf):
     """Every sighting loaded a second time on top of itself."""
-    head = A.headlines(spark, sf)
-    return plain(sightings.upsert(head, sightings.collapse(A.typed_sightings(spark, sf))))
+    again = _kept(sightings.collapse(A.typed_sightings(spark, sf)))
+    return plain(sightings.upsert(A.headlines(spark, sf), again))
 
 
 @query(sql("""SELECT headline_id, topic, title, source, link, CAST(published_at AS VARCHAR) AS published_at,
@@ -740,8 +747,15 @@ def report_trends(spark, sf):
     return plain(_trend(spark, sf).drop("ord"))
 
 
+def _last_day(good: DataFrame):
+    """The latest run date as a value, so that scans filter on a literal."""
+    return activity.latest_run_date(good).first()["run_date"]
+
+
 def _trend(spark, sf) -> DataFrame:
-    return reports.trend_rows(reports.trend_series(A.good(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS))
+    good = A.good(spark, sf)
+    series = reports.trend_series(good, A.sentiment(spark, sf), end_date=_last_day(good), topics=A.TOPICS)
+    return reports.trend_rows(series)
 
 
 @query(sql("""SELECT count(*) AS n, round(100 * avg(CAST(label_a = label_b AS DOUBLE)), 2) AS percent_agreement,
@@ -755,9 +769,9 @@ def _trend(spark, sf) -> DataFrame:
   (SELECT count(*) FROM (SELECT topic FROM paired UNION SELECT topic FROM topics)) AS topics FROM stories""",
            "stories", "matrix", "topics"))
 def report_agreement(spark, sf):
-    report = reports.agreement_report(
-        A.good(spark, sf), A.sentiment(spark, sf), MODEL_A, MODEL_B, topics=A.TOPICS
-    )
+    good, scores = A.good(spark, sf), A.sentiment(spark, sf)
+    pairs = _kept(reports.report_pairs(good, scores, MODEL_A, MODEL_B))
+    report = reports.agreement_report(good, scores, MODEL_A, MODEL_B, topics=A.TOPICS, pairs=pairs)
     cells = F.transform(F.flatten("confusion_matrix.matrix"), lambda n: n.cast("string"))
     return report.select(
         "n", "percent_agreement", "cohens_kappa", "score_correlation", F.array_join(cells, ",").alias("matrix"),
@@ -800,7 +814,8 @@ def report_status(spark, sf):
 
 
 def _articles(spark, sf) -> DataFrame:
-    return reports.edition_articles(A.good(spark, sf), A.sentiment(spark, sf))
+    good = A.good(spark, sf)
+    return reports.edition_articles(good, A.sentiment(spark, sf), _last_day(good))
 
 
 @query(sql("""SELECT m.topic, m.model, round(m.avg, 4) AS avg, m.n, (SELECT count(*) FROM edition AS e WHERE e.topic = m.topic) AS "of",
