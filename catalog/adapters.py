@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.config import LABELS
 from tidings.functions.labels import label_from_score
 from tidings.functions.links import dedup_key
 from tidings.functions.times import parse_iso

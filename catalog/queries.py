@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from tidings.functions import labels, links, quality as quality_functions, text,
 from tidings.operators import activity, agreement, dimensions, editions, quality, scoring, sightings
 from tidings.plans import jobs, reports, views
 from tidings.session import shared_folder
-from tidings.sources import documents, feeds, history, raw
+from tidings.sources import feeds, history, raw
 from tidings.streaming import jobs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -815,7 +814,8 @@ def report_status(spark, sf):
 
 def _articles(spark, sf) -> DataFrame:
     good = A.good(spark, sf)
-    return reports.edition_articles(good, A.sentiment(spark, sf), _last_day(good))
+    rows = _kept(editions.edition(good, _last_day(good)))
+    return reports.edition_articles(good, A.sentiment(spark, sf), rows=rows)
 
 
 @query(sql("""SELECT m.topic, m.model, round(m.avg, 4) AS avg, m.n, (SELECT count(*) FROM edition AS e WHERE e.topic = m.topic) AS "of",

@@ -17,6 +17,7 @@ from tidings.functions.quality import is_low_quality
 from tidings.functions.times import edition_day, on_utc_day
 from tidings.operators import activity, quality, scoring, sightings
 from tidings.operators.dimensions import missing_dates
+from tidings.operators.editions import edition
 from tidings.plans import reports
 from tidings.session import scratch
 from tidings.sources import documents, feeds, history, raw
@@ -75,9 +76,12 @@ def write_reports(
         flagged = store(quality.flagged_stories(headlines))
         good = quality.good_headlines(headlines, flagged)
         latest = activity.latest_run_date(good).first()["run_date"]
+        # a stored edition has a known size, so the scores are looked up without moving them
+        shown = store(edition(good, latest if latest is not None else F.lit(None).cast("date"), limit))
         documents.write_document(
             reports.latest_report(
-                good, sentiment, run_date=latest, topics=topics, limit=limit, generated_at=generated_at
+                good, sentiment, run_date=latest, topics=topics, limit=limit,
+                generated_at=generated_at, rows=shown,
             ),
             paths.report("latest"),
         )
@@ -108,14 +112,15 @@ def load_records(
     missing, write tables and reports. Returns `run` with the counts filled in."""
     stored = history.load_history(spark, paths.history)
     run["history_before"] = stored["headlines"].count()
-    loaded = sightings.normalize(records)
-    counts = load_summary(stored["headlines"], loaded).first()
+    with scratch(spark) as store:
+        loaded = store(sightings.normalize(records))  # keys are worked out once, then counted and loaded
+        counts = load_summary(stored["headlines"], loaded).first()
+        history.upsert_months(spark, paths.history, sightings.rebuild(loaded))
     run.update(
         raw_records=counts["raw_records"], inserted=counts["inserted"],
         seen_again=counts["seen_again"],
         filtered_low_quality=run.get("filtered_low_quality", 0) + counts["flagged"],
     )
-    history.upsert_months(spark, paths.history, sightings.rebuild(loaded))
     run["scored"] = score_history(spark, paths, scorers, now)
     run["history_after"] = history.read_table(spark, paths.history, "headlines").count()
     write_reports(spark, paths, run=run, topics=topics, generated_at=now)
@@ -176,7 +181,8 @@ def backfill_records(
 
     A document of run date R gives the items published on the UTC day before R. Records carry
     the backfill tag and their partition in `date`."""
-    missing = missing_dates(landed, today, days)
+    # at most BACKFILL_MAX_DAYS rows
+    missing = F.broadcast(missing_dates(landed, today, days))
     wanted = documents_.join(missing, "run_date", "left_semi")
     records, drops = feeds.parse_feed(
         wanted,
@@ -204,8 +210,7 @@ def run_backfill(
     ]
     missing = [str(r["run_date"]) for r in missing_dates(landed, today, days).collect()]
     dropped = drops.agg(F.coalesce(F.sum("low_quality"), F.lit(0)).alias("n")).first()["n"]
-    with scratch(spark) as store:
-        written = raw.write_partitions(spark, paths.raw, store(records))
+    written = raw.write_partitions(spark, paths.raw, records)
     per_day = written.groupBy("date").agg(F.sum("n").alias("n"))
     fetched = {r["date"]: r["n"] for r in per_day.collect()}
     run = {

@@ -7,7 +7,6 @@ topic, a series is one entry per topic and day, samples have their own limits.
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,11 +61,13 @@ def _name_list(frame: DataFrame, column: str) -> Column:
 
 
 def edition_articles(
-    good: DataFrame, sentiment: DataFrame, run_date=None, limit: int = MAX_PER_TOPIC
+    good: DataFrame, sentiment: DataFrame, run_date=None, limit: int = MAX_PER_TOPIC,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """(topic, place, id, title, source, link, published, sentiment, scores): the edition with
-    every model's score; `sentiment` is the preferred model's one, null without any."""
-    rows = edition(good, run_date, limit)
+    every model's score; `sentiment` is the preferred model's one, null without any. `rows`
+    takes a stored result of `edition`."""
+    rows = edition(good, run_date, limit) if rows is None else rows
     scores = F.coalesce("scores", F.from_json(F.lit("{}"), "map<string,struct<label:string,score:double>>"))
     best = primary_model(F.map_keys("scores"))
     return (
@@ -90,10 +91,10 @@ def edition_articles(
 
 def latest_report(
     good: DataFrame, sentiment: DataFrame, *, run_date=None, topics=TOPICS,
-    limit: int = MAX_PER_TOPIC, generated_at=None,
+    limit: int = MAX_PER_TOPIC, generated_at=None, rows: DataFrame | None = None,
 ) -> DataFrame:
     """One row: the edition per configured topic, empty topics kept."""
-    articles = edition_articles(good, sentiment, run_date, limit)
+    articles = edition_articles(good, sentiment, run_date, limit, rows)
     dimension = topic_frame(good.sparkSession, topics)
     by_topic = (
         articles.join(dimension.select("topic"), "topic", "left_semi")

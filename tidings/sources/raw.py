@@ -103,28 +103,34 @@ def write_partitions(spark: SparkSession, raw_dir: str, records: DataFrame) -> D
     in the records are read and rewritten. Running it again with the same records changes
     nothing. Inside a folder rows go from the latest to the earliest publication; the range
     partitioning lets a crowded topic fill several files in that order."""
-    touched = records.select("date", slug(F.col("topic")).alias("topic_slug")).distinct()
-    # one row per folder to rewrite
-    folders = [tuple(row) for row in touched.collect()]
-    if not folders:
-        return records.sparkSession.createDataFrame([], "date string, topic string, n bigint")
-    touched = spark.createDataFrame(folders, "date string, topic_slug string")
-
-    def current() -> DataFrame:
-        rows = read_partition(spark, raw_dir, sorted({date_ for date_, _ in folders}))
-        return rows.join(touched, PARTITIONS, "left_semi")
-
-    latest_first = [F.coalesce("published_at", F.lit("")).desc(), F.desc("key")]
     with scratch(spark) as store:
-        # the folders read here are overwritten below
-        merged = store(merge_records(current(), records))
-        (
-            merged.repartitionByRange(*PARTITIONS, *latest_first)
-            .sortWithinPartitions(*PARTITIONS, *latest_first)
-            .drop("key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
-            .json(raw_dir)
-        )
-    return current().groupBy("date", "topic").agg(F.count("*").alias("n"))
+        fresh = store(records)  # read twice: for its folders and for its rows
+        touched = fresh.select("date", slug(F.col("topic")).alias("topic_slug")).distinct()
+        # one row per folder to rewrite
+        folders = sorted(tuple(row) for row in touched.collect())
+        if folders:
+            # the folders read here are overwritten next
+            _overwrite(store(merge_records(_read_folders(spark, raw_dir, folders), fresh)), raw_dir)
+    stored = _read_folders(spark, raw_dir, folders)
+    return stored.groupBy("date", "topic").agg(F.count("*").alias("n"))
+
+
+def _read_folders(spark: SparkSession, raw_dir: str, folders: list[tuple[str, str]]) -> DataFrame:
+    """Records of the given (date, topic_slug) folders. The condition is about folder names only,
+    so other folders are left out before anything is read."""
+    rows = read_partition(spark, raw_dir, sorted({day for day, _ in folders}))
+    names = [f"{day}/{topic}" for day, topic in folders]
+    return rows.filter(F.concat_ws("/", *PARTITIONS).isin(*names)) if names else rows
+
+
+def _overwrite(merged: DataFrame, raw_dir: str) -> None:
+    latest_first = [F.coalesce("published_at", F.lit("")).desc(), F.desc("key")]
+    (
+        merged.repartitionByRange(*PARTITIONS, *latest_first)
+        .sortWithinPartitions(*PARTITIONS, *latest_first)
+        .drop("key")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .json(raw_dir)
+    )
