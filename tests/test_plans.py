@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.queries import ORACLES, QUERIES
-from tests.helpers import record, table
+from tests.helpers import record, records, table
 from tidings.operators import activity, agreement, editions, quality, sightings
-from tidings.sources import history
+from tidings.sources import history, raw
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +72,12 @@ def test_activity_reads_the_history_once(tables):
 
 def test_every_query_has_its_comparison():
     assert set(ORACLES) == set(QUERIES) and len(QUERIES) > 80
+
+
+def test_a_rewrite_lists_only_its_folders(spark, tmp_path):
+    folder = str(tmp_path / "raw")
+    raw.write_partitions(spark, folder, records(spark, [record("a"), record("b", topic="Tesla")]))
+    rows = raw._read_folders(spark, folder, [("2026-09-14", "tesla")])
+    line = next(part for part in plan(rows).split("\n") if "FileScan json" in part)
+    assert "DataFilters: []" in line and "concat_ws" in line.split("PartitionFilters")[1]
+    assert [r["title"] for r in rows.collect()] == ["b"]
