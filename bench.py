@@ -41,8 +41,13 @@ def activity_by_range_join(spark, sf):
 
 def pairs_by_self_join(spark, sf):
     scores = A.sentiment(spark, sf)
-    a, b = (scores.filter(F.col("model") == m).select("headline_id", F.col("score").alias(m)) for m in (A.MODEL_A, A.MODEL_B))
-    return A.good(spark, sf).join(a, "headline_id").join(b, "headline_id")
+
+    def of(model):
+        return scores.filter(F.col("model") == model).select(
+            "headline_id", F.col("label").alias(f"label_{model}"), F.col("score").alias(f"score_{model}")
+        )
+
+    return A.good(spark, sf).join(of(A.MODEL_A), "headline_id").join(of(A.MODEL_B), "headline_id")
 
 
 def run(frame) -> None:
