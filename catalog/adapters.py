@@ -14,7 +14,7 @@ from tidings.functions.labels import label_from_score
 from tidings.functions.links import dedup_key
 from tidings.functions.times import parse_iso
 from tidings.operators import quality, sightings
-from tidings.session import configure, shared_folder, spread
+from tidings.session import configure, own_folder, shared_folder
 from tidings.sources import files, history
 from tidings.sources.feeds import FEED
 
@@ -57,7 +57,7 @@ LINK = """CASE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,19 +32,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, name: str = "work") -> str:
-    """A new folder under `spark.checkpoint.dir`.
-
-    A local session without that setting gets a temporary folder. On a cluster the setting is
-    required, because executors on other machines cannot see a local folder."""
+def shared_root(spark: SparkSession) -> str | None:
+    """The folder in `spark.checkpoint.dir`, or the one given to `setCheckpointDir`."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    return root or spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession, name: str = "work") -> str:
+    """A new folder under `spark.checkpoint.dir`, which every executor must be able to reach."""
+    root = shared_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidings-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def own_folder(spark: SparkSession) -> None:
+    """For trial runs on one machine: a temporary shared folder where none is set."""
+    if not shared_root(spark) and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-"))
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """`with scratch(spark) as store:` - `store(df)` writes `df` to the shared folder and returns
@@ -64,10 +71,3 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         yield store
     finally:
         remove(spark, folder)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """`df` over all cores when it has fewer partitions than there are cores, for input that is
-    one small file and costly to parse. Larger input has more partitions and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
