@@ -35,4 +35,44 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' EL
   CASE WHEN again THEN first_id END AS refers_to FROM j
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2}
+OP4 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT r, unnest(list_transform(range(1, len(w) - 1), lambda i: {'i': i, 't': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]})) AS p FROM doc),
+tri AS (SELECT r, p.i AS i, count(*) OVER (PARTITION BY r, p.t) AS n FROM win),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 3)) AS p FROM tri WHERE n > 1) GROUP BY r),
+line AS (SELECT r, unnest(string_split(text, chr(10))) AS l FROM doc),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines FROM line WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (
+  SELECT r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM doc LEFT JOIN rep USING (r) LEFT JOIN dup USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+c AS (
+  SELECT r, doc_id, lang, base_failed, rule, greatest(0, least(40, coalesce(CAST(ceil(v) AS INT) - 1, 0))) AS cell FROM (
+    SELECT *, 'symbols' AS rule, n_symbols / nullif(CAST(n_words AS DOUBLE), 0) / 0.02 AS v FROM b UNION ALL
+    SELECT *, 'length', word_chars / nullif(CAST(n_words AS DOUBLE), 0) / 0.5 FROM b UNION ALL
+    SELECT *, 'dup_lines', n_dup_lines / nullif(CAST(n_words AS DOUBLE), 0) / 0.01 FROM b UNION ALL
+    SELECT *, 'repeats', n_repeat_words / nullif(CAST(n_words AS DOUBLE), 0) / 0.0125 FROM b)),
+lab AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+cal AS (SELECT lang, rule, cell, q FROM c JOIN lab USING (doc_id) WHERE NOT base_failed),
+g AS (
+  SELECT lang, rule, cut, count(*) FILTER (q = 1 AND cell >= cut) AS k, count(*) FILTER (q <> 1 AND cell >= cut) AS caught,
+    count(*) FILTER (q = 1) AS n
+  FROM cal, (SELECT unnest(range(1, 41)) AS cut) GROUP BY ALL),
+t AS (
+  SELECT g.lang, g.rule, g.cut, any_value(g.caught) AS caught, sum(exp(lgamma(g.n + 1.0) - lgamma(i + 1.0) - lgamma(g.n - i + 1.0)
+      + i * ln(0.005) + (g.n - i) * ln(0.995))) AS p, bool_or(g.k >= g.n) AS all_of
+  FROM g, LATERAL (SELECT unnest(range(0, g.k + 1)) AS i) WHERE g.k <= g.n * 0.005 GROUP BY ALL),
+best AS (
+  SELECT lang, rule, arg_max(cut, caught * 100 + cut) AS cut FROM t
+  WHERE NOT all_of AND caught > 0 AND p <= 0.05 / 160 / (SELECT count(DISTINCT lang) FROM cal) GROUP BY ALL),
+bad AS (SELECT r, bool_or(cell >= cut) AS bad FROM c JOIN best USING (lang, rule) GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(bad, false) AS kept
+FROM b LEFT JOIN bad USING (r)
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.llm import decontamination, pii, secrets, warc
+from tidings.llm import decontamination, language, pii, quality_model, quality_rules, secrets, warc
 from tidings.llm.common import table
 from tidings.llm.oracles import ORACLES  # noqa: F401
 
@@ -21,6 +21,18 @@ def op2_warc(spark, sf_dir):
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op3_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(documents).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+def op4_quality_rules(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_rules.verdicts(documents, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_secrets(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
@@ -31,8 +43,15 @@ def op6_secrets(spark, sf_dir):
     )
 
 
+def op7_quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.classify(documents, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_warc, op6_secrets, op10_pii)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_warc, op3_language, op4_quality_rules, op6_secrets, op7_quality, op10_pii,
+)}
