@@ -75,4 +75,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN bad USING (r)
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4}
+OP9 = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({LETTERS.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+one AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s FROM doc),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM one),
+pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM flat x JOIN flat y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+both_ways AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM one UNION SELECT r.a, p.b FROM reach r JOIN both_ways p ON r.b = p.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM one JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4, "op9_jaccard": OP9}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.llm import decontamination, language, pii, quality_model, quality_rules, secrets, warc
+from tidings.llm import decontamination, jaccard, language, pieces, pii, quality_model, quality_rules, secrets, toxicity, warc
 from tidings.llm.common import table
 from tidings.llm.oracles import ORACLES  # noqa: F401
 
@@ -33,6 +33,10 @@ def op4_quality_rules(spark, sf_dir):
     )
 
 
+def op5_pieces(spark, sf_dir):
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
@@ -48,10 +52,19 @@ def op7_quality(spark, sf_dir):
     return quality_model.classify(documents, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(documents, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "spans")
+
+
+def op9_jaccard(spark, sf_dir):
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_warc, op3_language, op4_quality_rules, op6_secrets, op7_quality, op10_pii,
+    op1_decontamination, op2_warc, op3_language, op4_quality_rules, op5_pieces, op6_secrets, op7_quality, op8_toxicity, op9_jaccard, op10_pii,
 )}
