@@ -1,7 +1,7 @@
 """N-gram Jaccard join: links between documents whose sets of word shingles overlap enough, and
 the components the links make.
 
-Shingles are hashed, and the hash range is cut into groups. The counts of a set's shingles in 64
+Shingles are hashed, and the hash range is cut into groups. The counts of a set's shingles in 256
 groups are its point. Two linked sets differ in few shingles, so for a number of groups above that
 difference at least one group is the same in both (pigeonhole): documents meet where the content of
 a group is equal. The number of groups depends on the size of the sets; sizes fall into bands and a
@@ -10,8 +10,9 @@ are one node from the start.
 
 Inside the places where nodes meet, pairs are tried in rounds: every node against the node it meets
 most often, then against the other smallest nodes, then whatever still lies in different
-components. Before sets are compared, the sum of the coordinate minima of two points bounds their
-overlap. Pairs inside one component are never tried again, so large groups of near copies cost one
+components: there a small tree of points (leaf pages with their upper corners, coarse and fine
+coordinates) finds the pairs. Before sets are compared, the sum of the coordinate minima of two
+points bounds their overlap. Pairs inside one component are never tried again, so large groups of near copies cost one
 comparison a member and not one a pair; no link between different components is lost.
 
 A plain tree of count points does not part large numbers of texts: random sets of one size lie as
@@ -26,6 +27,7 @@ no component and get none; repeated rows give repeated rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +37,10 @@ from tidings.llm.common import stored
 
 WORDS = 4
 PERCENT = 85
-POINT = 64  # coordinates
+POINT = 256  # coordinates
+COARSE = 4  # of them in one coordinate of the first look
+PAGE = 32  # points in a leaf
+BLOCK = 4096  # nodes of one place in a task at once
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -145,7 +150,7 @@ def meetings(sh: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def point(sh: np.ndarray) -> np.ndarray:
-    return np.bincount((sh >> np.uint64(58)).astype(np.int64), minlength=POINT).astype(np.int32)
+    return np.bincount((sh >> np.uint64(56)).astype(np.int64), minlength=POINT).astype(np.int32)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -159,6 +164,34 @@ def bounded(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * most >= percent * (int(a.sum()) + int(b.sum()) - most)
 
 
+class Tree:
+    """Points in leaf pages, in order of size; a page knows its upper corner and smallest size."""
+
+    def __init__(self, points: np.ndarray):
+        self.size = points.sum(1)
+        self.order = np.argsort(self.size, kind="stable")
+        self.fine = points[self.order]
+        self.size = self.size[self.order]
+        self.coarse = self.fine.reshape(len(points), -1, COARSE).sum(2)
+        self.first = np.arange(0, len(points), PAGE)
+        self.corner = np.maximum.reduceat(self.coarse, self.first, axis=0)
+        self.least = self.size[self.first]
+
+    def near(self, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+        """Places of the points whose bound on the overlap with `query` allows a link."""
+        coarse, n = query.reshape(-1, COARSE).sum(1), int(query.sum())
+        most = np.minimum(self.corner, coarse).sum(1)
+        pages = np.flatnonzero(100 * most >= percent * (n + self.least - most))
+        if not len(pages):
+            return pages
+        at = (self.first[pages][:, None] + np.arange(PAGE)).ravel()
+        at = at[at < len(self.order)]
+        for points, q in ((self.coarse, coarse), (self.fine, query)):
+            most = np.minimum(points[at], q).sum(1)
+            at = at[100 * most >= percent * (n + self.size[at] - most)]
+        return self.order[at]
+
+
 # --- Spark ------------------------------------------------------------------------------------
 
 def nodes(documents: DataFrame) -> DataFrame:
@@ -247,15 +280,11 @@ def sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
     """The (a, b) of `pairs` that link: points first, then sets."""
     @F.pandas_udf("boolean")
-    def may(a, b):
-        import pandas as pd
-
+    def may(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([bounded(np.frombuffer(x, np.int32), np.frombuffer(y, np.int32)) for x, y in zip(a, b)], dtype=bool)
 
     @F.pandas_udf("boolean")
-    def do(a, b):
-        import pandas as pd
-
+    def do(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
 
     def with_both(frame, column):
@@ -292,6 +321,57 @@ def components(links: DataFrame) -> DataFrame:
         seen = now
 
 
+def near_pairs(mixed: DataFrame, content: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes that meet at a place, have different labels and may link by their
+    points. `mixed` has place, node, label and n, the nodes of the place.
+
+    A place with more than `BLOCK` nodes is cut into blocks, and every two blocks are one group, so
+    a task holds two blocks at most; only pairs that pass the bound leave it."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = mixed.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
+        "place", "node", "label", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = own.join(content.select("node", "point"), "node").select(
+        "place", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "point")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(i, j, rows):
+        """Pairs of one group; `rows` are (block, node, label, point)."""
+        if i == j:
+            left = right = rows
+        else:
+            left, right = [r for r in rows if r[0] == i], [r for r in rows if r[0] == j]
+        if not left or not right:
+            return
+        tree = Tree(np.stack([np.frombuffer(r[3], np.int32) for r in right]))
+        nodes_, labels_ = np.array([r[1] for r in right]), np.array([r[2] for r in right])
+        for _, node_, label, where in left:
+            at = tree.near(np.frombuffer(where, np.int32))
+            at = at[(labels_[at] != label) & ((nodes_[at] > node_) if i == j else True)]
+            for b in nodes_[at].tolist():
+                yield (node_, b) if node_ < b else (b, node_)
+
+    def rows(batches):
+        key, held, out = None, [], set()
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
+            for place, i, j, *row in zip(*columns):
+                if (place, i, j) != key:
+                    if len(held) > 1:
+                        out.update(compare(key[1], key[2], held))
+                    key, held = (place, i, j), []
+                    if len(out) > 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+                        out = set()
+                held.append(row)
+        if len(held) > 1:
+            out.update(compare(key[1], key[2], held))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+
+    grouped = dealt.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j")
+    return grouped.mapInArrow(rows, "a long, b long").distinct()
+
+
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
@@ -319,11 +399,9 @@ def link(documents: DataFrame) -> DataFrame:
     # what meets at one place and still lies in different components
     tagged = meeting.select("place", "node").union(meeting.select("place", "near")).distinct().join(labels, "node", "left").select(
         "place", "node", F.coalesce("label", "node").alias("label"))
-    mixed = tagged.groupBy("place").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("place")
-    rest = stored(tagged.join(mixed, "place", "left_semi"), "mixed")
-    pairs = rest.select("place", F.col("node").alias("a"), F.col("label").alias("la")).join(
-        rest.select("place", F.col("node").alias("b"), F.col("label").alias("lb")), "place").filter("a < b and la <> lb").select("a", "b").distinct()
-    labels = components(links.unionByName(verify(pairs, content)))
+    mixed = tagged.groupBy("place").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
+    rest = stored(tagged.join(mixed.filter("least <> most").select("place", "n"), "place"), "mixed")
+    labels = components(links.unionByName(verify(near_pairs(rest, content), content)))
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "label", "left").select(
