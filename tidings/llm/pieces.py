@@ -36,7 +36,8 @@ TOP = 2
 SEED = 17
 MARK = "▁"
 UNIT = re.compile(" *[^ \n▁]+| +|\n|▁")
-STATES = 3_000_000  # kept between batches
+STATES = 1_000_000  # kept between batches
+STEP = 0x5851F42D4C957F2D
 BATCH_CHARS = 400_000  # texts that are sampled together
 RESULT = "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, restored boolean"
 
@@ -84,74 +85,126 @@ def decode(ids, vocabulary: Vocabulary) -> str:
 
 
 class Lattices:
-    """The lattices of all words seen so far, as flat arrays over states and edges."""
+    """The lattices of all words seen so far, as flat arrays over states and edges. A state is a
+    place in a word; its edges run from the longest piece to the shortest."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        # for every length the hashes of all beginnings of pieces, with id (or -1) and weight
+        beginnings: list[dict[int, tuple[int, float]]] = [{} for _ in range(vocabulary.longest + 1)]
+        for piece, (i, weight) in vocabulary.pieces.items():
+            h = 0
+            for n, c in enumerate(piece, 1):
+                h = (h * STEP + ord(c) + 1) % (1 << 64)
+                beginnings[n].setdefault(h, (-1, 0.0))
+            beginnings[len(piece)][h] = (i, weight)
+        self.tables = []
+        for found in beginnings:
+            keys = np.array(sorted(found), np.uint64)
+            self.tables.append((keys, np.array([found[int(k)][0] for k in keys], np.int64), np.array([found[int(k)][1] for k in keys])))
         self.clear()
 
     def clear(self):
         self.roots: dict[str, int] = {}
         self.wide: list[list[int]] = []  # ids of edges that stand for several pieces
-        self.n = 0
-        self._new: list = []
-        self.first = np.zeros(1, np.int64)
-        self.cum, self.logp = np.zeros(0), np.zeros(0)
-        self.next, self.piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.n = self.edges = 0
+        self.first = np.zeros(1 << 10, np.int64)  # first edge of every state, one more at the end
+        self.cum, self.logp = np.zeros(1 << 10), np.zeros(1 << 10)
+        self.next, self.piece = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
 
-    def root(self, unit: str) -> int:
-        got = self.roots.get(unit)
-        return self._add(unit) if got is None else got
-
-    def _add(self, unit: str) -> int:
+    def learn(self, units: list[str]) -> None:
+        """Add the lattices of words that are not known yet, all together."""
         vocabulary = self.vocabulary
-        pieces, longest = vocabulary.pieces, vocabulary.longest
-        marked = unit.replace(" ", MARK)
-        n, base = len(unit), self.n
-        out: list = [None] * n
-        after = [0.0] * (n + 1)  # log weight of all ways to the end
-        for i in range(n - 1, -1, -1):
-            edges = []
-            if unit != MARK:
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    found = pieces.get(marked[i:j])
-                    if found is not None:
-                        edges.append((found[1] + after[j], j, found[0]))
-            if not edges or edges[0][1] != i + 1:
-                raw = unit[i].encode("utf-8", "surrogatepass")
-                ids = [vocabulary.byte_ids[b] for b in raw]
-                if len(ids) > 1:
-                    self.wide.append(ids)
-                edges.append((len(raw) * vocabulary.byte_weight + after[i + 1], i + 1, ids[0] if len(ids) == 1 else -len(self.wide)))
-            top = max(e[0] for e in edges)
-            after[i] = top + float(np.log(sum([2.718281828459045 ** (e[0] - top) for e in edges]))) if len(edges) > 1 else edges[0][0]
-            out[i] = edges
-        for i, edges in enumerate(out):
-            self._new.append((base + i, [(w - after[i], base + j if j < n else -1, p) for w, j, p in edges]))
-        self.n += n
-        self.roots[unit] = base
-        return base
-
-    def settle(self):
-        """Append the new words to the arrays."""
-        if not self._new:
-            return
-        counts = np.array([len(e) for _, e in self._new])
-        state = np.repeat(np.array([s for s, _ in self._new]), counts)
-        flat = [x for _, e in self._new for x in e]
-        logp = np.array([x[0] for x in flat])
+        lengths = np.array([len(u) for u in units])
+        text = "".join(units)
+        points = np.frombuffer(text.replace(" ", MARK).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        points[np.cumsum(lengths)[np.array([u == MARK for u in units])] - 1] = 1 << 21  # a sign of the text, not a blank
+        ends = np.repeat(np.cumsum(lengths), lengths)
+        left = ends - np.arange(len(points))
+        # states in order of the distance to the end of the word
+        order = np.argsort(left, kind="stable")
+        state = np.empty(len(points), np.int64)
+        state[order] = np.arange(len(points))
+        found = []
+        at, h = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        with np.errstate(over="ignore"):
+            for n in range(1, vocabulary.longest + 1):
+                h = h * np.uint64(STEP) + points[at + n - 1] + np.uint64(1)
+                keys, ids, weights = self.tables[n]
+                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hit = keys[place] == h
+                at, h, place = at[hit], h[hit], place[hit]
+                whole = ids[place] >= 0
+                found.append((at[whole], n, ids[place[whole]], weights[place[whole]]))
+                on = left[at] > n
+                at, h = at[on], h[on]
+                if not len(at):
+                    break
+        single = np.zeros(len(points), bool)
+        single[found[0][0]] = True
+        spelled, ids, weights = np.flatnonzero(~single), [], []
+        for i in spelled.tolist():
+            raw = [vocabulary.byte_ids[b] for b in text[i].encode("utf-8", "surrogatepass")]
+            if len(raw) > 1:
+                self.wide.append(raw)
+            ids.append(raw[0] if len(raw) == 1 else -len(self.wide))
+            weights.append(len(raw) * vocabulary.byte_weight)
+        found.append((spelled, 1, np.array(ids, np.int64), np.array(weights, np.float64)))
+        found.sort(key=lambda f: -f[1])
+        at = np.concatenate([f[0] for f in found])
+        size = np.repeat([f[1] for f in found], [len(f[0]) for f in found])
+        sort = np.argsort(state[at], kind="stable")
+        at, size = at[sort], size[sort]
+        piece = np.concatenate([f[2] for f in found])[sort]
+        weight = np.concatenate([f[3] for f in found])[sort]
+        last = left[at] == size
+        follow = np.where(last, -1, state[np.where(last, 0, at + size)])
+        # backward pass: log weight of all ways to the end, the nearest states first
+        counts = np.bincount(state[at], minlength=len(points))
+        stop = np.cumsum(counts)
+        start = stop - counts
+        after = np.zeros(len(points) + 1)  # the last entry is the end of a word
+        whole = np.empty(len(at))
+        bounds = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if a == b:
+                continue
+            e, f = start[a], stop[b - 1]
+            value = weight[e:f] + after[follow[e:f]]
+            begin = start[a:b] - e
+            top = np.maximum.reduceat(value, begin)
+            after[a:b] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts[a:b])), begin))
+            whole[e:f] = value
+        logp = np.minimum(whole - np.repeat(after[:-1], counts), 0.0)
         p = np.exp(logp)
         total = np.cumsum(p)
-        ends = np.cumsum(counts)
-        starts = ends - counts
-        inside = total - np.repeat(total[starts] - p[starts], counts)
-        inside[ends - 1] = 1.0
-        self.cum = np.concatenate([self.cum, state + np.minimum(inside, 1.0)])
-        self.logp = np.concatenate([self.logp, logp])
-        self.next = np.concatenate([self.next, np.array([x[1] for x in flat], np.int64)])
-        self.piece = np.concatenate([self.piece, np.array([x[2] for x in flat], np.int64)])
-        self.first = np.concatenate([self.first, self.first[-1] + ends])
-        self._new = []
+        inside = total - np.repeat(total[start] - p[start], counts)
+        inside[stop - 1] = 1.0
+        self._append(inside, logp, np.where(follow < 0, -1, follow + self.n), piece, stop)
+        begin = np.cumsum(lengths) - lengths
+        self.roots.update(zip(units, (state[begin] + self.n).tolist()))
+        self.n += len(points)
+
+    def _append(self, cum, logp, follow, piece, stop):
+        m = self.edges + len(cum)
+        if m > len(self.cum):
+            for name in ("cum", "logp", "next", "piece"):
+                setattr(self, name, np.resize(getattr(self, name), 2 * m))
+        if self.n + len(stop) + 1 > len(self.first):
+            self.first = np.resize(self.first, 2 * (self.n + len(stop) + 1))
+        for array, new in ((self.cum, cum), (self.logp, logp), (self.next, follow), (self.piece, piece)):
+            array[self.edges : m] = new
+        self.first[self.n + 1 : self.n + 1 + len(stop)] = stop + self.edges
+        self.edges = m
+
+    def choose(self, states: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """An edge of each state by its probability."""
+        edge = self.first[states]
+        open_ = np.flatnonzero(u >= self.cum[edge])
+        while len(open_):
+            edge[open_] += 1
+            open_ = open_[u[open_] >= self.cum[edge[open_]]]
+        return edge
 
     def ids(self, edges: np.ndarray) -> np.ndarray:
         got = self.piece[edges]
@@ -168,15 +221,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(*parts) -> np.ndarray:
-    """In (0, 1), from a hash of all parts."""
+def hashed(*parts) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = np.uint64(0x9E3779B97F4A7C15)
         for part in parts:
             x = _mix(x ^ (np.asarray(part).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+    return x
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    """A hash as a number in (0, 1)."""
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
 
 
+def uniform(*parts) -> np.ndarray:
+    return unit(hashed(*parts))
+
+
 def gumbel(*parts) -> np.ndarray:
     return -np.log(-np.log(uniform(*parts)))
 
@@ -214,28 +275,26 @@ class Search:
     def __init__(self, lattices: Lattices, texts: list[str], keys: np.ndarray, k: int, seed: int):
         self.lattices, self.k = lattices, k
         cut = [units(t) for t in texts]
-        found = [r for c in cut for r in map(lattices.roots.get, c)]
-        if None in found:
-            found = [r if r is not None else lattices.root(u) for r, u in zip(found, (u for c in cut for u in c))]
-        self.roots = np.array(found, np.int64)
-        lattices.settle()
+        new = {u for c in cut for u in c} - lattices.roots.keys()
+        if new:
+            lattices.learn(sorted(new))
+        self.roots = np.array([r for c in cut for r in map(lattices.roots.__getitem__, c)], np.int64)
         sizes = np.array([len(c) for c in cut])
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.owner = np.repeat(np.arange(len(texts)), sizes)
-        self.keys = (uniform(seed, keys.astype(np.int64)) * float(1 << 52)).astype(np.uint64)
+        self.keys = hashed(seed, keys.astype(np.int64))
 
     def descend(self, words: np.ndarray, states: np.ndarray, rank: int):
         """Sample from `states` to the end of their words: (edges, words) in text order."""
         lattices = self.lattices
-        key = self.keys[self.owner[words]]
-        place = words - self.starts[self.owner[words]]
+        owner = self.owner[words]
+        word = hashed(self.keys[owner], (words - self.starts[owner]) * 8 + rank)
         taken, slot = [], np.arange(len(words))
         count = np.zeros(len(words), np.int64)
         step = 0
         while len(slot):
-            u = uniform(key[slot], place[slot] * 8 + rank, step)
-            edge = np.searchsorted(lattices.cum, states + u, side="right")
+            edge = lattices.choose(states, unit(_mix(word[slot] + np.uint64(step))))
             taken.append((slot, edge))
             count[slot] += 1
             states = lattices.next[edge]
@@ -314,9 +373,7 @@ class Search:
         stays open. The new head (edges, words, log probability, before) and the next state."""
         value, which, token, excluded = best
         lattices = self.lattices
-        state = int(lattices.cum[path.edges[token]])
-        if lattices.cum[path.edges[token]] == state:  # the last edge of the state before
-            state -= 1
+        state = int(np.searchsorted(lattices.first[: lattices.n + 1], path.edges[token], side="right")) - 1
         edges = np.arange(lattices.first[state], lattices.first[state + 1])
         left = np.array([e for e in edges if int(e) not in excluded])
         p = np.exp(lattices.logp[left])
