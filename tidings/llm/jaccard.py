@@ -149,8 +149,21 @@ def meetings(sh: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out)
 
 
-def point(sh: np.ndarray) -> np.ndarray:
-    return np.bincount((sh >> np.uint64(56)).astype(np.int64), minlength=POINT).astype(np.int32)
+def groups_of(sh: np.ndarray) -> np.ndarray:
+    """The group of every shingle among 65536, sorted: a point of that many coordinates, written as
+    the list of its counts' places."""
+    return (sh >> np.uint64(48)).astype(np.uint16)
+
+
+def numbered(groups: np.ndarray) -> np.ndarray:
+    """The groups with the how-manieth of its group each entry is: the sum of two points' minima is
+    the number of entries they share."""
+    return groups.astype(np.int64) << 32 | (np.arange(len(groups)) - np.searchsorted(groups, groups))
+
+
+def point(groups: np.ndarray) -> np.ndarray:
+    """The counts in `POINT` groups."""
+    return np.bincount(groups >> 8, minlength=POINT).astype(np.int32)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -159,15 +172,16 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def bounded(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether the coordinate minima of two points leave enough overlap for a link."""
-    most = int(np.minimum(a, b).sum())
-    return 100 * most >= percent * (int(a.sum()) + int(b.sum()) - most)
+    """Whether the coordinate minima of two points, as `numbered`, leave enough overlap to link."""
+    return linked(a, b, percent)
 
 
 class Tree:
     """Points in leaf pages, in order of size; a page knows its upper corner and smallest size."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, groups: list[np.ndarray]):
+        self.full = [numbered(g) for g in groups]
+        points = np.stack([point(g) for g in groups])
         self.size = points.sum(1)
         self.order = np.argsort(self.size, kind="stable")
         self.fine = points[self.order]
@@ -177,19 +191,38 @@ class Tree:
         self.corner = np.maximum.reduceat(self.coarse, self.first, axis=0)
         self.least = self.size[self.first]
 
-    def near(self, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-        """Places of the points whose bound on the overlap with `query` allows a link."""
+    def near(self, groups: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the points whose coarse and fine bounds on the overlap with `groups` allow a
+        link, and `groups` numbered, for the last bound."""
+        query, full = point(groups), numbered(groups)
         coarse, n = query.reshape(-1, COARSE).sum(1), int(query.sum())
         most = np.minimum(self.corner, coarse).sum(1)
         pages = np.flatnonzero(100 * most >= percent * (n + self.least - most))
         if not len(pages):
-            return pages
+            return pages, full
         at = (self.first[pages][:, None] + np.arange(PAGE)).ravel()
         at = at[at < len(self.order)]
         for points, q in ((self.coarse, coarse), (self.fine, query)):
             most = np.minimum(points[at], q).sum(1)
             at = at[100 * most >= percent * (n + self.size[at] - most)]
-        return self.order[at]
+        return self.order[at], full
+
+
+class Forest:
+    """Which nodes the pairs of one group have joined so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
 
 
 # --- Spark ------------------------------------------------------------------------------------
@@ -268,7 +301,7 @@ def sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             out = [shingles(text_bytes(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([s.tobytes() for s in out], pa.binary()),
-                pa.array([point(s).tobytes() for s in out], pa.binary()),
+                pa.array([groups_of(s).tobytes() for s in out], pa.binary()),
             ], schema=schema)
 
     texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
@@ -281,7 +314,7 @@ def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
     """The (a, b) of `pairs` that link: points first, then sets."""
     @F.pandas_udf("boolean")
     def may(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([bounded(np.frombuffer(x, np.int32), np.frombuffer(y, np.int32)) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([bounded(numbered(np.frombuffer(x, np.uint16)), numbered(np.frombuffer(y, np.uint16))) for x, y in zip(a, b)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def do(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -321,12 +354,14 @@ def components(links: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_pairs(mixed: DataFrame, content: DataFrame) -> DataFrame:
+def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool) -> DataFrame:
     """(a, b): pairs of nodes that meet at a place, have different labels and may link by their
     points. `mixed` has place, node, label and n, the nodes of the place.
 
     A place with more than `BLOCK` nodes is cut into blocks, and every two blocks are one group, so
-    a task holds two blocks at most; only pairs that pass the bound leave it."""
+    a task holds two blocks at most; only pairs that pass the bound leave it. With `forest` a group
+    gives only pairs that join what its earlier pairs have not joined: nearly all of them link, so
+    this settles large families; what a failed one held back is found by a pass without it."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = mixed.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
         "place", "node", "label", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
@@ -342,13 +377,17 @@ def near_pairs(mixed: DataFrame, content: DataFrame) -> DataFrame:
             left, right = [r for r in rows if r[0] == i], [r for r in rows if r[0] == j]
         if not left or not right:
             return
-        tree = Tree(np.stack([np.frombuffer(r[3], np.int32) for r in right]))
+        tree, joined = Tree([np.frombuffer(r[3], np.uint16) for r in right]), Forest()
         nodes_, labels_ = np.array([r[1] for r in right]), np.array([r[2] for r in right])
         for _, node_, label, where in left:
-            at = tree.near(np.frombuffer(where, np.int32))
+            at, full = tree.near(np.frombuffer(where, np.uint16))
             at = at[(labels_[at] != label) & ((nodes_[at] > node_) if i == j else True)]
-            for b in nodes_[at].tolist():
-                yield (node_, b) if node_ < b else (b, node_)
+            for at_, b, other in zip(at.tolist(), nodes_[at].tolist(), labels_[at].tolist()):
+                if forest and joined.top(label) == joined.top(other):
+                    continue
+                if bounded(tree.full[at_], full):
+                    joined.join(label, other)
+                    yield (node_, b) if node_ < b else (b, node_)
 
     def rows(batches):
         key, held, out = None, [], set()
@@ -397,11 +436,13 @@ def link(documents: DataFrame) -> DataFrame:
     links = links.unionByName(more)
     labels = components(links)
     # what meets at one place and still lies in different components
-    tagged = meeting.select("place", "node").union(meeting.select("place", "near")).distinct().join(labels, "node", "left").select(
-        "place", "node", F.coalesce("label", "node").alias("label"))
-    mixed = tagged.groupBy("place").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
-    rest = stored(tagged.join(mixed.filter("least <> most").select("place", "n"), "place"), "mixed")
-    labels = components(links.unionByName(verify(near_pairs(rest, content), content)))
+    members = meeting.select("place", "node").union(meeting.select("place", F.col("near"))).distinct()
+    for forest in (True, False):
+        tagged = members.join(labels, "node", "left").select("place", "node", F.coalesce("label", "node").alias("label"))
+        mixed = tagged.groupBy("place").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
+        rest = stored(tagged.join(mixed.filter("least <> most").select("place", "n"), "place"), "mixed")
+        links = links.unionByName(verify(near_pairs(rest, content, forest), content))
+        labels = components(links)
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "label", "left").select(
