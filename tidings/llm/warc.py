@@ -179,7 +179,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT)
             out.close()
             yield pd.DataFrame({"archive": [f"{folder}/archives/{name}"], "records": [n], "size": [size]})
 
-    rows = classify(pages, min_bytes).mapInPandas(write, "archive string, records long, size long")
+    # ids as text: pandas would turn a column with a null into floating point
+    texts = {n: F.col(n).cast("string") for n in ("page_id", "refers_to")}
+    rows = classify(pages, min_bytes).withColumns(texts).mapInPandas(write, "archive string, records long, size long")
     return stored(rows, "archives")
 
 
