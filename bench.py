@@ -66,6 +66,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    A.own_folder(spark)
     run(A.table(spark, sf, "events"))  # start the executors
 
     seconds: dict[str, float] = {}

@@ -64,7 +64,7 @@ def feed_parse(spark, sf):
 
 @query(sql("""SELECT run_date, topic, count(*) AS items,
   count(*) FILTER (WHERE NOT outside AND reason IS NOT NULL) AS low_quality,
-  count(*) FILTER (WHERE outside) AS outside_window FROM feed GROUP BY run_date, topic""", "feed"))
+  count(*) FILTER (WHERE outside) AS outside_window, CAST(0 AS BIGINT) AS unparsed FROM feed GROUP BY run_date, topic""", "feed"))
 def feed_drop_counts(spark, sf):
     _, drops = feeds.parse_feed(A.feed_documents(spark, sf), order=["ord"])
     return plain(drops)

@@ -34,9 +34,6 @@ DEFAULT_MODELS: tuple[str, ...] = ("vader",)
 MODEL_PREFERENCE: tuple[str, ...] = ("finbert", "vader")
 UNKNOWN_SOURCE = "Unknown"
 
-# A topic list is configuration, typed by a person; operators put it into the plan as literals.
-MAX_TOPICS = 1000
-
 
 @dataclass(frozen=True)
 class Topic:
@@ -54,8 +51,6 @@ def topic_list(topics=TOPICS) -> tuple[Topic, ...]:
             out.append(Topic(item))
         else:
             out.append(Topic(*item))
-    if len(out) > MAX_TOPICS:
-        raise ValueError(f"a topic list holds at most {MAX_TOPICS} topics, got {len(out)}")
     if len({t.label for t in out}) != len(out):
         raise ValueError("topic labels must be unique")
     return tuple(out)

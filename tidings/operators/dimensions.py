@@ -12,8 +12,8 @@ from tidings.functions.times import backfill_dates
 
 
 def topic_frame(spark: SparkSession, topics=TOPICS) -> DataFrame:
-    """(ord, topic, query) in display order. The list is settings, at most MAX_TOPICS rows, so
-    the frame may be broadcast."""
+    """(ord, topic, query) in display order. The list is settings; Spark knows the
+    size of literals."""
     rows = [
         F.struct(
             F.lit(i).alias("ord"), F.lit(t.label).alias("topic"), F.lit(t.query).alias("query")
@@ -22,7 +22,7 @@ def topic_frame(spark: SparkSession, topics=TOPICS) -> DataFrame:
     ]
     if not rows:
         return spark.range(0).selectExpr("0 AS ord", "'' AS topic", "'' AS query")
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def date_column(value: date | str | Column) -> Column:

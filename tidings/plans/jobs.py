@@ -224,7 +224,7 @@ def run_backfill(
             "records": sum(fetched.values()),
         },
     }
-    return load_records(spark, paths, raw.read_raw(spark, paths.raw), scorers, now=now, run=run, topics=topics)
+    return load_records(spark, paths, raw.dated(raw.read_raw(spark, paths.raw)), scorers, now=now, run=run, topics=topics)
 
 
 def compare(

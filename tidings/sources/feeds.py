@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.config import DAYS_BACK, MAX_PER_TOPIC
 from tidings.functions.links import dedup_key
@@ -13,8 +14,13 @@ from tidings.functions.quality import is_low_quality
 from tidings.functions.text import split_title
 from tidings.functions.times import is_recent, parse_published, to_iso
 from tidings.operators.editions import dedup_and_cap
-from tidings.schemas import FEED_DOCUMENT, FEED_ITEM
+from tidings.schemas import FEED_ITEM
 
+# from an opening tag to its closing one, the next opening one or the end
+ITEM = r"(?s)<item[\s>].*?(?:</item\s*>|(?=<item[\s>])|$)"
+# an ampersand that begins no XML entity
+STRAY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+ITEM_OR_RAW = T.StructType([*FEED_ITEM.fields, T.StructField("_corrupt_record", T.StringType())])
 RECORD_FIELDS = [
     "topic", "title", "source", "link", "published_at", "collected_at", "run_date",
 ]
@@ -44,13 +50,23 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
 
 def feed_items(documents: DataFrame, keep: list[str], content: str = "content") -> DataFrame:
     """One row per item with its `position` in the document; `keep` names the document's columns
-    to carry along. A document that does not parse gives no items."""
-    parsed = F.from_xml(F.col(content), FEED_DOCUMENT, {"mode": "PERMISSIVE"})
-    return documents.select(
-        *keep, F.posexplode(parsed["channel"]["item"]).alias("position", "item")
-    ).select(
+    to carry along.
+
+    Items are cut out of the text and parsed one by one, so a broken item costs no other one. An
+    item that does not parse is tried again with its stray ampersands escaped; if it still fails it
+    is `unparsed`. A document without items gives one row without a position."""
+    parse = lambda text: F.from_xml(text, ITEM_OR_RAW, {"mode": "PERMISSIVE"})
+    pieces = documents.select(
+        *keep, F.posexplode_outer(F.regexp_extract_all(content, F.lit(ITEM), F.lit(0))).alias("position", "piece")
+    )
+    first = pieces.withColumn("item", parse(F.col("piece")))
+    broken = F.col("item")["_corrupt_record"].isNotNull()
+    repaired = F.regexp_replace(F.regexp_replace("piece", "&nbsp;", "&#160;"), STRAY, "&amp;")
+    again = first.withColumn("again", parse(F.when(broken, repaired))).withColumn("item", F.coalesce("again", "item"))
+    return again.select(
         *keep,
         "position",
+        (F.col("item")["_corrupt_record"].isNotNull()).alias("unparsed"),
         F.col("item.title").alias("raw_title"),
         F.col("item.link").alias("link"),
         F.col("item.pubDate").alias("pub_date"),
@@ -66,11 +82,13 @@ def classify_items(items: DataFrame, in_window: InWindow) -> DataFrame:
     )
     title = F.col("_t.title")
     return titled.select(
-        *[name for name in items.columns if name not in ("raw_title", "raw_source", "pub_date")],
+        *[name for name in items.columns if name not in ("raw_title", "raw_source", "pub_date", "unparsed")],
         title.alias("title"),
         F.col("_t.source").alias("source"),
         "published",
-        F.when(~in_window(F.col("published")), F.lit("outside_window"))
+        F.when(F.col("position").isNull(), F.lit("no_items"))
+        .when(F.col("unparsed"), F.lit("unparsed"))
+        .when(~in_window(F.col("published")), F.lit("outside_window"))
         .when(is_low_quality(title), F.lit("low_quality"))
         .alias("dropped"),
     )
@@ -82,11 +100,13 @@ def daily_window(days_back: int = DAYS_BACK) -> InWindow:
 
 
 def drop_counts(classified: DataFrame, feed: list[str] = FEED) -> DataFrame:
-    """(feed.., items, low_quality, outside_window) counted before any cap."""
+    """(feed.., items, low_quality, outside_window, unparsed) counted before any cap; a feed without
+    items counts zero of each."""
     return classified.groupBy(*feed).agg(
-        F.count("*").alias("items"),
+        F.count("position").alias("items"),
         F.count_if(F.col("dropped") == "low_quality").alias("low_quality"),
         F.count_if(F.col("dropped") == "outside_window").alias("outside_window"),
+        F.count_if(F.col("dropped") == "unparsed").alias("unparsed"),
     )
 
 

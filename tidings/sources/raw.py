@@ -40,6 +40,12 @@ def read_partition(
     return raw.filter(F.col("date").isin(*names)) if names else raw.limit(0)
 
 
+def dated(records: DataFrame) -> DataFrame:
+    """Records of folders whose name is a date. The condition is about the folder column only, so
+    stray folders are left out before anything is read."""
+    return records.filter(F.rlike("date", F.lit(r"^\d{4}-\d{2}-\d{2}$")) & F.col("date").try_cast("date").isNotNull())
+
+
 def partition_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """(path, date) of the landed files. Files are listed, never opened."""
     if not exists(spark, raw_dir):
@@ -70,7 +76,7 @@ def partition_dates(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 def merge_records(stored: DataFrame, records: DataFrame) -> DataFrame:
     """Stored and new records with one version per key of a day's topic: the stored one, else
-    the first new one by `ord`.
+    the first by `ord`, the time of collection and `place`.
 
     `stored` comes from `read_raw`; `records` carries `date` and, to order its copies, `ord`.
     One aggregate with partial results, so repeated copies never travel."""
@@ -85,10 +91,11 @@ def merge_records(stored: DataFrame, records: DataFrame) -> DataFrame:
             ).alias("record"),
             F.lit(age).alias("age"),
             (F.col("ord").cast("long") if "ord" in have else F.lit(0).cast("long")).alias("ord"),
+            (F.col("place").cast("long") if "place" in have else F.lit(0).cast("long")).alias("place"),
         )
 
     both = keyed(stored, 0).unionByName(keyed(records, 1))
-    first = F.min_by("record", F.struct("age", "ord", "record"))
+    first = F.min_by("record", F.struct("age", "ord", F.col("record.collected_at").alias("collected_at"), "place", "record"))
     return (
         both.groupBy(*PARTITIONS, "key")
         .agg(first.alias("record"))
