@@ -10,8 +10,9 @@ are one node from the start.
 
 Inside the places where nodes meet, pairs are tried in rounds: every node against the node it meets
 most often, then against the other smallest nodes, then whatever still lies in different
-components: there a small tree of points (leaf pages with their upper corners, coarse and fine
-coordinates) finds the pairs. Before sets are compared, the sum of the coordinate minima of two
+components. For that, places with the same smallest node are taken together, as texts that share a
+passage meet at many of them: a small tree of points (leaf pages with their upper corners, coarse and
+fine coordinates) finds the pairs. Before sets are compared, the sum of the coordinate minima of two
 points bounds their overlap. Pairs inside one component are never tried again, so large groups of near copies cost one
 comparison a member and not one a pair; no link between different components is lost.
 
@@ -355,21 +356,25 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool) -> DataFrame:
-    """(a, b): pairs of nodes that meet at a place, have different labels and may link by their
+    """(place, a, b): pairs of nodes of one place that have different labels and may link by their
     points. `mixed` has place, node, label and n, the nodes of the place.
 
     A place with more than `BLOCK` nodes is cut into blocks, and every two blocks are one group, so
     a task holds two blocks at most; only pairs that pass the bound leave it. With `forest` a group
     gives only pairs that join what its earlier pairs have not joined: nearly all of them link, so
-    this settles large families; what a failed one held back is found by a pass without it."""
+    this settles large families; only where one fails can something have been held back that links,
+    and a pass over such places without it finds that."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = mixed.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
         "place", "node", "label", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = own.join(content.select("node", "point"), "node").select(
         "place", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "point")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("place", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(i, j, rows):
+    def batch_of(found):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+
+    def compare(place, i, j, rows):
         """Pairs of one group; `rows` are (block, node, label, point)."""
         if i == j:
             left = right = rows
@@ -387,28 +392,40 @@ def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool) -> DataFrame:
                     continue
                 if bounded(tree.full[at_], full):
                     joined.join(label, other)
-                    yield (node_, b) if node_ < b else (b, node_)
+                    yield place, min(node_, b), max(node_, b)
 
     def rows(batches):
-        key, held, out = None, [], set()
+        key, held, out = None, [], []
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
             for place, i, j, *row in zip(*columns):
                 if (place, i, j) != key:
                     if len(held) > 1:
-                        out.update(compare(key[1], key[2], held))
+                        out.extend(compare(*key, held))
                     key, held = (place, i, j), []
                     if len(out) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
-                        out = set()
+                        yield batch_of(out)
+                        out = []
                 held.append(row)
         if len(held) > 1:
-            out.update(compare(key[1], key[2], held))
+            out.extend(compare(*key, held))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+            yield batch_of(out)
 
     grouped = dealt.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j")
-    return grouped.mapInArrow(rows, "a long, b long").distinct()
+    return grouped.mapInArrow(rows, "place long, a long, b long")
+
+
+def mixed_places(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(place, node, label, n): the places where different components meet, those with the same
+    smallest node as one, which is then their name. At a place of two nodes that pair is the one
+    with the smallest node, which has been tried."""
+    tagged = members.join(labels, "node", "left").select("place", "node", F.coalesce("label", "node").alias("label"))
+    met_ = tagged.groupBy("place").agg(
+        F.min("label").alias("least"), F.max("label").alias("most"), F.min("node").alias("hub"), F.count("*").alias("n"))
+    hubs = met_.filter("least <> most AND n > 2").select("place", "hub")
+    joined = stored(tagged.join(hubs, "place").select(F.col("hub").alias("place"), "node", "label").distinct(), "hubs")
+    return joined.join(joined.groupBy("place").agg(F.count("*").alias("n")), "place")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -437,12 +454,16 @@ def link(documents: DataFrame) -> DataFrame:
     labels = components(links)
     # what meets at one place and still lies in different components
     members = meeting.select("place", "node").union(meeting.select("place", F.col("near"))).distinct()
-    for forest in (True, False):
-        tagged = members.join(labels, "node", "left").select("place", "node", F.coalesce("label", "node").alias("label"))
-        mixed = tagged.groupBy("place").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
-        rest = stored(tagged.join(mixed.filter("least <> most").select("place", "n"), "place"), "mixed")
-        links = links.unionByName(verify(near_pairs(rest, content, forest), content))
-        labels = components(links)
+    rest = stored(mixed_places(members, labels), "mixed")
+    tried = stored(near_pairs(rest, content, True), "tried")
+    found = verify(tried.select("a", "b").distinct(), content)
+    failed = stored(tried.join(found, ["a", "b"], "left_anti").select("place").distinct(), "failed")
+    links = links.unionByName(found)
+    labels = components(links)
+    again = rest.drop("label").join(failed, "place", "left_semi").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    links = links.unionByName(verify(near_pairs(again, content, False).select("a", "b").distinct(), content))
+    labels = components(links)
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "label", "left").select(
