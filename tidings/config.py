@@ -30,7 +30,7 @@ SCHEDULE = "0 9 * * *"
 LABELS: tuple[str, ...] = ("positive", "neutral", "negative")
 POSITIVE_CUT = 0.05
 NEGATIVE_CUT = -0.05
-DEFAULT_MODELS: tuple[str, ...] = ("vader",)
+DEFAULT_MODELS: tuple[str, ...] = ("lexicon",)
 MODEL_PREFERENCE: tuple[str, ...] = ("finbert", "vader")
 UNKNOWN_SOURCE = "Unknown"
 

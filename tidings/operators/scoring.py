@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -73,21 +76,36 @@ def lexicon_score(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Colum
 Scorer = Callable[[Column], Column]
 
 
+def once_per_process(load: Callable) -> Callable:
+    """The result of `load`, kept by the Python process for all tasks it runs with this scorer.
+
+    The holder is found by name, since functions reach a task as copies with globals of their own."""
+    key = f"model_{uuid.uuid4().hex}"
+
+    def get():
+        held = sys.modules.setdefault("_scorer_models", types.ModuleType("_scorer_models"))
+        if not hasattr(held, key):
+            setattr(held, key, load())
+        return getattr(held, key)
+
+    return get
+
+
 def batch_scorer(load: Callable[[], Callable[[Sequence[str]], Sequence[tuple[str, float]]]]) -> Scorer:
     """Scorer around an outside model that maps texts to (label, score) pairs.
 
-    `load` runs once per Python worker, on the first batch. Texts arrive in Arrow batches; their
+    `load` runs once per Python process, on the first batch. Texts arrive in Arrow batches; their
     size is set with spark.sql.execution.arrow.maxRecordsPerBatch."""
 
+    model = once_per_process(load)
+
     @F.pandas_udf(SCORE)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = None
         for texts in batches:
             if len(texts) == 0:
                 yield pd.DataFrame({"label": [], "score": []})
                 continue
-            model = model or load()
-            results = list(model(texts.fillna("").tolist()))
+            results = list(model()(texts.fillna("").tolist()))
             yield pd.DataFrame(
                 {"label": [r[0] for r in results], "score": [float(r[1]) for r in results]}
             )
@@ -105,15 +123,15 @@ def probability_scorer(
     {label, score} per text, or a single one. The model sees `batch_size` texts at a time; the
     choice of the label stays in Spark."""
 
+    model = once_per_process(load)
+
     @F.pandas_udf(CLASSES)
     def classes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = None
         for texts in batches:
             out = []
             values = texts.fillna("").tolist()
             for start in range(0, len(values), batch_size):
-                model = model or load()
-                for result in model(values[start : start + batch_size]):
+                for result in model()(values[start : start + batch_size]):
                     listed = [result] if isinstance(result, dict) else result
                     out.append(
                         [{"label": r["label"], "score": float(r["score"])} for r in listed]
@@ -146,13 +164,12 @@ def compound_scorer(load: Callable[[], Callable[[Sequence[str]], Sequence[float]
     """Scorer around an outside model that maps texts to one number from -1 to +1; the label is
     cut in Spark."""
 
+    model = once_per_process(load)
+
     @F.pandas_udf("double")
     def compound(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = None
         for texts in batches:
-            if len(texts):
-                model = model or load()
-            yield pd.Series(model(texts.fillna("").tolist()) if len(texts) else [], dtype="float64")
+            yield pd.Series(model()(texts.fillna("").tolist()) if len(texts) else [], dtype="float64")
 
     def score(text: Column) -> Column:
         value = compound(text)
@@ -161,28 +178,9 @@ def compound_scorer(load: Callable[[], Callable[[Sequence[str]], Sequence[float]
     return score
 
 
-def vader_model():
-    """Loader for the third-party lexicon model, where its package is installed."""
-    from vaderSentiment.vaderSentiment import SentimentIntensityAnalyzer
-
-    analyzer = SentimentIntensityAnalyzer()
-    return lambda texts: [analyzer.polarity_scores(text)["compound"] for text in texts]
-
-
-def finbert_model():
-    """Loader for the third-party transformer classifier, where its package is installed."""
-    from transformers import pipeline
-
-    classify = pipeline("text-classification", model="ProsusAI/finbert", top_k=None)
-    return lambda texts: classify(list(texts), truncation=True)
-
-
 def default_registry() -> ScorerRegistry:
-    return ScorerRegistry(
-        lexicon=lexicon_score,
-        vader=compound_scorer(vader_model),
-        finbert=probability_scorer(finbert_model),
-    )
+    """The built-in scorer. Outside models are registered by who has them, with one of the adapters."""
+    return ScorerRegistry(lexicon=lexicon_score)
 
 
 def score_stories(stories: DataFrame, model: str, scorer: Scorer, scored_at) -> DataFrame:

@@ -128,10 +128,13 @@ def load_records(
 
 
 def score_history(
-    spark: SparkSession, paths: Paths, scorers: dict[str, scoring.Scorer], now
+    spark: SparkSession, paths: Paths, scorers: dict[str, scoring.Scorer], now, only: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Score every good story a model has not scored; returns new scores per model."""
+    """Score every good story a model has not scored, or those with an id in `only`; returns new
+    scores per model."""
     tables = history.load_history(spark, paths.history)
+    if only is not None:
+        tables = {name: frame.join(only, "headline_id", "left_semi") for name, frame in tables.items()}
     good = quality.good_headlines(tables["headlines"])
     lanes = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))

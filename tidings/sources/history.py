@@ -64,8 +64,9 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def count_files(spark: SparkSession, history_dir: str) -> int:
     """Parquet files in the history."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
     return sum(
-        len(read_table(spark, history_dir, table).inputFiles())
+        files.load(_folder(history_dir, table)).select("length").count()  # contents are not read
         for table in TABLES
         if exists(spark, _folder(history_dir, table))
     )
@@ -129,8 +130,14 @@ def upsert_months(spark: SparkSession, history_dir: str, batch: DataFrame) -> se
 
 
 def append_sentiment(spark: SparkSession, history_dir: str, scored: DataFrame) -> None:
-    """Add new scores. The caller has checked them with `append_scores`; existing files stay as
-    they are."""
+    """Add new scores; existing files stay as they are. A second score of a story by one model is
+    an error, found before anything is written. Only keys of the new rows are looked up."""
+    key = ["headline_id", "model"]
+    twice = scored.groupBy(*key).count().filter("count > 1").select(*key)
+    known = read_table(spark, history_dir, "sentiment").select(*key).join(scored.select(*key), key, "left_semi")
+    clash = twice.unionByName(known).first()
+    if clash is not None:
+        raise ValueError(f"story scored twice: {clash['headline_id']} {clash['model']}")
     order = ["month", *SORT_BY["sentiment"]]
     (
         scored.select(*SENTIMENT.fieldNames())

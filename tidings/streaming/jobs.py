@@ -15,6 +15,7 @@ from tidings.operators import sightings
 from tidings.operators.scoring import Scorer
 from tidings.plans.jobs import Paths, score_history
 from tidings.schemas import RAW_RECORD
+from tidings.session import scratch
 from tidings.sources import history, raw
 
 
@@ -63,13 +64,15 @@ def score_stream(
     records: DataFrame, paths: Paths, checkpoint: str, scorers: dict[str, Scorer], now,
     trigger: dict = {"availableNow": True},
 ) -> StreamingQuery:
-    """Upsert arriving records and score the stories that are still pending, once per story and
-    model."""
+    """Upsert arriving records and score their stories, once per story and model. Titles and scores
+    of other stories are passed over by id; a new model over the whole history is a batch job."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        history.upsert_months(spark, paths.history, sightings.rebuild(sightings.normalize(batch)))
-        score_history(spark, paths, scorers, now)
+        with scratch(spark) as store:
+            fresh = store(sightings.rebuild(sightings.normalize(batch)))
+            history.upsert_months(spark, paths.history, fresh)
+            score_history(spark, paths, scorers, now, fresh.select("headline_id").distinct())
 
     return _start(records, checkpoint, work, trigger)
 
