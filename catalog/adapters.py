@@ -209,3 +209,21 @@ def feed_documents(spark: SparkSession, sf_dir: str, past_day: bool = False) ->
     )
 
 
+def long_feeds(spark: SparkSession, sf_dir: str, past_day: bool = False) -> DataFrame:
+    """Feed documents of up to 64 items in the order of `ord`, collected at the start of their day,
+    with bare ampersands and `&nbsp;`. Every seventh item is broken. A feed of the topic `podcast`
+    has no items on any day."""
+    single = feed_documents(spark, sf_dir, past_day)
+    item = F.replace(F.regexp_extract("content", "(?s)<item>.*</item>", 0), F.lit("&amp;"), F.lit("&"))
+    item = F.replace(item, F.lit("</title>"), F.lit("&nbsp;</title>"))
+    item = F.when(F.col("ord") % 7 == 0, F.lit("<item><title>Cut <b></title></item>")).otherwise(item)
+    full = single.groupBy("run_date", "topic", F.floor(F.col("ord") / 64).alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("ord", item.alias("item")))).alias("items")
+    ).select("run_date", "topic", "part", F.array_join(F.transform("items", lambda i: i["item"]), "\n").alias("body"))
+    bare = single.select("run_date", F.lit("podcast").alias("topic"), F.lit(0).cast("long").alias("part"), F.lit("").alias("body")).distinct()
+    return full.unionByName(bare).select(
+        "run_date", "topic", "part", F.col("run_date").cast("timestamp_ntz").alias("collected_at"),
+        F.concat(F.lit("<rss><channel>"), "body", F.lit("</channel></rss>")).alias("content"),
+    )
+
+

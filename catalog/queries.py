@@ -16,7 +16,7 @@ from tidings.functions import labels, links, quality as quality_functions, text,
 from tidings.operators import activity, agreement, dimensions, editions, quality, scoring, sightings
 from tidings.plans import jobs, reports, views
 from tidings.session import shared_folder
-from tidings.sources import feeds, history, raw
+from tidings.sources import documents, feeds, history, raw
 from tidings.streaming import jobs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,30 @@ def feed_drop_counts(spark, sf):
     return plain(drops)
 
 
+# the same items in long documents: collected at the start of the day, every seventh broken
+_LONG = """SELECT * REPLACE (CAST(run_date AS TIMESTAMP) AS collected_at,
+    published IS NOT NULL AND published < CAST(run_date AS TIMESTAMP) - INTERVAL 1 day AS outside), ord % 7 = 0 AS broken FROM feed"""
+
+
+@query(sql(f"""SELECT run_date, topic, count(*) AS items, count(*) FILTER (WHERE NOT broken AND NOT outside AND reason IS NOT NULL) AS low_quality,
+  count(*) FILTER (WHERE NOT broken AND outside) AS outside_window, count(*) FILTER (WHERE broken) AS unparsed
+  FROM ({_LONG}) GROUP BY run_date, topic
+  UNION ALL SELECT DISTINCT run_date, 'podcast', 0, 0, 0, 0 FROM feed""", "feed"))
+def feed_malformed(spark, sf):
+    """Drop counts of long feeds that are not well-formed, with feeds without items."""
+    _, drops = feeds.parse_feed(A.long_feeds(spark, sf), order=["part"])
+    return plain(drops)
+
+
+@query(sql(f"""SELECT {_RECORD} FROM (SELECT *, row_number() OVER (PARTITION BY run_date, topic ORDER BY published DESC NULLS LAST, ord) AS place FROM (
+  SELECT * FROM ({_LONG}) WHERE reason IS NULL AND NOT outside AND NOT broken
+  QUALIFY row_number() OVER (PARTITION BY run_date, topic, headline_id ORDER BY published DESC NULLS LAST, ord) = 1) QUALIFY place <= 8)""", "feed"))
+def feed_item_order(spark, sf):
+    """Records of long feeds; items of one time keep the order of their feed."""
+    records, _ = feeds.parse_feed(A.long_feeds(spark, sf), order=["part"])
+    return records.withColumn("place", F.col("place").cast("long"))
+
+
 def _landed(spark, sf, records=None) -> jobs.Paths:
     """The records landed as raw partitions in a new folder."""
     paths = jobs.Paths(shared_folder(spark, "catalog"))
@@ -136,6 +160,21 @@ def history_upsert_months(spark, sf):
     return plain(history.load_history(spark, paths.history)["headlines"])
 
 
+@query(sql("""SELECT (SELECT count(DISTINCT strftime(first_run_date, '%Y-%m')) FROM head)
+  + (SELECT count(DISTINCT strftime(scored_at, '%Y-%m')) FROM sent) AS months, true AS all_counted""", "head", "sent"))
+def history_file_count(spark, sf):
+    """Stored months of both tables, and whether every file that holds rows is counted."""
+    folder = _stored(spark, sf).history
+    held = None
+    for name in history.TABLES:
+        part = history.read_table(spark, folder, name).select(F.lit(name).alias("t"), "month", F.col("_metadata.file_path").alias("file"))
+        held = part if held is None else held.unionByName(part)
+    return held.agg(
+        F.count_distinct("t", "month").alias("months"),
+        (F.count_distinct("file") == history.count_files(spark, folder)).alias("all_counted"),
+    )
+
+
 # ---------------------------------------------------------------- projections and filters
 
 
@@ -194,7 +233,8 @@ def quality_split(spark, sf):
 
 @query(sql("SELECT title, source, link, place FROM edition WHERE topic = 'view'", "edition"))
 def edition_topic(spark, sf):
-    latest = reports.latest_report(A.good(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS)
+    good = A.good(spark, sf)
+    latest = reports.latest_report(good, A.sentiment(spark, sf), run_date=_last_day(good), topics=A.TOPICS)
     block = reports.edition_of_topic(latest, "VIEW")
     return block.select(F.posexplode("articles").alias("place", "a")).select(
         "a.title", F.nullif(F.col("a.source"), F.lit("Unknown")).alias("source"),
@@ -388,7 +428,8 @@ def batch_collapse(spark, sf):
 @query(sql("""SELECT topic, headline_id, title, source, link, CAST(published_at AS VARCHAR) AS published_at, place FROM edition""",
            "edition"))
 def edition_top_k(spark, sf):
-    return plain(editions.edition(A.good(spark, sf)).withColumn("place", F.col("place").cast("long")))
+    good = A.good(spark, sf)
+    return plain(editions.edition(good, _last_day(good)).withColumn("place", F.col("place").cast("long")))
 
 
 @query(sql("""SELECT CAST(run_date AS VARCHAR) AS run_date, topic, headline_id, ord,
@@ -722,9 +763,65 @@ def backfill_land(spark, sf):
     return raw.read_raw(spark, paths.raw).select(*_RAW_FIELDS[2:], "collection")
 
 
+_DAYS = """SELECT CAST(unnest(generate_series(max(CAST(run_date AS TIMESTAMP)) - INTERVAL 29 day, max(CAST(run_date AS TIMESTAMP)), INTERVAL 1 day)) AS DATE) AS d FROM raw"""
+
+
+@query(sql(f"""SELECT (SELECT string_agg(t.topic || ' (' || CAST(d AS VARCHAR) || ')', ',' ORDER BY d, t.ord) FROM ({_DAYS}) AS days, topics AS t
+    WHERE NOT EXISTS (SELECT 1 FROM raw AS r WHERE r.topic = t.topic AND CAST(r.run_date AS DATE) = d)) AS failed,
+  (SELECT count(*) FROM pastfeed WHERE reason IS NOT NULL AND NOT outside AND CAST(run_date AS DATE) IN (SELECT d FROM ({_DAYS}))) AS low_quality,
+  (SELECT count(DISTINCT run_date) FROM got) AS fetched, 30 - (SELECT count(DISTINCT run_date) FROM got) AS empty,
+  (SELECT count(*) FROM got) AS records, (SELECT count(*) FROM (SELECT DISTINCT topic, headline_id FROM got)) AS inserted,
+  (SELECT count(*) FROM got) - (SELECT count(*) FROM (SELECT DISTINCT topic, headline_id FROM got)) AS seen_again,
+  (SELECT count(DISTINCT headline_id) FROM got) AS scored, (SELECT count(*) FROM (SELECT DISTINCT topic, headline_id FROM got)) AS history_after
+  """, "pastfeedtop", "raw", "topics").replace("\nSELECT (SELECT string_agg", f""",
+got AS (SELECT * FROM pastfeedtop WHERE CAST(run_date AS DATE) IN (SELECT d FROM ({_DAYS})))
+SELECT (SELECT string_agg"""))
+def backfill_job(spark, sf):
+    """The counters of a backfill of the latest 30 run dates into an empty lake."""
+    paths = jobs.Paths(shared_folder(spark, "catalog"))
+    feeds_ = A.feed_documents(spark, sf, past_day=True)
+    today = feeds_.agg(F.date_add(F.max("run_date"), 1).alias("d")).first()["d"]
+    run = jobs.run_backfill(
+        spark, paths, feeds_, today=today, days=30, now=f"{today}T00:00:00Z", topics=A.TOPICS, order=["ord"]
+    )
+    stored = history.load_history(spark, paths.history)["headlines"]
+    fill = run["backfill"]
+    numbers = {
+        "low_quality": run["filtered_low_quality"], "fetched": len(fill["fetched"]), "empty": len(fill["empty"]),
+        "records": fill["records"], "inserted": run["inserted"], "seen_again": run["seen_again"], "scored": run["scored"]["lexicon"],
+    }
+    return stored.agg(F.count("*").alias("history_after")).select(
+        F.lit(",".join(run["failed_topics"])).alias("failed"),
+        *[F.lit(n).cast("long").alias(name) for name, n in numbers.items()], "history_after",
+    )
+
+
+@query(sql("""SELECT count(*) AS n, round(100 * avg(CAST(label_a = label_b AS DOUBLE)), 2) AS percent_agreement,
+  (SELECT string_agg(CAST(n AS VARCHAR), ',' ORDER BY "row", col) FROM matrix) AS matrix FROM stories""", "stories", "matrix"))
+def compare_job(spark, sf):
+    """The agreement document of the job, as read back."""
+    paths = _stored(spark, sf)
+    report = jobs.compare(spark, paths, MODEL_A, MODEL_B, topics=A.TOPICS)
+    cells = F.transform(F.flatten("confusion_matrix.matrix"), lambda n: n.cast("string"))
+    return report.select("n", "percent_agreement", F.array_join(cells, ",").alias("matrix"))
+
+
 # ---------------------------------------------------------------- reports
 
 
+@query(sql("SELECT e.topic, e.place, e.headline_id AS id, e.title FROM edition AS e JOIN topics AS t USING (topic)", "edition", "topics"))
+def report_document_roundtrip(spark, sf):
+    """The latest document written as JSON and read back, its articles unfolded."""
+    good = A.good(spark, sf)
+    latest = reports.latest_report(good, A.sentiment(spark, sf), run_date=_last_day(good), topics=A.TOPICS)
+    folder = shared_folder(spark, "document")
+    documents.write_document(latest, folder)
+    read = documents.read_document(spark, folder, latest.schema)
+    return read.select(F.inline("topics")).select("label", F.posexplode("articles").alias("at", "a")).select(
+        F.col("label").alias("topic"), (F.col("at") + 1).cast("long").alias("place"), "a.id", "a.title"
+    )
+
+
 @query(sql(f"""SELECT e.topic, e.place, e.headline_id AS id, e.title, coalesce(e.source, 'Unknown') AS source, coalesce(e.link, '') AS link,
   strftime(e.published_at, {ISO}) AS published,
   CASE WHEN b.model IS NOT NULL THEN b.model ELSE a.model END AS model,
@@ -734,7 +831,8 @@ def backfill_land(spark, sf):
   FROM edition AS e LEFT JOIN sent AS a ON a.headline_id = e.headline_id AND a.model = '{MODEL_A}'
   LEFT JOIN sent AS b ON b.headline_id = e.headline_id AND b.model = '{MODEL_B}'""", "edition", "sent"))
 def report_latest(spark, sf):
-    articles = reports.edition_articles(A.good(spark, sf), A.sentiment(spark, sf))
+    good = A.good(spark, sf)
+    articles = reports.edition_articles(good, A.sentiment(spark, sf), _last_day(good))
     return articles.select(
         "topic", F.col("place").cast("long").alias("place"), "id", "title", "source", "link", "published",
         "sentiment.model", "sentiment.label", "sentiment.score", F.size("scores").cast("long").alias("models"),
@@ -790,7 +888,9 @@ def report_agreement(spark, sf):
     count(DISTINCT headline_id) AS n FROM good GROUP BY 1 ORDER BY n DESC, source LIMIT 10)) AS sources""",
            "head", "good", "sent", "topics", "edition", "activity"))
 def report_status(spark, sf):
-    status = reports.status_report(A.headlines(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS)
+    status = reports.status_report(
+        A.headlines(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS, run_date=_last_day(A.good(spark, sf))
+    )
 
     def listed(column, render) -> F.Column:
         return F.array_join(F.transform(column, render), ",")

@@ -60,9 +60,10 @@ def test_filters_and_columns_reach_the_scan(tables):
     assert "ReadSchema: struct<headline_id:string,topic:string>" in pending
 
 
-def test_pairing_reads_the_scores_once(tables):
+def test_pairing_reads_each_models_scores_only(tables):
     text = plan(agreement.paired_scores(tables["headlines"], tables["sentiment"], "a", "b"))
-    assert text.count("ReadSchema: struct<headline_id:string,model:string") == 1
+    assert text.count("EqualTo(model,a)") == 1 and text.count("EqualTo(model,b)") == 1
+    assert "SortAggregate" not in text
 
 
 def test_activity_reads_the_history_once(tables):

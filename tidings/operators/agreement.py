@@ -14,23 +14,15 @@ STORY_COLUMNS = ["topic", "title", "source", "link", "last_run_date"]
 def paired_scores(good: DataFrame, sentiment: DataFrame, model_a: str, model_b: str) -> DataFrame:
     """One row per good headline and topic that both models scored.
 
-    The two scores of a story are brought together by one aggregate on headline_id; joining the
-    sentiment table twice would shuffle it twice."""
-
-    def of(model: str) -> Column:
-        return F.max(F.when(F.col("model") == model, F.struct("label", "score")))
-
-    both = (
-        sentiment.filter(F.col("model").isin(model_a, model_b))
-        .groupBy("headline_id")
-        .agg(of(model_a).alias("a"), of(model_b).alias("b"))
-        .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-        .select(
-            "headline_id",
-            F.col("a.label").alias("label_a"), F.col("a.score").alias("score_a"),
-            F.col("b.label").alias("label_b"), F.col("b.score").alias("score_b"),
+    Each side reads only its model's scores, and all three inputs meet on headline_id. A story has
+    one score per model, which the append guards."""
+
+    def of(model: str, side: str) -> DataFrame:
+        return sentiment.filter(F.col("model") == model).select(
+            "headline_id", F.col("label").alias(f"label_{side}"), F.col("score").alias(f"score_{side}")
         )
-    )
+
+    both = of(model_a, "a").join(of(model_b, "b"), "headline_id")
     return good.select("headline_id", *STORY_COLUMNS).join(both, "headline_id")
 
 

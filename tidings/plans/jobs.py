@@ -12,7 +12,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.config import BACKFILL_TAG, DEFAULT_MODELS, MAX_PER_TOPIC, TOPICS, TREND_DAYS
+from tidings.config import BACKFILL_TAG, DEFAULT_MODELS, MAX_PER_TOPIC, TOPICS, TREND_DAYS, topic_list
 from tidings.functions.quality import is_low_quality
 from tidings.functions.times import edition_day, on_utc_day
 from tidings.operators import activity, quality, scoring, sightings
@@ -97,7 +97,7 @@ def write_reports(
         )
         documents.write_document(
             reports.status_report(
-                headlines, sentiment, run=run, topics=topics, limit=limit, flagged=flagged,
+                headlines, sentiment, run=run, topics=topics, limit=limit, flagged=flagged, run_date=latest,
                 parquet_files=history.count_files(spark, paths.history), generated_at=generated_at,
             ),
             paths.report("status"),
@@ -176,6 +176,63 @@ def run_day(
     return load_records(spark, paths, batch, scorers, now=now, run=run, topics=topics)
 
 
+def without_document(run_dates: DataFrame, documents_: DataFrame, topics=TOPICS) -> DataFrame:
+    """(run_date, ord, topic): configured topics that have no landed document on a run date. A
+    document without items counts as landed."""
+    named = [
+        F.struct(F.lit(i).alias("ord"), F.lit(t.label).alias("topic"))
+        for i, t in enumerate(topic_list(topics))
+    ]
+    feed = ["run_date", "topic"]
+    return run_dates.select("run_date", F.inline(F.array(*named))).join(
+        documents_.select(*feed), feed, "left_anti"
+    )
+
+
+def _low_quality(items: DataFrame) -> int:
+    return items.filter(F.col("dropped") == "low_quality").count()
+
+
+def run_feed_day(
+    spark: SparkSession, paths: Paths, documents_: DataFrame, run_date: date, *, now,
+    models: Sequence[str] = DEFAULT_MODELS, registry: scoring.ScorerRegistry | None = None,
+    topics=TOPICS, order: list[str] = [], limit: int = MAX_PER_TOPIC,
+) -> dict:
+    """One run date from its landed feed documents: parse, land, load.
+
+    A configured topic without a document has failed; when all have, nothing is landed or loaded.
+    What the quality filter drops here is counted together with what the load flags."""
+    (registry or scoring.default_registry()).choose(models)  # an unknown name fails first
+    day = F.to_date(F.lit(str(run_date)))
+    given = documents_.filter(F.col("run_date") == day)
+    wanted = spark.range(1).select(day.alias("run_date"))
+    failed = [r["topic"] for r in without_document(wanted, given, topics).orderBy("ord").collect()]
+    if len(failed) == len(topic_list(topics)):
+        raise RuntimeError(f"no topic has a feed document for {run_date}")
+    with scratch(spark) as store:
+        items = store(feeds.read_items(given, feeds.daily_window(), order))  # counted and landed
+        return run_day(
+            spark, paths, run_date, now=now, models=models, registry=registry, topics=topics,
+            collected=feeds.feed_records(items, position=[*order, "position"], limit=limit),
+            run={"failed_topics": failed, "filtered_low_quality": _low_quality(items)},
+        )
+
+
+def _backfill_items(documents_: DataFrame, missing: DataFrame, order: list[str]) -> DataFrame:
+    """Classified items of the documents of the given run dates."""
+    wanted = documents_.join(missing, "run_date", "left_semi")
+    return feeds.read_items(
+        wanted, lambda published: on_utc_day(published, edition_day(F.col("run_date"))), order
+    )
+
+
+def _backfilled(items: DataFrame, limit: int, order: list[str]) -> DataFrame:
+    records = feeds.feed_records(
+        items, position=[*order, "position"], limit=limit, extra={"collection": BACKFILL_TAG}
+    )
+    return records.withColumn("date", F.col("run_date"))
+
+
 def backfill_records(
     documents_: DataFrame, landed: DataFrame, today, days: int, *,
     limit: int = MAX_PER_TOPIC, order: list[str] = [],
@@ -184,40 +241,42 @@ def backfill_records(
 
     A document of run date R gives the items published on the UTC day before R. Records carry
     the backfill tag and their partition in `date`."""
-    # at most BACKFILL_MAX_DAYS rows
-    missing = F.broadcast(missing_dates(landed, today, days))
-    wanted = documents_.join(missing, "run_date", "left_semi")
-    records, drops = feeds.parse_feed(
-        wanted,
-        in_window=lambda published: on_utc_day(published, edition_day(F.col("run_date"))),
-        limit=limit, extra={"collection": BACKFILL_TAG}, order=order,
-    )
-    return records.withColumn("date", F.col("run_date")), drops
+    items = _backfill_items(documents_, missing_dates(landed, today, days), order)
+    return _backfilled(items, limit, order), feeds.drop_counts(items)
 
 
 def run_backfill(
     spark: SparkSession, paths: Paths, documents_: DataFrame, *, today: date, days: int, now,
     models: Sequence[str] = DEFAULT_MODELS, registry: scoring.ScorerRegistry | None = None,
-    topics=TOPICS, order: list[str] = [],
+    topics=TOPICS, order: list[str] = [], limit: int = MAX_PER_TOPIC,
 ) -> dict:
     """Land the missing run dates from feed documents, then load every landed partition.
 
     Dates with a partition are skipped; a date without items is not written and stays missing,
-    so a later backfill tries it again."""
+    so a later backfill tries it again. A configured topic without a document on a missing date
+    is listed as failed, with the date."""
     scorers = (registry or scoring.default_registry()).choose(models)
     landed = raw.partition_dates(spark, paths.raw)
-    records, drops = backfill_records(documents_, landed, today, days, order=order)
-    # at most BACKFILL_MAX_DAYS dates reach the driver
-    covered = [
-        str(r["run_date"]) for r in missing_dates(landed.limit(0), today, days).orderBy("run_date").collect()
+    # at most BACKFILL_MAX_DAYS dates reach the driver; the landed files are listed once
+    span = missing_dates(landed.limit(0), today, days).join(
+        landed.withColumn("known", F.lit(True)), "run_date", "left"
+    ).orderBy("run_date").collect()
+    covered = [str(r["run_date"]) for r in span]
+    missing = [str(r["run_date"]) for r in span if not r["known"]]
+    open_dates = spark.createDataFrame([(r["run_date"],) for r in span if not r["known"]], "run_date date")
+    # at most one line per missing date and configured topic
+    failed = [
+        f"{r['topic']} ({r['run_date']})"
+        for r in without_document(open_dates, documents_, topics).orderBy("run_date", "ord").collect()
     ]
-    missing = [str(r["run_date"]) for r in missing_dates(landed, today, days).collect()]
-    dropped = drops.agg(F.coalesce(F.sum("low_quality"), F.lit(0)).alias("n")).first()["n"]
-    written = raw.write_partitions(spark, paths.raw, records)
-    per_day = written.groupBy("date").agg(F.sum("n").alias("n"))
-    fetched = {r["date"]: r["n"] for r in per_day.collect()}
+    with scratch(spark) as store:
+        items = store(_backfill_items(documents_, open_dates, order))  # counted and landed
+        dropped = _low_quality(items)
+        written = raw.write_partitions(spark, paths.raw, _backfilled(items, limit, order))
+        per_day = written.groupBy("date").agg(F.sum("n").alias("n"))
+        fetched = {r["date"]: r["n"] for r in per_day.collect()}
     run = {
-        "run_date": covered[-1], "mode": "backfill", "failed_topics": [],
+        "run_date": covered[-1], "mode": "backfill", "failed_topics": failed,
         "filtered_low_quality": dropped, "requests": 0,
         "backfill": {
             "days": days, "first_run_date": covered[0], "last_run_date": covered[-1],

@@ -362,9 +362,10 @@ def run_block(run: dict | None) -> Column:
 def status_report(
     headlines: DataFrame, sentiment: DataFrame, *, run: dict | None = None, topics=TOPICS,
     limit: int = MAX_PER_TOPIC, trend_days: int = TREND_DAYS, parquet_files: int = 0,
-    generated_at=None, flagged: DataFrame | None = None,
+    generated_at=None, flagged: DataFrame | None = None, run_date=None,
 ) -> DataFrame:
-    """One row: the run, the size of the history, and counts per topic, run date and source."""
+    """One row: the run, the size of the history, and counts per topic, run date and source.
+    `run_date` is the date of the latest edition where it is known; a value prunes the scan."""
     kept = quality.good_headlines(headlines, flagged)
     scored = activity.sentiment_counts(kept, sentiment)
     head = _one_row(
@@ -373,7 +374,7 @@ def status_report(
         _h=history_numbers(headlines, flagged).select(F.struct("*")).scalar(),
         _scored=_sorted_list(scored, ["model"], ["model", "n"]),
         topics=_sorted_list(
-            topic_sizes(kept, None, topics, limit).withColumnRenamed("topic", "label"),
+            topic_sizes(kept, run_date, topics, limit).withColumnRenamed("topic", "label"),
             ["ord"], ["label", "query", "edition", "total"],
         ),
         daily=_sorted_list(

@@ -138,6 +138,11 @@ def feed_records(
     )
 
 
+def read_items(documents: DataFrame, in_window: InWindow, order: list[str] = []) -> DataFrame:
+    """The classified items of documents with topic, run_date, collected_at, content."""
+    return classify_items(feed_items(documents, [*FEED, "collected_at", *order]), in_window)
+
+
 def parse_feed(
     documents: DataFrame,
     *,
@@ -151,9 +156,7 @@ def parse_feed(
 
     A feed may be spread over several documents; `order` names the columns that put them in
     sequence. Documents are parsed where they are read; only keys, ranks and kept items move."""
-    keep = [*FEED, "collected_at", *order]
-    items = feed_items(documents, keep)
-    classified = classify_items(items, in_window or daily_window(days_back))
+    classified = read_items(documents, in_window or daily_window(days_back), order)
     records = feed_records(
         classified, position=[*order, "position"], limit=limit, extra=extra
     )
