@@ -13,6 +13,8 @@ from tidings.llm import decontamination, jaccard, pieces, quality_model, secrets
 from tidings.llm.common import stored, table  # noqa: E402
 from tidings.session import own_folder  # noqa: E402
 
+# near copies are those of op9: shingles of so many words, so much of them shared
+NEAR_WORDS, NEAR_PERCENT = jaccard.WORDS, jaccard.PERCENT
 # SQL cannot train the classifier or sample segmentations
 ORACLE_SQL = None
 
@@ -24,8 +26,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of every group of near copies."""
-    return jaccard.one_of_each(docs)
+    """One document, that of the smallest id, of every group of near copies by op9's contract."""
+    return jaccard.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

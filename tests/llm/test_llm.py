@@ -172,6 +172,15 @@ def test_jaccard_components(spark):
     assert jaccard.one_of_each(docs(spark, texts)).count() == len(set(label))
 
 
+def test_jaccard_with_other_words_and_percent(spark):
+    base = [f"w{i}" for i in range(120)]
+    # shared of all: 4 words 117/127 and 117/139, 5 words 116/126 and 116/138
+    frame = docs(spark, [" ".join(base), " ".join(base + [f"x{i}" for i in range(10)]), " ".join(base + [f"y{i}" for i in range(22)])])
+    kept = lambda *a: {r["doc_id"] for r in jaccard.one_of_each(frame, *a).collect()}
+    assert kept() == {0, 2} and kept(5, 80) == {0} and kept(5, 95) == {0, 1, 2}
+    assert {r["n_shingles"] for r in jaccard.link(frame, 5, 80).collect()} == {116, 126, 138}
+
+
 def test_chain_marginals_by_enumeration():
     chain = toxicity.Chain(np.array([-1.0, 0.3, 2.0, 1.0, 0.5, 0.4, -0.3]), np.array([[0.2, -1.0], [-0.5, 0.9]]))
     levels = [0, 0, 2, 0, 1, 0, 0, 3, 3, 0]

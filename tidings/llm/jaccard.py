@@ -228,7 +228,7 @@ class Forest:
 
 # --- Spark ------------------------------------------------------------------------------------
 
-def nodes(documents: DataFrame) -> DataFrame:
+def nodes(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, node); node is null for an empty set."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
 
@@ -236,7 +236,7 @@ def nodes(documents: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, keys = [], []
             for text in batch.column(1):
-                sh = shingles(text_bytes(text.as_py()))
+                sh = shingles(text_bytes(text.as_py()), words)
                 sizes.append(len(sh))
                 keys.append(node(sh) if len(sh) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], schema=schema)
@@ -244,7 +244,7 @@ def nodes(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_shingles long, node long")
 
 
-def places(documents: DataFrame) -> DataFrame:
+def places(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(place, node, near): where the sets meet. Of the nodes of one batch that meet at a place only
     the smallest stands for it; the others say in `near` which one that is, so that a hot place
     gets one row from each batch."""
@@ -263,10 +263,10 @@ def places(documents: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(place[keep].astype(np.int64)), pa.array(key[keep]), near], schema=schema)
 
     def rows(batches):
-        bands, found, keys, size = Bands(), [], [], 0
+        bands, found, keys, size = Bands(percent), [], [], 0
         for batch in batches:
             for text in batch.column(0):
-                sh = shingles(text_bytes(text.as_py()))
+                sh = shingles(text_bytes(text.as_py()), words)
                 if not len(sh):
                     continue
                 found.append(meetings(sh, bands))
@@ -281,25 +281,25 @@ def places(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(rows, "place long, node long, near long")
 
 
-def met(documents: DataFrame) -> DataFrame:
+def met(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(place, node, near) for places where two nodes or more meet; `near` is the smallest of them
     (of those in the batch, for a node that another stood for)."""
     spread = F.when(F.col("near").isNotNull(), F.col("node")).otherwise(0)
     at = W.partitionBy("place", "spread")
-    ranked = places(documents).withColumn("spread", spread).withColumns({
+    ranked = places(documents, words, percent).withColumn("spread", spread).withColumns({
         "least": F.min("node").over(at), "most": F.max("node").over(at),
     })
     return ranked.filter(F.col("near").isNotNull() | (F.col("least") < F.col("most"))).select(
         "place", "node", F.coalesce("near", "least").alias("near"))
 
 
-def sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets(documents: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, set, point) of the wanted nodes, each from its document `rep`."""
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary()), ("point", pa.binary())])
 
     def rows(batches):
         for batch in batches:
-            out = [shingles(text_bytes(t.as_py())) for t in batch.column(1)]
+            out = [shingles(text_bytes(t.as_py()), words) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([s.tobytes() for s in out], pa.binary()),
                 pa.array([groups_of(s).tobytes() for s in out], pa.binary()),
@@ -311,15 +311,15 @@ def sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return read.dropDuplicates(["node"])
 
 
-def verify(pairs: DataFrame, content: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The (a, b) of `pairs` that link: points first, then sets."""
     @F.pandas_udf("boolean")
     def may(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([bounded(numbered(np.frombuffer(x, np.uint16)), numbered(np.frombuffer(y, np.uint16))) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([bounded(numbered(np.frombuffer(x, np.uint16)), numbered(np.frombuffer(y, np.uint16)), percent) for x, y in zip(a, b)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def do(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)], dtype=bool)
 
     def with_both(frame, column):
         left = content.select(F.col("node").alias("a"), F.col(column).alias("x"))
@@ -355,7 +355,7 @@ def components(links: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool) -> DataFrame:
+def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool, percent: int = PERCENT) -> DataFrame:
     """(place, a, b): pairs of nodes of one place that have different labels and may link by their
     points. `mixed` has place, node, label and n, the nodes of the place.
 
@@ -385,12 +385,12 @@ def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool) -> DataFrame:
         tree, joined = Tree([np.frombuffer(r[3], np.uint16) for r in right]), Forest()
         nodes_, labels_ = np.array([r[1] for r in right]), np.array([r[2] for r in right])
         for _, node_, label, where in left:
-            at, full = tree.near(np.frombuffer(where, np.uint16))
+            at, full = tree.near(np.frombuffer(where, np.uint16), percent)
             at = at[(labels_[at] != label) & ((nodes_[at] > node_) if i == j else True)]
             for at_, b, other in zip(at.tolist(), nodes_[at].tolist(), labels_[at].tolist()):
                 if forest and joined.top(label) == joined.top(other):
                     continue
-                if bounded(tree.full[at_], full):
+                if bounded(tree.full[at_], full, percent):
                     joined.join(label, other)
                     yield place, min(node_, b), max(node_, b)
 
@@ -436,33 +436,33 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def link(documents: DataFrame) -> DataFrame:
+def link(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest id that links reach."""
-    rows = stored(nodes(documents), "nodes")
-    meeting = stored(met(documents), "meeting")
+    rows = stored(nodes(documents, words), "nodes")
+    meeting = stored(met(documents, words, percent), "meeting")
     reps = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
     wanted = meeting.select("node").union(meeting.select("near")).distinct()
-    content = stored(sets(documents, reps.join(wanted, "node", "left_semi")), "sets")
+    content = stored(sets(documents, reps.join(wanted, "node", "left_semi"), words), "sets")
     shared = meeting.filter("node <> near").groupBy("node", "near").agg(F.count("*").alias("n"))
     shared = stored(shared.select(F.col("node").alias("b"), F.col("near").alias("a"), "n"), "shared")
     # the node met most often first
     best = shared.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
-    links = verify(best.select("a", "b"), content)
+    links = verify(best.select("a", "b"), content, percent)
     labels = components(links)
-    more = verify(_labelled(shared.select("a", "b"), labels), content)
+    more = verify(_labelled(shared.select("a", "b"), labels), content, percent)
     links = links.unionByName(more)
     labels = components(links)
     # what meets at one place and still lies in different components
     members = meeting.select("place", "node").union(meeting.select("place", F.col("near"))).distinct()
     rest = stored(mixed_places(members, labels), "mixed")
-    tried = stored(near_pairs(rest, content, True), "tried")
-    found = verify(tried.select("a", "b").distinct(), content)
+    tried = stored(near_pairs(rest, content, True, percent), "tried")
+    found = verify(tried.select("a", "b").distinct(), content, percent)
     failed = stored(tried.join(found, ["a", "b"], "left_anti").select("place").distinct(), "failed")
     links = links.unionByName(found)
     labels = components(links)
     again = rest.drop("label").join(failed, "place", "left_semi").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    links = links.unionByName(verify(near_pairs(again, content, False).select("a", "b").distinct(), content))
+    links = links.unionByName(verify(near_pairs(again, content, False, percent).select("a", "b").distinct(), content, percent))
     labels = components(links)
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
@@ -470,7 +470,7 @@ def link(documents: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("least"))).alias("component_id"))
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without those whose component has a smaller id."""
-    gone = link(documents).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = link(documents, words, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
