@@ -115,6 +115,18 @@ def test_secret_spans(spark):
     assert clean[0] is None and clean[3] == "one" and clean[len(AWKWARD) + 5] == "éé [secret]"
 
 
+def test_placeholders_excuse_their_piece_only(spark):
+    key = "9fK2xQ7bT4mZ8pL1wR6vD3nJ"
+    texts = [f"é sample-env/{key} x", f"example_id={key}", f"{key}-123456", f"a/{key}/dummy/{key[::-1]}", f"example{key}",
+             "sample-key-here-for-123456-and-changeme", "550e8400-e29b-41d4-a716-446655440000", f"0{key}"]
+    found = {r["doc_id"]: r for r in secrets.scan(docs(spark, texts)).collect()}
+    assert [len(found[i]["secrets"]) for i in range(8)] == [1, 1, 1, 2, 0, 0, 0, 1]
+    clean = [r["text"] for r in secrets.redact(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert not any(part in clean[i] for i in (0, 1, 2, 3, 7) for part in (key, key[::-1])) and "dummy" in clean[3] and clean[0].startswith("é sample")
+    for i in (0, 1, 2, 3):
+        assert all(k["stop"] <= len(texts[i]) for k in found[i]["secrets"])
+
+
 def test_window_entropy_by_counting(spark):
     value = "aab0c1d2e3f4a5b6c7d8e9f0" + "a" * 25
     got = docs(spark, [value]).select(secrets.hot_windows(F.col("text"), F.lit(3.0)).alias("h")).first()["h"]

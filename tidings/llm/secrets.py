@@ -4,7 +4,8 @@ Candidates are long runs of key characters. A window of `WINDOW` characters slid
 the sum of c*log2(c) over the character counts is kept up to date from the two characters that
 enter and leave, so the Shannon entropy of every window is known. A window counts when it passes
 the limit of its character class. Letters alone, digits alone and what the allow-list names
-(placeholders, ids in the form of a UUID) never count.
+(placeholders, ids in the form of a UUID) never count. A placeholder excuses the piece between
+separators (/ _ = -) that it stands in; what lies before and after it is judged on its own.
 
 Columns only, no shuffle. Offsets count code points, ends are exclusive. Defined results: a null
 text is empty; spans of one start are in the order of `KINDS`; repeated rows give the same result;
@@ -29,10 +30,10 @@ WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 # bits per character; 20 different characters would have 4.32
 LIMITS = {"hex": 3.0, "mixed": 3.5}
-ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|x{6}|0{8}|123456|abcdef"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-)
+ALLOWED = r"(?i)(?:example|sample|dummy|placeholder|changeme|x{6}|0{8}|123456|abcdef)"
+UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+# separators and pieces without a placeholder
+STRETCH = rf"(?:[/_=-]|(?<![A-Za-z0-9+])(?![A-Za-z0-9+]*{ALLOWED})[A-Za-z0-9+]+)+"
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 MASK = "[secret]"
 
@@ -97,6 +98,20 @@ def hot_windows(value: Column, limit: Column, width: int = WINDOW) -> Column:
     return let(F.split(value, ""), lambda c: slide(F.array_remove(c, "")))
 
 
+def stretches(text: Column, width: int = WINDOW) -> Column:
+    """The candidates; of one with placeholders, what lies outside their pieces."""
+    def outside(c: Column) -> Column:
+        parts = F.filter(matches(c["value"], STRETCH), lambda p: F.length(p["value"]) >= width)
+        return F.transform(parts, lambda p: F.struct(
+            (c["start"] + p["start"]).alias("start"), (c["start"] + p["stop"]).alias("stop"), p["value"].alias("value")))
+
+    def parted(c: Column) -> Column:
+        return F.when(F.rlike(c["value"], F.lit(UUID)), F.array().cast(SPAN)).when(
+            F.rlike(c["value"], F.lit(ALLOWED)), outside(c)).otherwise(F.array(c))
+
+    return F.flatten(F.transform(matches(text, CANDIDATE), parted))
+
+
 def entropy_spans(text: Column, width: int = WINDOW, limits: dict[str, float] = LIMITS) -> Column:
     """Spans of the candidates' windows that pass the limit of their class."""
     def judged(c: Column) -> Column:
@@ -104,13 +119,13 @@ def entropy_spans(text: Column, width: int = WINDOW, limits: dict[str, float] =
         mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
         is_hex = F.rlike(value, F.lit("^([0-9a-f]+|[0-9A-F]+)$"))
         limit = F.when(is_hex, limits["hex"]).otherwise(limits["mixed"])
-        hot = F.when(mixed & ~F.rlike(value, F.lit(ALLOWED)), hot_windows(value, limit, width))
+        hot = F.when(mixed, hot_windows(value, limit, width))
         return let(hot, lambda h: F.struct(
             (c["start"] + h["first"]).alias("start"), (c["start"] + h["last"] + width).alias("stop"),
             F.when(h["first"] >= 0, value).alias("value"),
         ))
 
-    return F.filter(F.transform(matches(text, CANDIDATE), judged), lambda s: s["value"].isNotNull())
+    return F.filter(F.transform(stretches(text, width), judged), lambda s: s["value"].isNotNull())
 
 
 def _numbered(spans: Column, kind: str) -> Column:
