@@ -207,6 +207,38 @@ def test_chain_marginals_by_enumeration():
         assert m == pytest.approx(sum(w for p, w in weights.items() if p[place]) / total)
 
 
+def test_toxicity_fits_on_all_sampled_texts(spark, monkeypatch):
+    # 300 long clean texts with more than 16,000 segments come before the toxic ones
+    plain = "word " * 60
+    texts = [("idiot " + plain) * 55] * 300 + ["idiot fool idiot fool " * 3] * 300
+    labels = spark.createDataFrame([(i, 1, int(i >= 300)) for i in range(600)], "doc_id long, quality int, toxic int")
+    taken, counts = [], []
+    fit_, evidence_ = toxicity.Chain.fit, toxicity.evidence
+    monkeypatch.setattr(toxicity.Chain, "fit", lambda self, x, y, w: (taken.append((len(x), y.any(1).sum())), fit_(self, x[-64:], y[-64:], w[-64:])))
+    monkeypatch.setattr(toxicity, "evidence", lambda rows, a, b: (counts.append((a, b)), {"idiot": 2, "fool": 3})[1])
+    toxicity.fit(docs(spark, texts), labels, per_class=1000)
+    (n, toxic), (a, b) = taken[0], counts[0]
+    assert n == 55 * b + a and toxic == a
+    # shares are kept by hash: more of a class may be sampled than `per_class`
+    short = docs(spark, ["fool" if i % 2 else "fine" for i in range(2000)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(2000)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "evidence", lambda rows, a, b: (counts.append((a, b, {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()})), evidence_(rows, a, b))[1])
+    for per_class in (20, 50, 100):
+        model = toxicity.fit(short, labels, per_class=per_class)
+        a, b, real = counts[-1]
+        assert (a, b) == (real[1], real[0]) and model.lexicon == {"fool": toxicity.LEVELS - 1}
+
+
+def test_chain_fits_in_blocks(monkeypatch):
+    draw = np.random.default_rng(8)
+    levels = draw.integers(0, toxicity.LEVELS, (70, toxicity.SEGMENT)).astype(np.int8)
+    whole, parts = toxicity.Chain(), toxicity.Chain()
+    whole.fit(levels, levels >= 2, np.ones(70))
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    parts.fit(levels, levels >= 2, np.ones(70))
+    assert np.allclose(whole.emit, parts.emit, atol=1e-6) and np.allclose(whole.trans, parts.trans, atol=1e-6)
+
+
 def test_models_on_little_or_odd_input(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     frame = docs(spark, AWKWARD)

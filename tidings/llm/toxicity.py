@@ -11,7 +11,8 @@ one potential, so a run of k of them is the k-th power of one 2 x 2 matrix. The
 text are gathered into its score by a logistic layer, and tokens with a marginal of `SPAN` or more
 are the offending offsets (code points, end exclusive, neighbours joined).
 
-Fitted on at most about `PER_CLASS` texts of each label. Defined results: a null or empty text has
+Fitted on at most about `PER_CLASS` texts of each label, with all segments of these around tokens
+with evidence; a step takes them a block at a time. Defined results: a null or empty text has
 no tokens; without labels or evidence every score is the share of toxic labels (0 without any);
 labels that disagree count as clean; repeated rows give the same result; other columns are kept.
 """
@@ -35,6 +36,7 @@ LEXICON = 4000  # words of evidence, the strongest
 LEAST = 4  # toxic texts a word must occur in
 WEAK, STRONG = 1.0, 2.0  # log-odds
 SEGMENT = 32
+BLOCK = 8192  # segments in one step of the gradient
 SPAN = 0.5
 CUT = 0.5
 # features of a token: its level (0 none, 1 weak .. LEVELS-1), a strong left or right neighbour
@@ -88,34 +90,44 @@ class Chain:
 
     def fit(self, levels: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> None:
         """Likelihood ascent (Adam) over equally long segments; all segments step together."""
-        f = features(levels)
-        n, length = labels.shape
+        n = len(labels)
         m = [np.zeros(LEVELS + 2), np.zeros((2, 2))]
         v = [np.zeros(LEVELS + 2), np.zeros((2, 2))]
         weight = weight / weight.sum()
         for step in range(1, STEPS + 1):
-            score = np.stack([np.zeros((n, length)), f @ self.emit], -1)
-            alpha, beta = np.empty_like(score), np.zeros_like(score)
-            alpha[:, 0] = score[:, 0]
-            for t in range(1, length):
-                alpha[:, t] = np.logaddexp(alpha[:, t - 1, :1] + self.trans[0], alpha[:, t - 1, 1:] + self.trans[1]) + score[:, t]
-            for t in range(length - 2, -1, -1):
-                after = beta[:, t + 1] + score[:, t + 1]
-                beta[:, t] = np.logaddexp(after[:, :1] + self.trans[:, 0], after[:, 1:] + self.trans[:, 1])
-            total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None]
-            toxic = np.exp(alpha[..., 1] + beta[..., 1] - total)
-            g_emit = ((labels - toxic)[..., None] * f * weight[:, None, None]).sum((0, 1)) - 1e-4 * self.emit
-            g_trans = np.zeros((2, 2))
-            for a in (0, 1):
-                for b in (0, 1):
-                    pair = np.exp(alpha[:, :-1, a] + self.trans[a, b] + score[:, 1:, b] + beta[:, 1:, b] - total)
-                    seen = (labels[:, :-1] == a) & (labels[:, 1:] == b)
-                    g_trans[a, b] = ((seen - pair) * weight[:, None]).sum() - 1e-4 * self.trans[a, b]
+            g_emit, g_trans = -1e-4 * self.emit, -1e-4 * self.trans
+            for at in range(0, n, BLOCK):
+                part = slice(at, at + BLOCK)
+                emit, trans = self._gradient(levels[part], labels[part], weight[part])
+                g_emit, g_trans = g_emit + emit, g_trans + trans
             for i, (value, g) in enumerate(((self.emit, g_emit), (self.trans, g_trans))):
                 m[i] += 0.1 * (g - m[i])
                 v[i] += 0.01 * (g * g - v[i])
                 value += RATE * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.99**step)) + 1e-9)
 
+    def _gradient(self, levels: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the weighted log-likelihood of a block of segments."""
+        f = features(levels)
+        n, length = labels.shape
+        score = np.stack([np.zeros((n, length)), f @ self.emit], -1)
+        alpha, beta = np.empty_like(score), np.zeros_like(score)
+        alpha[:, 0] = score[:, 0]
+        for t in range(1, length):
+            alpha[:, t] = np.logaddexp(alpha[:, t - 1, :1] + self.trans[0], alpha[:, t - 1, 1:] + self.trans[1]) + score[:, t]
+        for t in range(length - 2, -1, -1):
+            after = beta[:, t + 1] + score[:, t + 1]
+            beta[:, t] = np.logaddexp(after[:, :1] + self.trans[:, 0], after[:, 1:] + self.trans[:, 1])
+        total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None]
+        toxic = np.exp(alpha[..., 1] + beta[..., 1] - total)
+        g_emit = ((labels - toxic)[..., None] * f * weight[:, None, None]).sum((0, 1))
+        g_trans = np.zeros((2, 2))
+        for a in (0, 1):
+            for b in (0, 1):
+                pair = np.exp(alpha[:, :-1, a] + self.trans[a, b] + score[:, 1:, b] + beta[:, 1:, b] - total)
+                seen = (labels[:, :-1] == a) & (labels[:, 1:] == b)
+                g_trans[a, b] = ((seen - pair) * weight[:, None]).sum()
+        return g_emit, g_trans
+
     def __post_init__(self):
         self._power: dict = {}
 
@@ -209,6 +221,23 @@ def gathered(marginals: list[tuple[int, float]]) -> np.ndarray:
     return np.array([max(values, default=0.0), min(sum(values), 20.0) / 5, np.log1p(sum(values))])
 
 
+def segments_of(places: list[tuple[int, int]]) -> list[np.ndarray]:
+    """Levels of the stretches of `SEGMENT` tokens that cover all tokens with evidence; one without
+    evidence for a text that has none. `places` ends with the token count."""
+    out, seen = [], -1
+    for i, (p, _) in enumerate(places[:-1] or [(places[-1][0] // 2, 0)]):
+        if p <= seen:
+            continue
+        begin = max(0, p - 5)
+        line = np.zeros(SEGMENT, np.int8)
+        for q, level_ in places[max(0, i - 5) : min(len(places) - 1, i + SEGMENT)]:
+            if begin <= q < begin + SEGMENT:
+                line[q - begin] = level_
+        out.append(line)
+        seen = begin + SEGMENT
+    return out
+
+
 def fit(documents: DataFrame, labels: DataFrame, held: int = 0, modulo: int = 5, per_class: int = PER_CLASS) -> Model:
     rows, counts = joined_sample(documents, labels, "toxic", held, modulo, per_class)
     n_toxic = sum(n for k, n in counts.items() if k > 0)
@@ -217,7 +246,11 @@ def fit(documents: DataFrame, labels: DataFrame, held: int = 0, modulo: int = 5,
     model = Model({}, Chain(), None, prior)
     if not n_toxic or not n_clean:
         return model
-    model.lexicon = evidence(rows, min(n_toxic, per_class), min(n_clean, per_class))
+    # what was really sampled: shares are kept by hash, so it can be more than `per_class`
+    sampled = rows.agg(F.count_if(F.col("label") > 0).alias("toxic"), F.count_if(F.col("label") <= 0).alias("clean")).first()
+    if not sampled["toxic"] or not sampled["clean"]:
+        return model
+    model.lexicon = evidence(rows, sampled["toxic"], sampled["clean"])
     if not model.lexicon:
         return model
     lexicon = model.lexicon
@@ -235,21 +268,12 @@ def fit(documents: DataFrame, labels: DataFrame, held: int = 0, modulo: int = 5,
     share = {1: n_toxic / max(1, sum(b[0] for b in bags)), 0: n_clean / max(1, sum(1 - b[0] for b in bags))}
     segments, tags, weight = [], [], []
     for label, places in bags:
-        seen = -1
-        for p, _ in places[:-1] or [(places[-1][0] // 2, 0)]:
-            if p <= seen or len(segments) >= 16_000:
-                continue
-            begin = max(0, p - 5)
-            line = np.zeros(SEGMENT, np.int64)
-            for q, level_ in places[:-1]:
-                if begin <= q < begin + SEGMENT:
-                    line[q - begin] = level_
+        for line in segments_of(places):
             segments.append(line)
             tags.append((line >= 2) & (label == 1))
             weight.append(share[label])
-            seen = begin + SEGMENT
     if segments:
-        model.chain.fit(np.array(segments), np.array(tags).astype(float), np.array(weight))
+        model.chain.fit(np.array(segments), np.array(tags), np.array(weight))
         x = np.array([gathered(model.chain.marginals(places)) for _, places in bags])
         y = np.array([[float(label)] for label, _ in bags])
         model.layer = logistic(x, y, np.array([share[label] for label, _ in bags]), steps=600, l2=1e-5)
