@@ -207,6 +207,21 @@ def test_chain_marginals_by_enumeration():
         assert m == pytest.approx(sum(w for p, w in weights.items() if p[place]) / total)
 
 
+def test_quality_learns_from_every_passage(spark, monkeypatch):
+    # one bad passage among 40 clean ones, at a place that 12 evenly spaced ones leave out
+    good = ("the cat sat on a mat. it was well. " * 20)[: quality_model.PASSAGE]
+    bad = ("BUY *** NOW!! $$$ " * 40)[: quality_model.PASSAGE]
+    texts = [good * 40 if i % 2 else good * 5 + bad + good * 34 for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    rows = quality_model.classify(docs(spark, texts), labels).filter("held_out").collect()
+    assert all((r["score"] >= 0.5) == r["doc_id"] % 2 for r in rows)
+    taken = []
+    monkeypatch.setattr(quality_model.Model, "fit", lambda self, x, starts, y, w: taken.append((len(x), len(starts))))
+    quality_model.fit(docs(spark, texts), labels)
+    quality_model.fit(docs(spark, texts), labels, limit=2000)
+    assert taken[0][0] == 40 * taken[0][1] and taken[1][0] == 40 * taken[1][1] and 20 <= taken[1][1] < taken[0][1]
+
+
 def test_toxicity_fits_on_all_sampled_texts(spark, monkeypatch):
     # 300 long clean texts with more than 16,000 segments come before the toxic ones
     plain = "word " * 60

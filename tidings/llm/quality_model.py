@@ -5,9 +5,9 @@ characters and repetition, and encoded by a learned layer. Gated attention (a ta
 branch) gives every passage a weight, learned from labels of whole texts only; the weighted sum of
 the encodings is scored.
 
-Fitted on a sample of at most about `PER_CLASS` texts of each label and `BAG` evenly spaced
-passages of each; scoring uses every passage of the whole text, a block at a time with running
-sums. Defined results: a null or empty text is one empty passage; without labels the score is 0.5;
+Fitted on all passages of a sample of at most about `PER_CLASS` texts of each label; where these
+have more than about `PASSAGES` passages, fewer texts are drawn, by the hash of their ids and so
+whatever their length. Scoring uses every passage as well, a block at a time with running sums. Defined results: a null or empty text is one empty passage; without labels the score is 0.5;
 with one label only it is that label's; repeated rows give the same result; other columns are kept.
 """
 
@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.common import remainder
-from tidings.llm.training import joined_sample, sigmoid
+from tidings.llm.training import BINS, joined_sample, sigmoid
 
 PER_CLASS = 1500
-BAG = 12
+PASSAGES = 200_000  # of all sampled texts, about 800 bytes each on the driver
 PASSAGE = 600  # code points
 PAIRS = 256
 SINGLES = 136
@@ -108,7 +108,7 @@ class Model:
                 rows = np.concatenate([np.arange(starts[b], ends[b]) for b in bags])
                 size = ends[bags] - starts[bags]
                 step += 1
-                for k, g in self._gradient(x[rows], size, y[bags], weight[bags]).items():
+                for k, g in self._gradient(x[rows].astype(np.float32), size, y[bags], weight[bags]).items():
                     m, v = moments[k]
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
@@ -150,7 +150,15 @@ class Model:
         return float(sigmoid(float(whole / total @ self.p["c"] + self.p["b"][0])))
 
 
-def fit(documents: DataFrame, labels: DataFrame, held: int = 2, modulo: int = 4, per_class: int = PER_CLASS) -> Model:
+def fewer(rows: DataFrame, limit: int = PASSAGES) -> DataFrame:
+    """The sampled texts, or a share of them by the hash of the id where all have more than `limit`
+    passages. Both classes keep the same share."""
+    n = F.greatest(F.lit(1), F.floor((F.coalesce(F.length("text"), F.lit(0)) + PASSAGE // 2) / PASSAGE))
+    total = rows.agg(F.sum(n)).first()[0] or 0
+    return rows if total <= limit else rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(BINS)) < limit / total * BINS)
+
+
+def fit(documents: DataFrame, labels: DataFrame, held: int = 2, modulo: int = 4, per_class: int = PER_CLASS, limit: int = PASSAGES) -> Model:
     rows, counts = joined_sample(documents, labels, "quality", held, modulo, per_class)
     model = Model()
     if len(counts) < 2:
@@ -158,14 +166,19 @@ def fit(documents: DataFrame, labels: DataFrame, held: int = 2, modulo: int = 4,
         return model
 
     def bags(batches):
+        names, out, size = ["doc_id", "label", "x"], [], 0
         for batch in batches:
-            out = []
-            for text in batch["text"]:
+            for doc_id, label, text in zip(batch["doc_id"], batch["label"], batch["text"]):
                 parts = passages(text)
-                chosen = np.unique(np.linspace(0, len(parts) - 1, BAG).round().astype(int))
-                out.append(describe([parts[i] for i in chosen]).astype(np.float16).tobytes())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": out})
-
+                x = np.vstack([describe(parts[at : at + BLOCK]).astype(np.float16) for at in range(0, len(parts), BLOCK)])
+                out.append((doc_id, label, x.tobytes()))
+                size += len(x)
+                if size >= BLOCK:
+                    yield pd.DataFrame(out, columns=names)
+                    out, size = [], 0
+        yield pd.DataFrame(out, columns=names)
+
+    rows = fewer(rows, limit)
     got = rows.mapInPandas(bags, "doc_id long, label int, x binary").limit(4 * per_class).collect()
     got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in got)
     if len({g[1] for g in got}) < 2:
@@ -176,7 +189,7 @@ def fit(documents: DataFrame, labels: DataFrame, held: int = 2, modulo: int = 4,
     sampled = {1.0: (y == 1).sum(), 0.0: (y == 0).sum()}
     real = {1.0: sum(n for k, n in counts.items() if k > 0), 0.0: sum(n for k, n in counts.items() if k <= 0)}
     weight = np.array([real[v] / sampled[v] for v in y], np.float32)
-    model.fit(np.vstack(each).astype(np.float32), np.cumsum([0] + [len(e) for e in each])[:-1], y, weight)
+    model.fit(np.vstack(each), np.cumsum([0] + [len(e) for e in each])[:-1], y, weight)
     return model
 
 
