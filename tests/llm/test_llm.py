@@ -75,6 +75,17 @@ def test_index_finds_every_capture_over_block_borders(spark, tmp_path):
     assert list(index.find("k0005")) == [] and list(index.find("a")) == [] and list(index.find("z")) == []
 
 
+def test_every_record_is_read_through_the_index(spark, monkeypatch):
+    rows = [(i, f"http://a.example/{i % 9}", "short" if i % 4 == 0 else "x" * 150 if i % 4 == 1 else f"{i} " * 40) for i in range(60)]
+    pages = spark.createDataFrame([*rows, rows[2], (None, "u", "p"), (None, "u", "q")], "page_id long, url string, html string")
+    whole = warc.roundtrip(pages)
+    assert whole.count() == 63 and whole.filter("payload_digest is null").count() == 0
+    written = warc.write_index
+    monkeypatch.setattr(warc, "write_index", lambda captures, folder: written(captures.filter("key not like '%/7 %'"), folder))
+    left = {r["page_id"] for r in warc.roundtrip(pages).collect()}
+    assert left == {i for i in range(60) if i % 9 != 7} | {None}
+
+
 def brute_repeats(words):
     tri = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     return len({p for i, t in enumerate(tri) if tri.count(t) > 1 for p in range(i, i + 3)})

@@ -8,7 +8,8 @@ Index: captures are sorted by reversed-host URL key and packed into compressed b
 `BLOCK_LINES` lines. Each range of keys is one shard file: blocks, then a sparse directory with the
 first key of every block. The list of shards has one entry per task and is the upper level. A
 lookup searches shards, directory and block by bisection, reads the block's bytes and then the
-record's bytes, nothing else.
+record's bytes, nothing else. A sequential read of the archives gives the captures to index; what is
+returned is read through the index, each task taking a range of keys so that it opens a block once.
 
 Files get a name of their own per attempt and only the names that successful tasks return are ever
 read, so a lost executor leaves files that nobody looks at.
@@ -39,14 +40,17 @@ MIN_REVISIT = 100
 BLOCK_LINES = 512
 ARCHIVE_BYTES = 64 << 20  # compressed; a larger partition fills several archives
 READ = 1 << 20
+RANGE_BYTES = 4 << 20  # compressed; records that one task reads through the index
 ROWS = 2000  # rows a task hands over at a time
 DATE = "2000-01-01T00:00:00Z"  # pages carry no time
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 CAPTURE = (
-    "page_id long, record_type string, refers_to long, refers_uri string, key string, digest string,"
-    " payload_bytes long, payload_digest string, archive string, offset long, length long"
+    "page_id long, record_type string, key string, digest string, archive string, offset long, length long"
+)
+RECORD = (
+    "page_id long, record_type string, refers_to long, refers_uri string, digest string, payload_bytes long, payload_digest string"
 )
 
 
@@ -186,8 +190,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT)
 
 
 def scan_archives(archives: DataFrame) -> DataFrame:
-    """A capture row for every record, from a sequential read; payload length and digest are
-    worked out from the payload that was read, and null for a revisit."""
+    """A capture row for every record, from a sequential read: what the index is made of."""
 
     def scan(batches):
         for batch in batches:
@@ -196,27 +199,25 @@ def scan_archives(archives: DataFrame) -> DataFrame:
                 rows = []
                 with system.open_input_stream(place, compression=None) as stream:
                     for offset, length, data in members(stream):
-                        fields, payload = parse(data)
-                        full = fields["WARC-Type"] == "response"
+                        fields = parse(data)[0]
                         page_id = _id(fields["WARC-Record-ID"])
                         rows.append((
-                            page_id, fields["WARC-Type"], _id(fields.get("WARC-Refers-To")), fields.get("WARC-Refers-To-Target-URI"),
-                            capture_key(fields.get("WARC-Target-URI"), page_id), fields["WARC-Payload-Digest"].partition(":")[2],
-                            len(payload) if full else None, hashlib.sha256(payload).hexdigest() if full else None, path, offset, length,
+                            page_id, fields["WARC-Type"], capture_key(fields.get("WARC-Target-URI"), page_id),
+                            fields["WARC-Payload-Digest"].partition(":")[2], path, offset, length,
                         ))
                         if len(rows) >= ROWS:
-                            yield _captures(rows)
+                            yield _frame(rows, CAPTURE)
                             rows = []
-                yield _captures(rows)
+                yield _frame(rows, CAPTURE)
 
     n = max(1, archives.count())  # a row per archive: one task each
     return stored(archives.select("archive").repartition(n).mapInPandas(scan, CAPTURE), "captures")
 
 
-def _captures(rows) -> pd.DataFrame:
-    names = [part.split()[0] for part in CAPTURE.split(",")]
-    frame = pd.DataFrame(rows, columns=names, dtype=object)
-    return frame.astype({n: "Int64" for n in ("page_id", "refers_to", "payload_bytes", "offset", "length")})
+def _frame(rows, schema: str) -> pd.DataFrame:
+    kinds = dict(part.split() for part in schema.split(","))
+    frame = pd.DataFrame(rows, columns=list(kinds), dtype=object)
+    return frame.astype({n: "Int64" for n, kind in kinds.items() if kind == "long"})
 
 
 # --- index ------------------------------------------------------------------------------------
@@ -263,10 +264,12 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
 
 
 class Index:
-    """Lookups in a written index; a task keeps the directories of the shards it has used."""
+    """Lookups in a written index; a task keeps the directories of the shards it has used and the
+    last block."""
 
     def __init__(self, shards: list[tuple[str, str]], keep: int = 16):
         self.shards, self.firsts, self.keep, self.open = shards, [s[0] for s in shards], keep, {}
+        self.last, self.block = None, ([], [])
 
     def _directory(self, path: str):
         if path not in self.open:
@@ -289,9 +292,11 @@ class Index:
             for b in range(max(0, _before(firsts, key)), len(directory)):
                 if firsts[b] > key:
                     break
-                _, at, length = directory[b]
-                lines = [json.loads(x) for x in zlib.decompress(file.read_at(length, at)).decode().split("\n")]
-                keys = [line[0] for line in lines]
+                if self.last != (s, b):
+                    _, at, length = directory[b]
+                    lines = [json.loads(x) for x in zlib.decompress(file.read_at(length, at)).decode().split("\n")]
+                    self.last, self.block = (s, b), (lines, [line[0] for line in lines])
+                lines, keys = self.block
                 i = _before(keys, key) + 1
                 while i < len(lines) and keys[i] == key:
                     yield lines[i]
@@ -307,24 +312,61 @@ def _before(keys: list[str], key: str) -> int:
     return lo - 1
 
 
-def read_record(archive: str, offset: int, length: int) -> tuple[dict[str, str], bytes]:
-    """One record by a range read."""
-    system, place = open_folder(archive)
-    with system.open_input_file(place) as file:
-        return parse(zlib.decompress(file.read_at(length, offset), 31))
+class Archives:
+    """Records by range reads; a task keeps the archives it has used open."""
+
+    def __init__(self, keep: int = 16):
+        self.keep, self.open = keep, {}
+
+    def read(self, archive: str, offset: int, length: int) -> tuple[dict[str, str], bytes]:
+        if archive not in self.open:
+            while len(self.open) >= self.keep:
+                self.open.pop(next(iter(self.open))).close()
+            system, place = open_folder(archive)
+            self.open[archive] = system.open_input_file(place)
+        return parse(zlib.decompress(self.open[archive].read_at(length, offset), 31))
+
+
+def read_all(captures: DataFrame, shards: list[tuple[str, str]]) -> DataFrame:
+    """A row for every record that the index has under the captures' keys, read by range; payload
+    length and digest are worked out from what was read, and null for a revisit. The captures give
+    keys only, so what the index lacks or misplaces is not in the result."""
+
+    def look(batches):
+        index, archives, rows = Index(shards), Archives(), []
+        for batch in batches:
+            for key in batch["key"]:
+                for _, kind, _, archive, offset, length in index.find(key):
+                    fields, payload = archives.read(archive, offset, length)
+                    page_id, full = _id(fields["WARC-Record-ID"]), fields["WARC-Type"] == "response"
+                    if kind != fields["WARC-Type"] or key != capture_key(fields.get("WARC-Target-URI"), page_id):
+                        raise ValueError(f"the index names another record than {archive} has at {offset}")
+                    rows.append((
+                        page_id, kind, _id(fields.get("WARC-Refers-To")), fields.get("WARC-Refers-To-Target-URI"),
+                        fields["WARC-Payload-Digest"].partition(":")[2],
+                        len(payload) if full else None, hashlib.sha256(payload).hexdigest() if full else None,
+                    ))
+                    if len(rows) >= ROWS:
+                        yield _frame(rows, RECORD)
+                        rows = []
+        yield _frame(rows, RECORD)
+
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    keys = captures.select("key").distinct().repartitionByRange(1 + size // RANGE_BYTES, "key").sortWithinPartitions("key")
+    return stored(keys.mapInPandas(look, RECORD), "records")
 
 
 def fetch(targets: DataFrame, shards: list[tuple[str, str]]) -> DataFrame:
     """(refers_to, refers_uri, digest) to the payload length and digest read from the response."""
 
     def look(batches):
-        index = Index(shards)
+        index, archives = Index(shards), Archives()
         for batch in batches:
             rows = []
             for target, uri, digest in batch.astype(object).where(batch.notna(), None).itertuples(index=False):
                 for _, kind, found, archive, offset, length in index.find(capture_key(uri, int(target))):
                     if kind == "response" and found == digest:
-                        payload = read_record(archive, offset, length)[1]
+                        payload = archives.read(archive, offset, length)[1]
                         rows.append((int(target), digest, len(payload), hashlib.sha256(payload).hexdigest()))
                         break
             yield pd.DataFrame(rows, columns=["t_id", "t_digest", "t_bytes", "t_sha"])
@@ -333,15 +375,16 @@ def fetch(targets: DataFrame, shards: list[tuple[str, str]]) -> DataFrame:
 
 
 def roundtrip(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """Write the pages as archives, index them and read everything back: (page_id, payload_bytes,
-    payload_digest, record_type, refers_to), a row per record. What a revisit stands for is read
+    """Write the pages as archives, index them and read everything back through the index: (page_id,
+    payload_bytes, payload_digest, record_type, refers_to), a row per record. What a revisit stands for is read
     from its response, once for each response."""
     folder = shared_folder(pages.sparkSession, "warc")
     captures = scan_archives(write_archives(pages, folder, min_bytes))
     shards = write_index(captures, folder)
-    targets = captures.filter("record_type = 'revisit'").select("refers_to", "refers_uri", "digest").distinct()
+    records = read_all(captures, shards)
+    targets = records.filter("record_type = 'revisit'").select("refers_to", "refers_uri", "digest").distinct()
     found = fetch(targets, shards)
-    joined = captures.join(found, (F.col("refers_to") == F.col("t_id")) & (F.col("digest") == F.col("t_digest")), "left")
+    joined = records.join(found, (F.col("refers_to") == F.col("t_id")) & (F.col("digest") == F.col("t_digest")), "left")
     return joined.select(
         "page_id",
         F.coalesce("payload_bytes", "t_bytes").alias("payload_bytes"),
