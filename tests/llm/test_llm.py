@@ -204,6 +204,16 @@ def test_jaccard_with_other_words_and_percent(spark):
     assert {r["n_shingles"] for r in jaccard.link(frame, 5, 80).collect()} == {116, 126, 138}
 
 
+def test_jaccard_with_repeated_and_missing_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(120)) for x in "abc")
+    rows = [(5, a), (5, b), (7, a + " end"), (8, b + " end"), (9, c), (9, c), (None, c + " end"), (None, "only here " * 9),
+            (None, "only here " * 9), (3, ""), (3, ""), (None, None), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["component_id"] for r in jaccard.link(frame).filter("doc_id in (7, 8)").collect()] == [5, 5]
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame).collect()), key=str)
+    assert kept == sorted([(5, a), (5, b), (9, c), (None, "only here " * 9), (3, ""), (None, None), (None, None)], key=str)
+
+
 def test_chain_marginals_by_enumeration():
     chain = toxicity.Chain(np.array([-1.0, 0.3, 2.0, 1.0, 0.5, 0.4, -0.3]), np.array([[0.2, -1.0], [-0.5, 0.9]]))
     levels = [0, 0, 2, 0, 1, 0, 0, 3, 3, 0]

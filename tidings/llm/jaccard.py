@@ -22,7 +22,9 @@ the counts the second.
 
 Defined results: null and empty texts have an empty set, link with nothing and are their own
 component; a text of fewer words than a shingle is one shingle; documents without an id take part in
-no component and get none; repeated rows give repeated rows.
+no component and get none; repeated rows give repeated rows. Rows of one id with different texts take
+part with each text. `one_of_each` keeps one row of every group of near copies, rows without an id
+among them; texts with an empty set stay, once for each id.
 """
 
 from __future__ import annotations
@@ -229,8 +231,8 @@ class Forest:
 # --- Spark ------------------------------------------------------------------------------------
 
 def nodes(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node); node is null for an empty set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
+    """(doc_id, n_shingles, node, hash); node is null for an empty set, hash is that of the text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("hash", pa.int64())])
 
     def rows(batches):
         for batch in batches:
@@ -239,9 +241,10 @@ def nodes(documents: DataFrame, words: int = WORDS) -> DataFrame:
                 sh = shingles(text_bytes(text.as_py()), words)
                 sizes.append(len(sh))
                 keys.append(node(sh) if len(sh) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), batch.column(2)], schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_shingles long, node long")
+    read = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text"))
+    return read.mapInArrow(rows, "doc_id long, n_shingles long, node long, hash long")
 
 
 def places(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -294,19 +297,23 @@ def met(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
 
 
 def sets(documents: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(node, set, point) of the wanted nodes, each from its document `rep`."""
+    """(node, set, point) of the wanted nodes, each from the text of id and hash `rep`."""
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary()), ("point", pa.binary())])
 
     def rows(batches):
         for batch in batches:
-            out = [shingles(text_bytes(t.as_py()), words) for t in batch.column(1)]
+            read = [(n, shingles(text_bytes(t.as_py()), words)) for n, t in zip(batch.column(0).to_pylist(), batch.column(1))]
+            # the node of what was read counts
+            read = [(n, s) for n, s in read if len(s) and node(s) == n]
+            out = [s for _, s in read]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([s.tobytes() for s in out], pa.binary()),
+                pa.array([n for n, _ in read], pa.int64()), pa.array([s.tobytes() for s in out], pa.binary()),
                 pa.array([groups_of(s).tobytes() for s in out], pa.binary()),
             ], schema=schema)
 
-    texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
-    # repeated ids may carry other texts: the node of what was read counts
+    # repeated ids may carry other texts
+    same = F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("hash") == F.col("rep.hash"))
+    texts = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash")).join(wanted, same)
     read = texts.select("node", "text").mapInArrow(rows, "node long, set binary, point binary")
     return read.dropDuplicates(["node"])
 
@@ -436,11 +443,16 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def link(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest id that links reach."""
+def labelled(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, unnamed: bool = False) -> DataFrame:
+    """A row per document with doc_id, n_shingles, hash and the component's label (null for an empty
+    set), its smallest id `least` and its first (unnamed, doc_id, hash). Texts that only documents
+    without an id have link if `unnamed`."""
     rows = stored(nodes(documents, words), "nodes")
     meeting = stored(met(documents, words, percent), "meeting")
-    reps = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
+    # an id comes before none
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash")
+    reps = rows.filter("node is not null").groupBy("node").agg(F.min(place).alias("rep"))
+    reps = reps if unnamed else reps.filter("NOT rep.unnamed")
     wanted = meeting.select("node").union(meeting.select("near")).distinct()
     content = stored(sets(documents, reps.join(wanted, "node", "left_semi"), words), "sets")
     shared = meeting.filter("node <> near").groupBy("node", "near").agg(F.count("*").alias("n"))
@@ -465,12 +477,33 @@ def link(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
     links = links.unionByName(verify(near_pairs(again, content, False, percent).select("a", "b").distinct(), content, percent))
     labels = components(links)
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return named.join(smallest, "label", "left").select(
+    smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"), F.min(place).alias("first"))
+    return named.join(smallest, "label", "left")
+
+
+def link(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id): component_id is the smallest id that links reach."""
+    return labelled(documents, words, percent).select(
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("least"))).alias("component_id"))
 
 
 def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without those whose component has a smaller id."""
-    gone = link(documents, words, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document of every component, that of the smallest id, and one of repeated rows."""
+    rows = labelled(documents, words, percent, unnamed=True)
+    here = rows.select(
+        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"),
+        F.when(F.col("label").isNull(), True).otherwise(
+            F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.hash") == F.col("hash"))).alias("_first"),
+        F.col("label").isNull().alias("_empty"),
+    )
+    marks = here.groupBy("_id", "_hash").agg(F.bool_and("_first").alias("_first"), F.bool_and("_empty").alias("_empty"), F.count("*").alias("_n"))
+    # nothing says that empty texts without an id are the same document
+    repeated = (F.col("_n") > 1) & ~(F.col("_empty") & F.col("_id").isNull())
+    marks = stored(marks.filter(~F.col("_first") | repeated).select("_id", "_hash", "_first"), "marks")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    if marks.filter("_first").isEmpty():
+        return documents.join(marks, same, "left_anti")
+    joined = documents.join(marks, same, "left")
+    at = W.partitionBy("_id", "_hash").orderBy(F.xxhash64(*[F.col(c) for c in documents.columns]))
+    one = joined.filter("_first").withColumn("_row", F.row_number().over(at)).filter("_row = 1")
+    return joined.filter("_first is null").select(*documents.columns).unionByName(one.select(*documents.columns))
