@@ -91,4 +91,22 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM one JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4, "op9_jaccard": OP9}
+OP13 = """
+WITH doc AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x FROM documents),
+spot AS (SELECT doc_id, r, unnest(range(0, len(x) // 2 - 99)) AS i FROM doc WHERE len(x) >= 200),
+win AS (SELECT spot.doc_id, spot.r, i, substr(x, 2 * i + 1, 200) AS w FROM spot JOIN doc USING (r)),
+late AS (
+  SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), 1000) AS gap FROM (
+    SELECT r, i, row_number() OVER (PARTITION BY md5(w) ORDER BY doc_id NULLS FIRST, r, i) AS n FROM win) WHERE n > 1),
+run AS (SELECT r, i, sum(CASE WHEN gap > 100 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k FROM late),
+cut AS (SELECT r, k, min(i) AS a, max(i) + 100 AS b FROM run GROUP BY ALL),
+tail AS (SELECT r, k, b AS a, lead(a) OVER (PARTITION BY r ORDER BY k) AS b FROM cut UNION ALL SELECT r, 0, 0, min(a) FROM cut GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, len(x) // 2) - a)), '' ORDER BY k) AS x FROM tail JOIN doc USING (r) GROUP BY r),
+total AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed FROM cut GROUP BY r)
+SELECT doc_id, CAST(len(doc.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.x, doc.x))) AS kept_sha256
+FROM doc LEFT JOIN total USING (r) LEFT JOIN kept USING (r)
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4, "op9_jaccard": OP9, "op13_repeats": OP13}

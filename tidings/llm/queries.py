@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.llm import decontamination, jaccard, language, pieces, pii, quality_model, quality_rules, secrets, toxicity, warc
+from tidings.llm import decontamination, jaccard, language, pieces, pii, quality_model, quality_rules, repeats, secrets, toxicity, warc
 from tidings.llm.common import table
 from tidings.llm.oracles import ORACLES  # noqa: F401
 
@@ -65,6 +65,15 @@ def op10_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_repeats(spark, sf_dir):
+    found = repeats.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
+    return found.select(
+        "row.doc_id", n_bytes.cast("long").alias("n_bytes"), (n_bytes - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_warc, op3_language, op4_quality_rules, op5_pieces, op6_secrets, op7_quality, op8_toxicity, op9_jaccard, op10_pii,
+    op13_repeats,
 )}
