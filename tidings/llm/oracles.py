@@ -91,6 +91,56 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM one JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
 
+# crc32 of a decimal id, modulo 4, bit by bit
+CRC4 = """(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda z: 0::BIGINT)), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) & 3)"""
+
+OP11 = rf"""
+WITH turn AS (
+  SELECT conv_id, digest, n_words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS rn FROM (
+    SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+      len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_words FROM conversations WHERE conv_id IS NOT NULL)),
+conv AS (SELECT conv_id, conv_id - conv_id % 20 AS base, 3 - {CRC4.format("CAST(conv_id AS VARCHAR)")} AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+built AS (
+  SELECT c.conv_id, digest, n_words, row_number() OVER (PARTITION BY c.conv_id ORDER BY part, rn) AS d FROM (
+    SELECT c.conv_id, 0 AS part, rn, digest, n_words FROM conv c JOIN turn t ON t.conv_id = c.base AND t.rn <= c.h UNION ALL
+    SELECT c.conv_id, 1, rn, digest, n_words FROM conv c JOIN turn t ON t.conv_id = c.conv_id AND t.rn > c.h) c),
+occ AS (
+  SELECT conv_id, d, n_words, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d) AS k FROM built UNION ALL
+  SELECT conv_id, 0, 0, '' FROM conv),
+node AS (SELECT k, d, any_value(n_words) AS w, min(conv_id) AS conv_id, count(*) AS n FROM occ GROUP BY k, d),
+depth AS (SELECT conv_id, max(d) AS d FROM occ GROUP BY conv_id),
+ends AS (
+  SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS e FROM occ JOIN depth USING (conv_id, d) GROUP BY k),
+kid AS (SELECT p.k, count(*) AS n FROM node c JOIN occ p ON p.conv_id = c.conv_id AND p.d = c.d - 1 GROUP BY p.k),
+below AS (
+  SELECT a.k, count(*) FILTER (kid.n IS NULL) AS leaves, sum((m.n - 1) * m.w) AS saved
+  FROM node m JOIN occ a ON a.conv_id = m.conv_id AND a.d <= m.d LEFT JOIN kid ON kid.k = m.k GROUP BY a.k)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, pn.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+  CAST(coalesce(kid.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  coalesce(e, sha256('')) AS ends_sha256
+FROM node JOIN below USING (k) LEFT JOIN kid USING (k) LEFT JOIN ends USING (k)
+  LEFT JOIN occ po ON po.conv_id = node.conv_id AND po.d = node.d - 1 LEFT JOIN node pn ON pn.k = po.k
+"""
+
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+n AS (
+  SELECT doc_id, t, w, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS c2,
+    ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM d),
+f AS (
+  SELECT doc_id, t, n, array_to_string(w[1 : least(c1, c2)], '') AS p, array_to_string(w[least(c1, c2) + 1 : greatest(c1, c2)], '') AS m,
+    array_to_string(w[greatest(c1, c2) + 1 :], '') AS s,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+    AS output_sha256, sha256(t) AS restored_sha256 FROM f
+"""
+
 OP13 = """
 WITH doc AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x FROM documents),
 spot AS (SELECT doc_id, r, unnest(range(0, len(x) // 2 - 99)) AS i FROM doc WHERE len(x) >= 200),
@@ -109,4 +159,4 @@ SELECT doc_id, CAST(len(doc.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remov
 FROM doc LEFT JOIN total USING (r) LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4, "op9_jaccard": OP9, "op13_repeats": OP13}
+ORACLES = {"op1_decontamination": OP1, "op2_warc": OP2, "op4_quality_rules": OP4, "op9_jaccard": OP9, "op11_prefix_trie": OP11, "op12_middle": OP12, "op13_repeats": OP13}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.llm import decontamination, jaccard, language, pieces, pii, quality_model, quality_rules, repeats, secrets, toxicity, warc
+from tidings.llm import (
+    decontamination, jaccard, language, middle, pieces, pii, prefix_trie, quality_model, quality_rules, repeats, secrets, toxicity, warc,
+)
 from tidings.llm.common import table
 from tidings.llm.oracles import ORACLES  # noqa: F401
 
@@ -65,6 +67,15 @@ def op10_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_middle(spark, sf_dir):
+    made = middle.restored_sha256(middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return made.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 def op13_repeats(spark, sf_dir):
     found = repeats.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
@@ -75,5 +86,5 @@ def op13_repeats(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_warc, op3_language, op4_quality_rules, op5_pieces, op6_secrets, op7_quality, op8_toxicity, op9_jaccard, op10_pii,
-    op13_repeats,
+    op11_prefix_trie, op12_middle, op13_repeats,
 )}
