@@ -218,15 +218,18 @@ def later_windows(bodies: list[bytes], ids: np.ndarray, at: np.ndarray) -> tuple
     text = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8)
     array = suffix_array(text)
     common = permuted_lcp(text, array, begins, 4 * LENGTH)
-    kind = np.cumsum(common[array] < LENGTH)
-    segment = np.searchsorted(begins, array, side="right") - 1
+    segment = np.repeat(np.arange(len(sizes)), sizes + 1)[array]
     offset = array - begins[segment]
-    windows = offset <= sizes[segment] - LENGTH
-    kind, segment, offset = kind[windows], segment[windows], offset[windows]
-    order = np.lexsort((at[segment] + offset, ids[segment], kind))
-    later = order[1:][kind[order][1:] == kind[order][:-1]]
-    later = later[np.lexsort((offset[later], segment[later]))]
-    segment, offset = segment[later], offset[later]
+    whole = offset <= sizes[segment] - LENGTH  # starts of windows
+    kind = np.cumsum(common[array] < LENGTH)[whole]
+    by_place = np.lexsort((at, ids))
+    rank = np.empty(len(sizes), np.int64)
+    rank[by_place] = np.arange(len(sizes))
+    place = rank[segment[whole]] * (2 * LENGTH) + offset[whole]
+    first = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
+    least = np.minimum.reduceat(place, first)
+    later = np.sort(place[place != np.repeat(least, np.diff(np.append(first, len(place))))])
+    segment, offset = by_place[later // (2 * LENGTH)], later % (2 * LENGTH)
     fresh = np.flatnonzero(np.append(True, (segment[1:] != segment[:-1]) | (offset[1:] != offset[:-1] + 1))[: len(segment)])
     return segment[fresh], offset[fresh], np.diff(np.append(fresh, len(segment)))
 

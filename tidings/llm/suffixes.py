@@ -63,14 +63,16 @@ def _s_types(text: np.ndarray) -> np.ndarray:
     return np.repeat(up, np.diff(np.append(-1, ends)))
 
 
-def _grouped(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A stable order by number, the numbers, how often each comes, and each item's rank in its
-    group in that order."""
-    order = np.argsort(numbers, kind="stable")
+def _ranked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order by number, the different numbers, how often each comes, and, in that order,
+    each item's group and rank within it."""
+    order = numbers.argsort(kind="stable")
     sorted_ = numbers[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-    many = np.diff(np.append(first, len(numbers)))
-    return order, sorted_[first], many, np.arange(len(numbers)) - np.repeat(first, many)
+    edge = np.ones(len(numbers), dtype=bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=edge[1:])
+    first = edge.nonzero()[0]
+    group = edge.cumsum() - 1
+    return order, sorted_[first], group, np.arange(len(numbers)) - first[group]
 
 
 def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -80,8 +82,8 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     array = np.full(n, -1, dtype=np.int32)
     if len(lms):
-        order, kinds, many, rank = _grouped(text[lms])
-        seeds = np.repeat(ends[kinds] - many, many) + rank
+        order, kinds, group, rank = _ranked(text[lms])
+        seeds = (ends[kinds] - np.bincount(group))[group] + rank
         array[seeds] = lms[order]
 
     head = ends - sizes
@@ -89,21 +91,23 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     head[text[-1]] += 1
     at, step = 0, STEP
     while at < n:
-        slots = array[at : at + step]
-        read = np.flatnonzero(slots > 0)
+        stop = min(at + step, n)
+        slots = array[at:stop]
+        read = (slots > 0).nonzero()[0]
         before = slots[read] - 1
         larger = ~small[before]
-        read, before = read[larger] + at, before[larger]
+        before = before[larger]
         if len(before):
             numbers = text[before]
-            stop = min(int(head[numbers].min()), at + len(slots))
-            now = np.searchsorted(read, stop)
-            if now:
-                order, kinds, many, rank = _grouped(numbers[:now])
-                array[np.repeat(head[kinds], many) + rank] = before[:now][order]
-                head[kinds] += many
-        else:
-            stop = at + len(slots)
+            nearest = int(head[numbers].min())
+            if nearest < stop:  # slots from there on are not final
+                stop = nearest
+                now = np.count_nonzero(read[larger] < stop - at)
+                before, numbers = before[:now], numbers[:now]
+            if len(before):
+                order, kinds, group, rank = _ranked(numbers)
+                array[head[kinds][group] + rank] = before[order]
+                head[kinds] += np.bincount(group)
         step, at = min(max(2 * (stop - at), 256), STEP), stop
 
     if len(lms):
@@ -111,21 +115,23 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     tail = ends
     at, step = n, STEP  # slots from `at` on are read
     while at > 0:
-        low = max(at - step, 0)
-        slots = array[low:at][::-1]
-        read = np.flatnonzero(slots > 0)
+        stop = max(at - step, 0)
+        slots = array[stop:at][::-1]
+        read = (slots > 0).nonzero()[0]
         before = slots[read] - 1
         smaller = small[before]
-        read, before = at - 1 - read[smaller], before[smaller]
-        stop = low
+        before = before[smaller]
         if len(before):
             numbers = text[before]
-            stop = max(int(tail[numbers].max()), low)
-            now = np.searchsorted(-read, -stop, side="right")
-            if now:
-                order, kinds, many, rank = _grouped(numbers[:now])
-                array[np.repeat(tail[kinds], many) - 1 - rank] = before[:now][order]
-                tail[kinds] -= many
+            nearest = int(tail[numbers].max())
+            if nearest > stop:
+                stop = nearest
+                now = np.count_nonzero(read[smaller] < at - stop)
+                before, numbers = before[:now], numbers[:now]
+            if len(before):
+                order, kinds, group, rank = _ranked(numbers)
+                array[tail[kinds][group] - 1 - rank] = before[order]
+                tail[kinds] -= np.bincount(group)
         step, at = min(max(2 * (at - stop), 256), STEP), stop
     return array
 
