@@ -87,7 +87,7 @@ def ip(text, first, last, floor):
         at = end + 1
         if len(parts) < 4 and (end >= len(text) or text[end] != "."):
             return None
-    return start, at - 1, all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    return start, at - 1, all(len(p) <= 3 and int(p or 0) <= 255 for p in (p.lstrip("0") for p in parts))
 
 
 def card(text, first, last, floor):

@@ -1,19 +1,23 @@
 """Secrets in texts: known shapes, and strings whose characters are too evenly spread.
 
-Candidates are long runs of key characters. A window of `WINDOW` characters slides over each one;
-the sum of c*log2(c) over the character counts is kept up to date from the two characters that
-enter and leave, so the Shannon entropy of every window is known. A window counts when it passes
-the limit of its character class. Letters alone, digits alone and what the allow-list names
+Candidates are long runs of key characters. A window of `WINDOW` characters slides over each one.
+The counts of all key characters travel along, packed into a few numbers, and the sum of c*log2(c) is
+kept up to date from the two that change, so the Shannon entropy of every window is known. A window
+counts when it passes the limit of its character class. Letters alone, digits alone and what the allow-list names
 (placeholders, ids in the form of a UUID) never count. A placeholder excuses the piece between
 separators (/ _ = -) that it stands in; what lies before and after it is judged on its own.
 
-Columns only, no shuffle. Offsets count code points, ends are exclusive. Defined results: a null
+Columns only, no shuffle. Patterns repeat single characters, never groups, and places are running
+sums by parts, so long texts, rulers and base64 neither overflow a stack nor copy arrays over and over. Offsets count code points, ends are exclusive. Defined results: a null
 text is empty; spans of one start are in the order of `KINDS`; repeated rows give the same result;
 other columns are kept.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,26 +36,38 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LIMITS = {"hex": 3.0, "mixed": 3.5}
 ALLOWED = r"(?i)(?:example|sample|dummy|placeholder|changeme|x{6}|0{8}|123456|abcdef)"
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-# separators and pieces without a placeholder
-STRETCH = rf"(?:[/_=-]|(?<![A-Za-z0-9+])(?![A-Za-z0-9+]*{ALLOWED})[A-Za-z0-9+]+)+"
+# a piece between separators with a placeholder in it
+EXCUSED = rf"(?<![A-Za-z0-9+])[A-Za-z0-9+]*?{ALLOWED}[A-Za-z0-9+]*+"
+ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
+PACK, BITS = 12, 5  # counts in a number, bits of a count; a window is shorter than 2 ** BITS
+PART = 256  # elements whose running values are made together
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 MASK = "[secret]"
 
 
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each of the whole numbers `values` (one at least), all before it put together by `step`,
+    from 0. Parts are put together first, so that no long array is copied for every element."""
+    def along(part: Column, start: Column) -> Column:
+        zero = F.struct(start.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, zero, lambda a, x: F.struct(
+            step(a["at"], x).cast("int").alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    last = F.floor((F.size(values) - 1) / PART).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * PART + 1, F.lit(PART)))
+    return let(parts, lambda parts: let(
+        along(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: step(a, x).cast("int"))), F.lit(0)),
+        lambda starts: F.flatten(F.transform(parts, lambda p, k: along(p, F.get(starts, k))))))
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """(start, stop, value) of every match, leftmost and not overlapping. `value` is the text of
     `group`. What lies between the matches gives their places."""
     def place(gaps: Column, found: Column, values: Column) -> Column:
-        step = lambda a, i: F.struct(
-            (a["at"] + F.length(F.get(gaps, i)) + F.length(F.get(found, i))).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + F.length(F.get(gaps, i))).alias("start"),
-                (a["at"] + F.length(F.get(gaps, i)) + F.length(F.get(found, i))).alias("stop"),
-                F.get(values, i).alias("value"),
-            ))).alias("out"),
-        )
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda a: a["out"])
+        both = F.transform(found, lambda f, i: F.length(F.get(gaps, i)) + F.length(f))
+        return let(running(both, lambda a, x: a + x), lambda before: F.transform(values, lambda v, i: F.struct(
+            (F.get(before, i) + F.length(F.get(gaps, i))).alias("start"),
+            (F.get(before, i) + F.length(F.get(gaps, i)) + F.length(F.get(found, i))).alias("stop"), v.alias("value"))))
 
     some = let(F.split(text, pattern, -1), lambda gaps: let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: let(
@@ -60,50 +76,60 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), some).otherwise(F.array().cast(SPAN))
 
 
-def _spread(count: Column) -> Column:
-    """c * log2(c)."""
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
-
-
 def hot_windows(value: Column, limit: Column, width: int = WINDOW) -> Column:
     """(first, last): starts of the first and last window of `value` whose entropy reaches
-    `limit`, -1 without any. `value` has `width` characters or more."""
-    count = lambda part, c: F.size(F.filter(part, lambda x: x == c))
-    full = F.log2(F.lit(float(width)))
-
-    def slide(chars: Column) -> Column:
-        opening = F.slice(chars, 1, width)
-        total = F.aggregate(F.array_distinct(opening), F.lit(0.0), lambda s, c: s + _spread(count(opening, c)))
-
-        def seen(total: Column, i: Column, first: Column, last: Column) -> Column:
-            hot = full - total / width >= limit
-            return F.struct(
-                total.alias("total"), F.when(hot & (first < 0), i).otherwise(first).alias("first"),
-                F.when(hot, i).otherwise(last).alias("last"),
-            )
+    `limit`, -1 without any. `value` has `width` characters or more, all of `ALPHABET`."""
+    spread = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(width + 1)])  # c * log2(c)
+    numbers = -(-len(ALPHABET) // PACK)
+    word = lambda code: F.floor(code / PACK).cast("int")
+    shift = lambda code: (code % PACK) * BITS
+
+    def count(packed: Column, code: Column) -> Column:
+        shifted = F.call_function("shiftright", F.get(packed, word(code)), shift(code))
+        return shifted.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+
+    def put(packed: Column, code: Column, by: int) -> Column:
+        one = F.call_function("shiftleft", F.lit(by).cast("long"), shift(code))
+        return F.transform(packed, lambda n, k: F.when(k == word(code), n + one).otherwise(n))
+
+    def moved(a: Column, code: Column, by: int) -> Column:
+        """The counts and their sum after one more or one less of `code`."""
+        return let(count(a["counts"], code), lambda c: F.struct(
+            (a["total"] + F.get(spread, c + by) - F.get(spread, c)).alias("total"), put(a["counts"], code, by).alias("counts")))
+
+    def seen(a: Column, i: Column, first: Column, last: Column) -> Column:
+        hot = F.lit(math.log2(width)) - a["total"] / width >= limit
+        return F.struct(a["total"].alias("total"), a["counts"].alias("counts"),
+                        F.when(hot & (first < 0), i).otherwise(first).alias("first"), F.when(hot, i).otherwise(last).alias("last"))
+
+    def slide(codes: Column) -> Column:
+        empty = F.struct(F.lit(0.0).alias("total"), F.array_repeat(F.lit(0).cast("long"), numbers).alias("counts"))
+        opening = F.aggregate(F.slice(codes, 1, width), empty, lambda a, c: moved(a, c, 1))
 
         def step(a: Column, i: Column) -> Column:
-            def moved(part: Column) -> Column:
-                out, into = F.get(chars, i - 1), F.get(chars, i + width - 1)
-                n_out, n_into = count(part, out), count(part, into)
-                change = _spread(n_out - 1) - _spread(n_out) + _spread(n_into + 1) - _spread(n_into)
-                return F.when(out == into, a["total"]).otherwise(a["total"] + change)
-
-            return let(moved(F.slice(chars, i, width)), lambda total: seen(total, i, a["first"], a["last"]))
+            out, into = F.get(codes, i - 1), F.get(codes, i + width - 1)
+            same = F.struct(a["total"].alias("total"), a["counts"].alias("counts"))
+            changed = F.when(out == into, same).otherwise(let(moved(a, out, -1), lambda b: moved(b, into, 1)))
+            return let(changed, lambda b: seen(b, i, a["first"], a["last"]))
 
-        later = F.when(F.size(chars) > width, F.sequence(F.lit(1), F.size(chars) - width)).otherwise(F.array().cast("array<int>"))
-        none = F.lit(-1)
-        return F.aggregate(later, let(total, lambda t: seen(t, F.lit(0), none, none)), step)
+        later = F.when(F.size(codes) > width, F.sequence(F.lit(1), F.size(codes) - width)).otherwise(F.array().cast("array<int>"))
+        begun = let(opening, lambda b: seen(b, F.lit(0), F.lit(-1), F.lit(-1)))
+        return F.aggregate(later, begun, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
 
-    return let(F.split(value, ""), lambda c: slide(F.array_remove(c, "")))
+    letters = F.array_remove(F.split(value, ""), "")
+    return let(F.transform(letters, lambda c: F.call_function("instr", F.lit(ALPHABET), c) - 1), slide)
 
 
 def stretches(text: Column, width: int = WINDOW) -> Column:
     """The candidates; of one with placeholders, what lies outside their pieces."""
+    def between(c: Column, excused: Column) -> Column:
+        begin = lambda i: c["start"] + F.when(i > 0, F.get(excused, i - 1)["stop"]).otherwise(0)
+        gaps = F.transform(F.split(c["value"], EXCUSED, -1), lambda g, i: F.struct(
+            begin(i).alias("start"), (begin(i) + F.length(g)).alias("stop"), g.alias("value")))
+        return F.filter(gaps, lambda g: F.length(g["value"]) >= width)
+
     def outside(c: Column) -> Column:
-        parts = F.filter(matches(c["value"], STRETCH), lambda p: F.length(p["value"]) >= width)
-        return F.transform(parts, lambda p: F.struct(
-            (c["start"] + p["start"]).alias("start"), (c["start"] + p["stop"]).alias("stop"), p["value"].alias("value")))
+        return let(matches(c["value"], EXCUSED), lambda excused: between(c, excused))
 
     def parted(c: Column) -> Column:
         return F.when(F.rlike(c["value"], F.lit(UUID)), F.array().cast(SPAN)).when(
@@ -119,7 +145,7 @@ def entropy_spans(text: Column, width: int = WINDOW, limits: dict[str, float] =
         mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
         is_hex = F.rlike(value, F.lit("^([0-9a-f]+|[0-9A-F]+)$"))
         limit = F.when(is_hex, limits["hex"]).otherwise(limits["mixed"])
-        hot = F.when(mixed, hot_windows(value, limit, width))
+        hot = F.when(mixed, let(limit, lambda known: hot_windows(value, known, width)))
         return let(hot, lambda h: F.struct(
             (c["start"] + h["first"]).alias("start"), (c["start"] + h["last"] + width).alias("stop"),
             F.when(h["first"] >= 0, value).alias("value"),
@@ -133,17 +159,21 @@ def _numbered(spans: Column, kind: str) -> Column:
         s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["stop"].alias("stop")))
 
 
-def scan(documents: DataFrame) -> DataFrame:
-    """The documents with `secrets`: sorted (start, kind, stop), kind a place in `KINDS`. Spans of
-    the entropy search that meet a known shape are left out."""
-    text = F.coalesce("text", F.lit(""))
+def found(text: Column) -> Column:
+    """Sorted (start, kind, stop), kind a place in `KINDS`. Spans of the entropy search that meet a
+    known shape are left out."""
     assign = F.filter(matches(text, ASSIGN, 1), lambda s: F.length(s["value"]) >= VALUE_MIN)
     base = F.concat(_numbered(assign, "assign"), _numbered(matches(text, ACCESS), "access"), _numbered(matches(text, HEX), "hex"))
     clear = lambda known: F.filter(
         _numbered(entropy_spans(text), "entropy"),
         lambda s: ~F.exists(known, lambda k: (k["start"] < s["stop"]) & (s["start"] < k["stop"])),
     )
-    return documents.withColumn("secrets", let(base, lambda known: F.array_sort(F.concat(known, clear(known)))))
+    return let(base, lambda known: F.array_sort(F.concat(known, clear(known))))
+
+
+def scan(documents: DataFrame) -> DataFrame:
+    """The documents with `secrets`, the spans found in the text."""
+    return documents.withColumn("secrets", found(F.coalesce("text", F.lit(""))))
 
 
 def told(spans: Column) -> Column:
@@ -155,15 +185,23 @@ def told(spans: Column) -> Column:
 def redact(documents: DataFrame) -> DataFrame:
     """The documents with every secret replaced by `MASK`, `n_chars` brought up to date."""
     text = F.coalesce("text", F.lit(""))
-    step = lambda a, s: F.when(s["stop"] <= a["at"], a).otherwise(F.struct(
-        s["stop"].alias("at"),
-        F.concat(a["out"], F.when(s["start"] >= a["at"], F.concat(
-            F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(MASK))).otherwise(F.lit(""))).alias("out"),
-    ))
-    joined = F.aggregate(
-        "secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    clean = F.when(F.size("secrets") == 0, F.col("text")).otherwise(joined)
-    out = scan(documents).withColumn("text", clean).drop("secrets")
+
+    def masked(spans: Column, before: Column, letters: Column) -> Column:
+        """What lies between the spans; one that begins inside an earlier one adds no mask."""
+        piece = lambda a, b: F.array_join(F.slice(letters, a + 1, F.greatest(b - a, F.lit(0))), "")
+        parts = F.transform(spans, lambda s, i: F.when(
+            s["start"] >= F.get(before, i), F.concat(piece(F.get(before, i), s["start"]), F.lit(MASK))).otherwise(F.lit("")))
+        end = F.array_max(F.transform(spans, lambda s: s["stop"]))
+        return F.concat(F.array_join(parts, ""), piece(end, F.size(letters)))
+
+    def joined(spans: Column) -> Column:
+        stops = running(F.transform(spans, lambda s: s["stop"]), lambda a, x: F.greatest(a, x))
+        letters = F.array_remove(F.split(text, ""), "")
+        return let(stops, lambda before: let(letters, lambda letters: masked(spans, before, letters)))
+
+    spare = "secrets"
+    while spare in documents.columns:
+        spare += "_"
+    clean = F.when(F.size(spare) == 0, F.col("text")).otherwise(joined(F.col(spare)))
+    out = documents.withColumn(spare, found(text)).withColumn("text", clean).drop(spare)
     return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else out
