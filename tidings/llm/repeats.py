@@ -288,8 +288,10 @@ def _owners(segments: DataFrame) -> DataFrame:
 
 
 def _crowds(owners: DataFrame) -> DataFrame:
-    """Owners of keys with several, with `crowd`, their number."""
-    return owners.join(owners.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1"), "key")
+    """Owners of keys with several, with `crowd`, their number. The numbers are stored: a join of two
+    plain shuffles is split where a key is crowded."""
+    crowds = owners.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1")
+    return owners.join(stored(crowds, "crowds"), "key")
 
 
 def _settled(pieces: DataFrame, crowded: bool, grams: tuple[int, ...], crowd: int, chunk: int) -> list[DataFrame]:
