@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import JUNK, NOW, record, records, scores, table, values
 from tidings.operators import quality, scoring, sightings
-from tidings.sources import history, raw
+from tidings.sources import directory, history, raw, snapshots
 
 
 def upsert_all(spark, batches):
@@ -57,7 +57,7 @@ def test_late_load_moves_a_row_to_another_month_and_drops_the_empty_one(spark, t
     assert touched == {"2026-08", "2026-09"}
     stored = history.read_table(spark, folder, "headlines")
     assert sorted(values(stored, "title", "month")) == [("a", "2026-08"), ("b", "2026-07")]
-    assert not (tmp_path / "history" / "headlines" / "month=2026-09").exists()
+    assert "2026-09" not in snapshots.current(spark, f"{folder}/headlines").months()
 
 
 def test_export_replaces_tables_and_removes_stale_months(spark, tmp_path):
@@ -67,11 +67,10 @@ def test_export_replaces_tables_and_removes_stale_months(spark, tmp_path):
     both = table(spark, [record("august story", run_date="2026-08-31"), record("september story")])
     history.export_table(both, folder, "headlines")
     history.export_table(both, folder, "headlines")
-    assert sorted(p.name for p in (tmp_path / "history" / "headlines").glob("month=*")) == [
-        "month=2026-08", "month=2026-09"]
+    assert snapshots.current(spark, f"{folder}/headlines").months() == {"2026-08", "2026-09"}
     assert history.load_history(spark, folder)["headlines"].count() == 2
     history.export_table(table(spark, [record("september story")]), folder, "headlines")
-    assert sorted(p.name for p in (tmp_path / "history" / "headlines").glob("month=*")) == ["month=2026-09"]
+    assert snapshots.current(spark, f"{folder}/headlines").months() == {"2026-09"}
 
 
 def test_month_filter_reaches_the_folders(spark, tmp_path):
@@ -84,6 +83,78 @@ def test_month_filter_reaches_the_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(first_run_date)" in plan
 
 
+def test_a_rewrite_that_stops_midway_leaves_the_old_version_whole(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "history")
+    one = [record("a", run_date="2026-08-01"), record("b", run_date="2026-09-02")]
+    history.upsert_months(spark, folder, table(spark, one))
+    before = sorted(values(history.read_table(spark, folder, "headlines")))
+    late = table(spark, [record("b", run_date="2026-07-01"), record("c", run_date="2026-08-05")])
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    for step in ("commit", "write_snap"):
+        with monkeypatch.context() as patched:
+            patched.setattr(history, step, stop)
+            with pytest.raises(KeyboardInterrupt):
+                history.upsert_months(spark, folder, late)
+        assert sorted(values(history.read_table(spark, folder, "headlines"))) == before
+    for _ in range(2):  # done again, and once more
+        history.upsert_months(spark, folder, late)
+        stored = history.read_table(spark, folder, "headlines")
+        assert sorted(values(stored, "title", "month")) == [("a", "2026-08"), ("b", "2026-07"), ("c", "2026-08")]
+
+
+def test_a_second_writer_of_a_version_fails(spark, tmp_path):
+    root = str(tmp_path / "t")
+    seen = snapshots.current(spark, root)
+    snapshots.commit(spark, seen, [("2026-01", "x")])
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        snapshots.commit(spark, seen, [("2026-02", "y")])
+    assert snapshots.current(spark, root).pairs == (("2026-01", "x"),)
+
+
+def test_compaction_keeps_rows_and_removes_old_files(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    for k in range(3):
+        history.append_sentiment(spark, folder, spark.createDataFrame(
+            [(f"k{k}", "m", "neutral", 0.0)], "headline_id string, model string, label string, score double").withColumn(
+            "scored_at", F.lit("2026-09-14 09:00:00").cast("timestamp_ntz")))
+    before = sorted(values(history.read_table(spark, folder, "sentiment")))
+    assert history.count_files(spark, folder) == 3
+    history.compact(spark, folder, "sentiment")
+    assert sorted(values(history.read_table(spark, folder, "sentiment"))) == before and history.count_files(spark, folder) == 1
+    data = tmp_path / "history" / "sentiment"
+    assert [len(list((data / part).iterdir())) for part in ("data", "keys", "manifests")] == [1, 1, 1]
+    known = spark.createDataFrame([("k1", "m"), ("k1", "n"), ("k9", "m")], "headline_id string, model string")
+    assert sorted(values(history.unscored(spark, folder, known))) == [("k1", "n"), ("k9", "m")]
+
+
+@pytest.mark.parametrize("size", [400, 4000])
+def test_a_lookup_reads_a_bounded_share_of_the_directory(spark, tmp_path, size):
+    folder = str(tmp_path / "keys")
+    rows = spark.range(size).select(F.concat(F.lit("k"), "id").alias("headline_id"), F.concat(F.lit("2026-0"), F.col("id") % 9 + 1).alias("month"))
+    directory.add(spark, folder, rows, known=False)
+    directory.add(spark, folder, rows.limit(50))  # nothing new
+    total = len(spark.read.schema(directory.ENTRY).parquet(folder).inputFiles())
+    ten = rows.filter(F.col("headline_id").isin(*[f"k{i}" for i in range(10)]))
+    assert total <= directory.BUCKETS
+    found = directory.entries(spark, folder, ten)
+    assert len(found.inputFiles()) <= 10
+    assert sorted(values(found.join(ten.select("headline_id"), "headline_id", "left_semi"))) == sorted(values(ten))
+    assert directory.months_of(spark, folder, ten.limit(0)) == set()
+
+
+def test_an_upsert_opens_only_the_months_of_its_stories(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    history.upsert_months(spark, folder, table(spark, [record(f"s{m}", run_date=f"2026-{m:02d}-05") for m in range(1, 9)]))
+    before = dict(snapshots.current(spark, f"{folder}/headlines").pairs)
+    history.upsert_months(spark, folder, table(spark, [record("s3", run_date="2026-09-05"), record("new", run_date="2026-09-05")]))
+    after = dict(snapshots.current(spark, f"{folder}/headlines").pairs)
+    assert {m for m in after if after[m] != before.get(m)} == {"2026-03", "2026-09"}
+    assert values(history.stories(spark, folder, "headlines", history.read_table(spark, folder, "headlines").filter("title = 's3'")), "month") == ["2026-03"]
+
+
 def random_batches(seed, days=6, per_day=40):
     """Sightings where one story makes up a third of all rows."""
     rng = random.Random(seed)
@@ -178,7 +249,7 @@ def test_a_story_is_flagged_by_any_of_its_titles(spark):
         record("Fine title", link=link), record(JUNK, topic="Tesla", link=link),
         record("zz__x", topic="AI", link=link), record("Other"),
     ])
-    assert values(quality.flagged_stories(heads), "reason") == ["stock_screener"]
+    assert values(quality.flagged_stories(heads), "reason") == ["quote_page"]
     assert values(quality.good_headlines(heads), "title") == ["Other"]
     assert values(quality.hidden_rows(heads)) == [3]
 

@@ -1,14 +1,15 @@
-"""History tables as Parquet, one folder per month, rows sorted."""
+"""History tables as versions of sorted Parquet, a folder for each month."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.operators.sightings import KEY, upsert
+from tidings.operators.sightings import upsert
 from tidings.schemas import HEADLINES, SENTIMENT
 from tidings.session import scratch
-from tidings.sources.files import exists, remove
+from tidings.sources import directory
+from tidings.sources.snapshots import Snapshot, commit, current, tidy, write_snap
 
 TABLES = {"headlines": HEADLINES, "sentiment": SENTIMENT}
 # what a month is made of, and the order of rows inside it
@@ -23,18 +24,29 @@ def month_column(table: str) -> Column:
     return F.date_format(MONTH_OF[table], "yyyy-MM")
 
 
-def _folder(history_dir: str, table: str) -> str:
+def _root(history_dir: str, table: str) -> str:
     return f"{history_dir.rstrip('/')}/{table}"
 
 
-def read_table(spark: SparkSession, history_dir: str, table: str) -> DataFrame:
-    """A history table with its `month` folder column, empty when nothing is stored. Columns go
-    by name. Filters on `month` prune folders."""
+def _read(spark: SparkSession, table: str, snapshot: Snapshot, months: set[str] | None = None) -> DataFrame:
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in TABLES[table])}, month string"
-    folder = _folder(history_dir, table)
-    if not exists(spark, folder):
+    folders = snapshot.folders(months)
+    if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(schema).option("basePath", snapshot.data).parquet(*folders).drop("snap")
+
+
+def read_table(spark: SparkSession, history_dir: str, table: str, months: set[str] | None = None) -> DataFrame:
+    """The newest version of a history table, or the given months of it, with its `month` folder
+    column; empty when nothing is stored. Columns go by name. Filters on `month` prune folders."""
+    return _read(spark, table, current(spark, _root(history_dir, table)), months)
+
+
+def stories(spark: SparkSession, history_dir: str, table: str, ids: DataFrame) -> DataFrame:
+    """The rows of the stories in `ids` (headline_id). Reads the months that the directory names."""
+    snapshot = current(spark, _root(history_dir, table))
+    months = directory.months_of(spark, snapshot.key_folder, ids)
+    return _read(spark, table, snapshot, months).join(ids.select("headline_id").distinct(), "headline_id", "left_semi")
 
 
 def within(frame: DataFrame, first_day, last_day) -> DataFrame:
@@ -63,36 +75,28 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def count_files(spark: SparkSession, history_dir: str) -> int:
-    """Parquet files in the history."""
+    """Parquet files of the newest version."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return sum(
-        files.load(_folder(history_dir, table)).select("length").count()  # contents are not read
-        for table in TABLES
-        if exists(spark, _folder(history_dir, table))
-    )
+    total = 0
+    for table in TABLES:
+        folders = current(spark, _root(history_dir, table)).folders()
+        total += files.load(folders).select("length").count() if folders else 0  # contents are not read
+    return total
 
 
-def _write(frame: DataFrame, history_dir: str, table: str, mode: str) -> None:
-    order = ["month", *SORT_BY[table]]
-    (
-        frame.select(*TABLES[table].fieldNames())
-        .withColumn("month", month_column(table))
-        # by range, so a month that holds most of the rows fills several files, each with a
-        # narrow span of keys
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .option("compression", "zstd")
-        .partitionBy("month")
-        .parquet(_folder(history_dir, table))
-    )
+def _with_month(frame: DataFrame, table: str) -> DataFrame:
+    return frame.select(*TABLES[table].fieldNames()).withColumn("month", month_column(table))
 
 
 def export_table(frame: DataFrame, history_dir: str, table: str) -> None:
-    """Replace a whole history table; months that no longer occur disappear. `frame` must not
-    be read from the same folder."""
-    _write(frame, history_dir, table, "static")
+    """Replace a whole history table by one new version, which months that no longer occur are not
+    part of. `frame` may read the version before."""
+    spark, before = frame.sparkSession, current(frame.sparkSession, _root(history_dir, table))
+    after = Snapshot(before.root, before.version)  # a new generation of the directory
+    pairs = write_snap(_with_month(frame, table), after, SORT_BY[table])
+    written = Snapshot(after.root, after.version, tuple(pairs), after.keys)
+    directory.add(spark, after.key_folder, _read(spark, table, written), known=False)
+    commit(spark, before, pairs, after.keys)
 
 
 def export_history(tables: dict[str, DataFrame], history_dir: str) -> None:
@@ -100,52 +104,63 @@ def export_history(tables: dict[str, DataFrame], history_dir: str) -> None:
         export_table(frame, history_dir, table)
 
 
+def compact(spark: SparkSession, history_dir: str, table: str) -> None:
+    """Rewrite the months that lie in several snaps, and the directory without repeated and stale
+    entries, as one new version, and remove what it does not name."""
+    before = current(spark, _root(history_dir, table))
+    many = {m for m in before.months() if len(before.folders({m})) > 1}
+    pairs = [p for p in before.pairs if p[0] not in many]
+    pairs += write_snap(_read(spark, table, before, many), before, SORT_BY[table]) if many else []
+    after = Snapshot(before.root, before.version, tuple(pairs))
+    directory.add(spark, after.key_folder, _read(spark, table, after), known=False)
+    commit(spark, before, pairs, after.keys)
+    tidy(spark, before.root)
+
+
 def _months(frame: DataFrame) -> set[str]:
     """Distinct months, a list as long as the history has months."""
     return {row["month"] for row in frame.select("month").distinct().collect()}
 
 
 def upsert_months(spark: SparkSession, history_dir: str, batch: DataFrame) -> set[str]:
-    """Load one collapsed batch into the stored headlines, rewriting only the months it touches.
-    Returns the rewritten months.
+    """Load one collapsed batch into the stored headlines, rewriting only the months it touches, as
+    one new version. Returns the rewritten months.
 
-    The months are found by looking the batch's keys up in two columns of the store. A late
-    sighting can move a row to an earlier month; both months are rewritten, and a month that
-    lost its last row is removed."""
-    stored = read_table(spark, history_dir, "headlines")
+    The directory names the months that may hold the batch's stories; others are not opened. A late
+    sighting can move a row to an earlier month; both months are rewritten."""
+    before = current(spark, _root(history_dir, "headlines"))
     with scratch(spark) as store:
         batch = store(batch.withColumn("month", month_column("headlines")))
-        touched = _months(stored.select(*KEY, "month").join(batch.select(*KEY), KEY, "left_semi"))
-        touched |= _months(batch)
+        ids = batch.select("headline_id").distinct()
+        touched = directory.months_of(spark, before.key_folder, ids) | _months(batch)
         if not touched:
             return set()
-        before = stored.filter(F.col("month").isin(*sorted(touched)))
-        # the months read here are overwritten next
-        merged = store(upsert(before, batch).withColumn("month", month_column("headlines")))
-        written = _months(merged)
-        _write(merged, history_dir, "headlines", "dynamic")
-    for month in touched - written:
-        remove(spark, f"{_folder(history_dir, 'headlines')}/month={month}")
+        merged = store(_with_month(upsert(_read(spark, "headlines", before, touched), batch), "headlines"))
+        pairs = write_snap(merged, before, SORT_BY["headlines"])
+        directory.add(spark, before.key_folder, merged.join(ids, "headline_id", "left_semi"))
+        commit(spark, before, [p for p in before.pairs if p[0] not in touched] + pairs)
     return touched
 
 
-def append_sentiment(spark: SparkSession, history_dir: str, scored: DataFrame) -> None:
-    """Add new scores; existing files stay as they are. A second score of a story by one model is
-    an error, found before anything is written. Only keys of the new rows are looked up."""
+def unscored(spark: SparkSession, history_dir: str, keys: DataFrame) -> DataFrame:
+    """The (headline_id, model) of `keys` without a stored score."""
     key = ["headline_id", "model"]
-    twice = scored.groupBy(*key).count().filter("count > 1").select(*key)
-    known = read_table(spark, history_dir, "sentiment").select(*key).join(scored.select(*key), key, "left_semi")
-    clash = twice.unionByName(known).first()
-    if clash is not None:
-        raise ValueError(f"story scored twice: {clash['headline_id']} {clash['model']}")
-    order = ["month", *SORT_BY["sentiment"]]
-    (
-        scored.select(*SENTIMENT.fieldNames())
-        .withColumn("month", month_column("sentiment"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("append")
-        .option("compression", "zstd")
-        .partitionBy("month")
-        .parquet(_folder(history_dir, "sentiment"))
-    )
+    return keys.select(*key).join(stories(spark, history_dir, "sentiment", keys).select(*key), key, "left_anti")
+
+
+def append_sentiment(spark: SparkSession, history_dir: str, scored: DataFrame) -> None:
+    """Add new scores as one new version; existing files stay as they are. A second score of a
+    story by one model is an error, found before anything is written. Only keys of the new rows are
+    looked up, in the months the directory names."""
+    before = current(spark, _root(history_dir, "sentiment"))
+    with scratch(spark) as store:
+        scored = store(_with_month(scored, "sentiment"))
+        key = ["headline_id", "model"]
+        twice = scored.groupBy(*key).count().filter("count > 1").select(*key)
+        known = stories(spark, history_dir, "sentiment", scored).select(*key).join(scored.select(*key), key, "left_semi")
+        clash = twice.unionByName(known).first()
+        if clash is not None:
+            raise ValueError(f"story scored twice: {clash['headline_id']} {clash['model']}")
+        pairs = write_snap(scored, before, SORT_BY["sentiment"])
+        directory.add(spark, before.key_folder, scored)
+        commit(spark, before, [*before.pairs, *pairs])
