@@ -66,6 +66,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     story_no = F.col("user_id") * 10 + F.col("k") % 10
     return (
         table(spark, sf_dir, "events")
+        # the file is one row group: dealt out, so that parsing and keys use every core
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
         .select(F.col("event_id").alias("ord"), "ts", F.col("event_type").alias("topic"),
                 "user_id", k.alias("k"))
         .withColumn("story_no", story_no)

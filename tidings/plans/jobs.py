@@ -22,6 +22,8 @@ from tidings.plans import reports
 from tidings.session import scratch
 from tidings.sources import documents, feeds, history, raw
 
+LANE = 500  # stories a scoring task gets
+
 
 @dataclass(frozen=True)
 class Paths:
@@ -130,25 +132,27 @@ def load_records(
 def score_history(
     spark: SparkSession, paths: Paths, scorers: dict[str, scoring.Scorer], now, only: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Score every good story a model has not scored, or those with an id in `only`; returns new
-    scores per model."""
-    tables = history.load_history(spark, paths.history)
-    if only is not None:
-        tables = {name: frame.join(only, "headline_id", "left_semi") for name, frame in tables.items()}
-    good = quality.good_headlines(tables["headlines"])
-    lanes = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    """Score every good story a model has not scored, or those with an id in `only`, of which the
+    months they lie in are read; returns new scores per model."""
+    if only is None:
+        tables = history.load_history(spark, paths.history)
+    else:
+        tables = {name: history.stories(spark, paths.history, name, only) for name in history.TABLES}
     scored = {}
-    for name, scorer in scorers.items():
-        # few bytes but much work per row: Spark would merge small partitions, a fixed number stays
-        stories = scoring.pending(good, tables["sentiment"], name).repartition(lanes)
-        with scratch(spark) as store:
-            # a model may be slow: its answers are stored once, then counted and appended
-            rows = store(scoring.score_stories(stories, name, scorer, now))
+    with scratch(spark) as store:
+        # the rules meet each title once, whatever the number of models
+        good = store(quality.good_headlines(tables["headlines"]).select("headline_id", "title"))
+        for name, scorer in scorers.items():
+            stories = store(scoring.pending(good, tables["sentiment"], name))
+            lanes = -(-stories.count() // LANE)
+            if not lanes:
+                scored[name] = 0
+                continue
+            # few bytes but much work per row: Spark would merge small partitions, a stated number stays.
+            # A model may be slow: its answers are stored once, then counted and appended
+            rows = store(scoring.score_stories(stories.repartition(lanes), name, scorer, now))
             scored[name] = rows.count()
-            if scored[name]:
-                history.append_sentiment(spark, paths.history, rows)
+            history.append_sentiment(spark, paths.history, rows)
     return scored
 
 

@@ -2,7 +2,8 @@
 
 The batch jobs are safe to repeat, so a micro-batch that is run again after a failure leaves the
 same tables: stored versions win on landing, first and last dates only move outwards, and a
-story with a score is no longer pending.
+story with a score is no longer pending. What a micro-batch reads of the history is bounded by
+its own stories: the directory names the months they lie in.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidings.functions.times import parse_iso
 from tidings.operators import sightings
 from tidings.operators.scoring import Scorer
 from tidings.plans.jobs import Paths, score_history
@@ -60,12 +62,23 @@ def upsert_stream(
     return _start(records, checkpoint, work, trigger)
 
 
+def delivered_once(records: DataFrame, lateness: str) -> DataFrame:
+    """Records without those delivered again within `lateness`, by state that expires with the
+    watermark. A record later than that is left out; so is one without a time."""
+    seen = F.coalesce(parse_iso(F.col("collected_at")), F.col("run_date").try_cast("timestamp_ntz")).cast("timestamp")
+    return (
+        records.withColumn("seen", seen).filter("seen IS NOT NULL")
+        .withWatermark("seen", lateness).dropDuplicatesWithinWatermark(RAW_RECORD.fieldNames()).drop("seen")
+    )
+
+
 def score_stream(
     records: DataFrame, paths: Paths, checkpoint: str, scorers: dict[str, Scorer], now,
-    trigger: dict = {"availableNow": True},
+    lateness: str = "7 days", trigger: dict = {"availableNow": True},
 ) -> StreamingQuery:
     """Upsert arriving records and score their stories, once per story and model. Titles and scores
-    of other stories are passed over by id; a new model over the whole history is a batch job."""
+    are read from the months of these stories only; a new model over the whole history, and
+    records later than `lateness`, are for the batch job."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -74,7 +87,7 @@ def score_stream(
             history.upsert_months(spark, paths.history, fresh)
             score_history(spark, paths, scorers, now, fresh.select("headline_id").distinct())
 
-    return _start(records, checkpoint, work, trigger)
+    return _start(delivered_once(records, lateness), checkpoint, work, trigger)
 
 
 def daily_count_stream(
@@ -89,3 +102,36 @@ def daily_count_stream(
         .agg(F.count("*").alias("n"))
         .select(F.to_date("w.start").alias("day"), "topic", "n")
     )
+
+
+def final_count_stream(
+    typed: DataFrame, folder: str, checkpoint: str, time_column: str = "collected_at", lateness: str = "2 days",
+    trigger: dict = {"availableNow": True},
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Two queries over the same sightings: final day counts, appended once under `folder`/final when the
+    watermark has passed a day, whose state then goes; and what arrived per micro-batch, day and
+    topic, under `folder`/arrived. `late_counts` compares them."""
+    final = (
+        daily_count_stream(typed, time_column, lateness).writeStream.outputMode("append").format("parquet")
+        .option("path", f"{folder}/final").option("checkpointLocation", f"{checkpoint}/final").trigger(**trigger).start()
+    )
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        # a repeated micro-batch writes the same folder again
+        batch.groupBy(F.to_date(time_column).alias("day"), "topic").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(
+            f"{folder}/arrived/batch={batch_id}")
+
+    return final, _start(typed, f"{checkpoint}/arrived", work, trigger)
+
+
+def late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(day, topic, n, late): for every day that is final, sightings counted in time and sightings
+    that came after the day was closed."""
+    columns = "day date, topic string, n long"
+    final = spark.read.schema(columns).parquet(f"{folder}/final")
+    arrived = spark.read.schema(f"{columns}, batch long").parquet(f"{folder}/arrived").groupBy("day", "topic").agg(F.sum("n").alias("arrived"))
+    closed = final.agg(F.max("day").alias("closed"))  # days close in order
+    return (
+        arrived.join(F.broadcast(closed), F.col("day") <= F.col("closed")).join(final, ["day", "topic"], "left")
+        .select("day", "topic", F.coalesce("n", F.lit(0)).alias("n"), (F.col("arrived") - F.coalesce("n", F.lit(0))).alias("late"))
+    )
