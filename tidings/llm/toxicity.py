@@ -11,8 +11,8 @@ one potential, so a run of k of them is the k-th power of one 2 x 2 matrix. The
 text are gathered into its score by a logistic layer, and tokens with a marginal of `SPAN` or more
 are the offending offsets (code points, end exclusive, neighbours joined).
 
-Fitted on at most about `PER_CLASS` texts of each label, with all segments of these around tokens
-with evidence; a step takes them a block at a time. Defined results: a null or empty text has
+Fitted on at most about `PER_CLASS` texts of each label, stored once, with all their words of evidence and
+all their segments around tokens with evidence; a step takes them a block at a time. Defined results: a null or empty text has
 no tokens; without labels or evidence every score is the share of toxic labels (0 without any);
 labels that disagree count as clean; repeated rows give the same result; other columns are kept.
 """
@@ -27,12 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import remainder
+from tidings.llm.common import remainder, stored
 from tidings.llm.training import joined_sample, logistic, sigmoid
 
 PER_CLASS = 2000
 TOKEN = re.compile(r"[^\W\d_]+")
-LEXICON = 4000  # words of evidence, the strongest
 LEAST = 4  # toxic texts a word must occur in
 WEAK, STRONG = 1.0, 2.0  # log-odds
 SEGMENT = 32
@@ -61,7 +60,7 @@ def evidence(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, int]:
     sure = (F.col("a") - expected) / F.sqrt(expected * (n_clean / (n_toxic + n_clean)) + 0.5)
     rows = (
         counts.withColumns({"odds": odds, "sure": sure}).filter((F.col("a") >= LEAST) & (F.col("odds") >= WEAK) & (F.col("sure") >= 4))
-        .orderBy(F.desc("sure"), "word").limit(LEXICON).select("word", "odds").collect()
+        .select("word", "odds").collect()
     )
     return {r["word"]: level(r["odds"]) for r in rows}
 
@@ -246,6 +245,7 @@ def fit(documents: DataFrame, labels: DataFrame, held: int = 0, modulo: int = 5,
     model = Model({}, Chain(), None, prior)
     if not n_toxic or not n_clean:
         return model
+    rows = stored(rows, "toxic-sample")  # read for counts, words and segments
     # what was really sampled: shares are kept by hash, so it can be more than `per_class`
     sampled = rows.agg(F.count_if(F.col("label") > 0).alias("toxic"), F.count_if(F.col("label") <= 0).alias("clean")).first()
     if not sampled["toxic"] or not sampled["clean"]:
