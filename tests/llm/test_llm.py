@@ -296,3 +296,30 @@ def test_classifiers_learn(spark):
     assert all(r["text"][s["start"] : s["stop"]] in ("idiot fool", "idiot", "fool") for r in rows for s in r["spans"])
     mixed = docs(spark, ["der Hund und die Katze " * 3, "the dog and the cat " * 3] * 30).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "de").otherwise("en"))
     assert language.identify(mixed).filter("held_out and lang_pred <> lang").count() == 0
+
+
+def test_signs_that_count_as_word_characters_are_no_letters(spark):
+    texts = ["ein Haus und ein Hof " * 9, "a house and a yard " * 9] * 30
+    rows = [(i, t, ["de", "en"][i % 2]) for i, t in enumerate(texts)] + [(100 + i, t, "en") for i, t in enumerate(["½ ²", "Ⅷ", "12 _", "", None])]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[100 + i] for i in range(5)] == ["und"] * 5 and got[0] == "de" and got[1] == "en"
+
+
+HARD = {"ruler": "example" + "-" * 100_000, "zeros": "0" * 5_000 + "1.1.1.1", "words": "price " * 20_000, "one": "a" * 100_000,
+        "base64": "".join("aZ3+/9kQ"[i * 7919 % 8] for i in range(60_000)) + "dummy", "lines": "x\n" * 50_000}
+
+
+def test_long_texts_without_structure_give_a_result(spark):
+    found = {r["source"]: r["pii"] for r in pii.scan(docs(spark, list(HARD.values())).withColumn("source", F.get(F.array(*map(F.lit, HARD)), F.col("doc_id").cast("int")))).collect()}
+    assert [(s["kind"], s["start"], s["stop"]) for s in found["zeros"] if s["kind"] == "ip"] == [("ip", 0, 5007)]
+    masked = secrets.redact(docs(spark, list(HARD.values())).withColumn("secrets", F.lit("own"))).collect()
+    assert {r["doc_id"]: r["text"] for r in masked}[0] == HARD["ruler"] and {r["secrets"] for r in masked} == {"own"}
+    assert quality_rules.verdicts(docs(spark, list(HARD.values())), spark.createDataFrame([], "doc_id long, quality int")).count() == len(HARD)
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"token=abc{i:05d}" for i in range(5000))
+    row = secrets.redact(docs(spark, [text])).first()
+    assert row["text"] == " ".join([secrets.MASK] * 5000)
+    spans = secrets.scan(docs(spark, [text])).first()["secrets"]
+    assert [(s["start"], s["stop"]) for s in spans] == [(15 * i, 15 * i + 14) for i in range(5000)]

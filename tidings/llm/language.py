@@ -13,7 +13,6 @@ that sorts first; repeated rows give the same result; other columns are kept.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +29,6 @@ BUCKETS = 1 << BUCKET_BITS
 PIECE = 1 << 20  # code points hashed at a time
 EXHAUSTIVE = 5  # up to so many languages every useful bit is used
 LEAD = 0.2
-LETTER = re.compile(r"[^\W\d_]")
 RESULT = "lang_pred string, score double, ambiguous boolean"
 
 
@@ -120,7 +118,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     @F.pandas_udf(RESULT)
     def judge(texts: pd.Series) -> pd.DataFrame:
         out = [("und", 0.0, True)] * len(texts)
-        known = [i for i, t in enumerate(texts) if model is not None and t is not None and LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if model is not None and t is not None and any(map(str.isalpha, t))]
         if known and len(model.languages) == 1:
             for i in known:
                 out[i] = (model.languages[0], 1.0, False)
