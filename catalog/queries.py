@@ -85,6 +85,19 @@ def feed_malformed(spark, sf):
     return plain(drops)
 
 
+@query(sql("""SELECT ord, i AS position, i = 2 AS unparsed, CASE i WHEN 0 THEN 'Caf\u00e9 ' || s || '\u2019s day & night' WHEN 1 THEN 'A </item> in ' || s
+  WHEN 3 THEN 'Last ' || s END AS title FROM st, (SELECT unnest(range(4)) AS i)""", "st"))
+def feed_repaired(spark, sf):
+    """Items of feeds with entities of HTML, tags in CDATA and comments, and an item that is never closed."""
+    told = lambda title: f"<item><title>{title}</title><link>https://e.com/{{}}</link></item>"
+    body = "<rss><channel><!-- " + told("Hidden") + " -->" + told("Caf&eacute; {}&rsquo;s day &amp; night") + told("<![CDATA[A </item> in {}]]>") + \
+        told("Cut {}").replace("</item>", "") + told("Last {}") + "</channel></rss>"
+    parts = body.split("{}")
+    content = F.concat(*[x for p in parts for x in (F.lit(p), F.col("s"))][:-1])
+    items = feeds.feed_items(A.events(spark, sf).select("ord", content.alias("content")), ["ord"])
+    return items.select("ord", F.col("position").cast("long"), "unparsed", F.when(~F.col("unparsed"), F.col("raw_title")).alias("title"))
+
+
 @query(sql(f"""SELECT {_RECORD} FROM (SELECT *, row_number() OVER (PARTITION BY run_date, topic ORDER BY published DESC NULLS LAST, ord) AS place FROM (
   SELECT * FROM ({_LONG}) WHERE reason IS NULL AND NOT outside AND NOT broken
   QUALIFY row_number() OVER (PARTITION BY run_date, topic, headline_id ORDER BY published DESC NULLS LAST, ord) = 1) QUALIFY place <= 8)""", "feed"))

@@ -264,14 +264,13 @@ def test_rewriting_a_partition_changes_nothing_and_later_runs_only_add(spark, tm
     counted = raw.write_partitions(spark, folder, records(spark, rows))
     assert values(counted) == [("2026-09-14", "Markets", 3)]
 
-    def stored():
-        files = sorted((tmp_path / "raw").rglob("*.json"))
-        return [line for f in files for line in f.read_text().splitlines()]
-
-    first = stored()
-    assert [line.split('"title":"')[1][0] for line in first] == ["b", "a", "c"]  # newest first, undated last
-    raw.write_partitions(spark, folder, records(spark, rows[:3]))
-    assert stored() == first
+    files = sorted((tmp_path / "raw" / "landing=1").rglob("*.json"))
+    lines = [line for f in files for line in f.read_text().splitlines()]
+    assert [line.split('"title":"')[1][0] for line in lines] == ["b", "a", "c"]  # newest first, undated last
+    first = sorted(values(raw.read_raw(spark, folder)), key=str)
+    assert values(raw.write_partitions(spark, folder, records(spark, rows[:3]))) == [("2026-09-14", "Markets", 3)]
+    assert sorted(values(raw.read_raw(spark, folder)), key=str) == first
+    assert lines == [line for f in files for line in f.read_text().splitlines()]  # written once
 
     later = [record("a", collected_at="2026-09-14T15:00:00Z"), record("new", collected_at="2026-09-14T15:00:00Z")]
     raw.write_partitions(spark, folder, records(spark, later))
@@ -290,6 +289,26 @@ def test_a_rewrite_leaves_other_topics_and_days_alone(spark, tmp_path):
     assert raw.read_partition(spark, folder, "2026-09-01").count() == 0
 
 
+def test_compaction_and_repair_of_the_landing_zone(spark, tmp_path):
+    folder = str(tmp_path / "raw")
+    raw.write_partitions(spark, folder, records(spark, [record("a", source="old"), record("other day", run_date="2026-09-02")]))
+    raw.write_partitions(spark, folder, records(spark, [record("a", source="new"), record("b")]))
+    before = sorted(values(raw.read_raw(spark, folder)), key=str)
+    raw.compact(spark, folder)
+    assert sorted(values(raw.read_raw(spark, folder)), key=str) == before
+    assert {f.split("/landing=")[1][:1] for f in raw.read_partition(spark, folder, "2026-09-14").inputFiles()} == {"3"}
+    raw.write_partitions(spark, folder, records(spark, [record("a", source="newer"), record("c")]))
+    assert sorted(values(raw.read_partition(spark, folder, "2026-09-14"), "title", "source")) == [("a", "old"), ("b", "Reuters"), ("c", "Reuters")]
+
+    (tmp_path / "raw" / "landing=9" / "date=2026-09-20").mkdir(parents=True)  # never entered
+    (tmp_path / "raw" / "date=2026-09-03" / "topic_slug=x").mkdir(parents=True)
+    (tmp_path / "raw" / "date=2026-09-03" / "topic_slug=x" / "f.json").write_text('{"topic": "X", "title": "given", "link": "https://e.com/g"}\n')
+    raw.repair(spark, folder)
+    assert sorted(p.name for p in (tmp_path / "raw").iterdir()) == ["catalogue", "landing=1", "landing=3", "landing=4", "landing=5"]
+    assert values(raw.partition_dates(spark, folder)) == [date(2026, 9, d) for d in (2, 3, 14)]
+    assert values(raw.read_partition(spark, folder, "2026-09-03"), "title") == ["given"]
+
+
 def test_partition_dates_ignore_empty_and_stray_folders(spark, tmp_path):
     folder = tmp_path / "raw"
     assert values(raw.partition_dates(spark, str(folder / "missing"))) == []

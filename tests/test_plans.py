@@ -75,10 +75,10 @@ def test_every_query_has_its_comparison():
     assert set(ORACLES) == set(QUERIES) and len(QUERIES) > 80
 
 
-def test_a_rewrite_lists_only_its_folders(spark, tmp_path):
+def test_a_day_is_read_from_its_own_folders(spark, tmp_path):
     folder = str(tmp_path / "raw")
-    raw.write_partitions(spark, folder, records(spark, [record("a"), record("b", topic="Tesla")]))
-    rows = raw._read_folders(spark, folder, [("2026-09-14", "tesla")])
-    line = next(part for part in plan(rows).split("\n") if "FileScan json" in part)
-    assert "DataFilters: []" in line and "concat_ws" in line.split("PartitionFilters")[1]
-    assert [r["title"] for r in rows.collect()] == ["b"]
+    for day in ("2026-09-12", "2026-09-13", "2026-09-14"):
+        raw.write_partitions(spark, folder, records(spark, [record("a", run_date=day), record("b", topic="Tesla", run_date=day)]))
+    day = raw.read_partition(spark, folder, "2026-09-13")
+    assert day.inputFiles() and all("/landing=2/date=2026-09-13/" in f for f in day.inputFiles())
+    assert "Exchange" not in plan(day) and day.count() == 2

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.config import DAYS_BACK, MAX_PER_TOPIC
+from tidings.functions.binding import let
 from tidings.functions.links import dedup_key
 from tidings.functions.quality import is_low_quality
 from tidings.functions.text import split_title
@@ -16,9 +18,14 @@ from tidings.functions.times import is_recent, parse_published, to_iso
 from tidings.operators.editions import dedup_and_cap
 from tidings.schemas import FEED_ITEM
 
-# from an opening tag to its closing one, the next opening one or the end
-ITEM = r"(?s)<item[\s>].*?(?:</item\s*>|(?=<item[\s>])|$)"
+# Sections that hide tags, of one item at most. Possessive loops, so that length takes no stack.
+CDATA = r"<!\[CDATA\[(?:[^\]<]++|\](?!\]>)|<(?!item[\s>]|!\[CDATA\[))*+\]\]>"
+COMMENT = r"<!--(?:[^-]++|-(?!->))*+-->"
+# from an opening tag to its closing one, the next opening one or the end, passing over such sections
+ITEM = rf"<item(?=[\s>])(?:[^<]++|{CDATA}|{COMMENT}|<(?!/item\s*>|item[\s>]))*+(?:</item\s*>)?"
+PIECES = rf"{COMMENT}|{CDATA}|{ITEM}"
 # an ampersand that begins no XML entity
+XML_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
 STRAY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 ITEM_OR_RAW = T.StructType([*FEED_ITEM.fields, T.StructField("_corrupt_record", T.StringType())])
 RECORD_FIELDS = [
@@ -48,20 +55,31 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path)
 
 
+def numbered_entities(text: Column) -> Column:
+    """Named entities of HTML, which XML does not know, by number; XML's own five stay."""
+    table = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) if name not in XML_ENTITIES for x in (name, f"#{code}")])
+
+    def numbered(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+        return let(F.try_element_at(table, name), lambda code: F.when(code.isNull(), part).otherwise(
+            F.concat(code, F.substr(part, F.length(name) + 1))))
+
+    return F.array_join(F.transform(F.split(text, "&"), numbered), "&")
+
+
 def feed_items(documents: DataFrame, keep: list[str], content: str = "content") -> DataFrame:
     """One row per item with its `position` in the document; `keep` names the document's columns
     to carry along.
 
-    Items are cut out of the text and parsed one by one, so a broken item costs no other one. An
-    item that does not parse is tried again with its stray ampersands escaped; if it still fails it
-    is `unparsed`. A document without items gives one row without a position."""
+    Items are cut out of the text and parsed one by one, so a broken item costs no other one. Tags
+    inside CDATA sections and comments do not count. An item that does not parse is tried again with
+    HTML's entities by number and stray ampersands escaped; if it still fails it is `unparsed`. A document without items gives one row without a position."""
     parse = lambda text: F.from_xml(text, ITEM_OR_RAW, {"mode": "PERMISSIVE"})
-    pieces = documents.select(
-        *keep, F.posexplode_outer(F.regexp_extract_all(content, F.lit(ITEM), F.lit(0))).alias("position", "piece")
-    )
+    found = F.filter(F.regexp_extract_all(content, F.lit(PIECES), F.lit(0)), lambda p: F.startswith(p, F.lit("<item")))
+    pieces = documents.select(*keep, F.posexplode_outer(found).alias("position", "piece"))
     first = pieces.withColumn("item", parse(F.col("piece")))
     broken = F.col("item")["_corrupt_record"].isNotNull()
-    repaired = F.regexp_replace(F.regexp_replace("piece", "&nbsp;", "&#160;"), STRAY, "&amp;")
+    repaired = F.regexp_replace(numbered_entities(F.col("piece")), STRAY, "&amp;")
     again = first.withColumn("again", parse(F.when(broken, repaired))).withColumn("item", F.coalesce("again", "item"))
     return again.select(
         *keep,

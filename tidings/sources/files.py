@@ -18,3 +18,9 @@ def exists(spark: SparkSession, name: str) -> bool:
 def remove(spark: SparkSession, name: str) -> None:
     path, system = _path(spark, name)
     system.delete(path, True)
+
+
+def children(spark: SparkSession, name: str) -> list[str]:
+    """Names in a folder, none if it is missing."""
+    path, system = _path(spark, name)
+    return [entry.getPath().getName() for entry in system.listStatus(path)] if system.exists(path) else []
