@@ -287,6 +287,17 @@ def _owners(segments: DataFrame) -> DataFrame:
     return stored(ranked.filter(copy).drop("gone", "aside", "first_id", "first_at"), "repeats")
 
 
+def _parted(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first of each key and seal, and the windows of the others. A crowd's pieces can be one and
+    the same, so the first is found with partial results, and the join is one of plain tables."""
+    pieces = stored(pieces, "pieces")
+    first = F.min(F.struct("id", "at", "width", "body")).alias("first")
+    firsts = stored(pieces.groupBy("key", "seal").agg(first).select("key", "seal", "first.*"), "firsts")
+    where = firsts.select("key", "seal", F.col("id").alias("first_id"), F.col("at").alias("first_at"))
+    copies = pieces.drop("body").join(where, ["key", "seal"]).filter("id <> first_id OR at <> first_at")
+    return firsts, copies.select("id", "at", "width")
+
+
 def _crowds(owners: DataFrame) -> DataFrame:
     """Owners of keys with several, with `crowd`, their number. The numbers are stored: a join of two
     plain shuffles is split where a key is crowded."""
@@ -303,10 +314,10 @@ def _settled(pieces: DataFrame, crowded: bool, grams: tuple[int, ...], crowd: in
     if not crowded:
         return cuts
     anew = pieces.filter(F.col("crowd") > crowd).mapInArrow(partial(_recut, gram=grams[0]), PIECE)
-    settled = _owners(anew.withColumns({"gone": F.lit(False), "aside": F.lit(0)}))
-    owners = _crowds(settled.filter("owner").drop("owner"))
+    firsts, copies = _parted(anew)
+    owners = _crowds(firsts)
     still = len(grams) > 1 and not owners.filter(F.col("crowd") > crowd).isEmpty()
-    return [*cuts, settled.filter("NOT owner").select("id", "at", "width"), *_settled(owners, still, grams[1:], crowd, chunk)]
+    return [*cuts, copies, *_settled(owners, still, grams[1:], crowd, chunk)]
 
 
 def repeats(documents: DataFrame, crowd: int = CROWD, chunk: int = CHUNK) -> DataFrame:
