@@ -155,6 +155,33 @@ def test_an_upsert_opens_only_the_months_of_its_stories(spark, tmp_path):
     assert values(history.stories(spark, folder, "headlines", history.read_table(spark, folder, "headlines").filter("title = 's3'")), "month") == ["2026-03"]
 
 
+def test_only_titles_of_new_snaps_meet_the_rules(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "history")
+    rules = quality.RULES
+
+    def load(*rows):
+        history.upsert_months(spark, folder, table(spark, list(rows)))
+
+    def flagged(some=rules):
+        return sorted(values(history.flagged_titles(spark, folder, some)))
+
+    def as_computed(some=rules):
+        return sorted(values(quality.flagged_stories(history.read_table(spark, folder, "headlines"), some)))
+
+    assert flagged() == []
+    load(record("fine"), record(JUNK, run_date="2026-08-03"))
+    assert flagged() == as_computed() and len(flagged()) == 1
+    asked = []
+    reason = history.low_quality_reason
+    monkeypatch.setattr(history, "low_quality_reason", lambda *a: asked.append(a) or reason(*a))
+    assert flagged() == as_computed() and asked == []  # a second run matches no stored title
+    load(record("x__y filled in", run_date="2026-08-04"))
+    assert flagged() == as_computed() and len(flagged()) == 2 and len(asked) == 1
+    assert flagged(rules[1:]) == as_computed(rules[1:]) and len(flagged(rules[1:])) == 1 and len(asked) == 3
+    history.compact(spark, folder, "headlines")
+    assert flagged() == as_computed()
+
+
 def random_batches(seed, days=6, per_day=40):
     """Sightings where one story makes up a third of all rows."""
     rng = random.Random(seed)

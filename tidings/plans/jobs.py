@@ -75,7 +75,7 @@ def write_reports(
     with scratch(spark) as store:
         # the ids of flagged stories are shared; the headlines are read by each report anew, since
         # each wants other columns and days
-        flagged = store(quality.flagged_stories(headlines))
+        flagged = store(history.flagged_titles(spark, paths.history))
         good = quality.good_headlines(headlines, flagged)
         latest = activity.latest_run_date(good).first()["run_date"]
         # a stored edition has a known size, so the scores are looked up without moving them
@@ -135,13 +135,13 @@ def score_history(
     """Score every good story a model has not scored, or those with an id in `only`, of which the
     months they lie in are read; returns new scores per model."""
     if only is None:
-        tables = history.load_history(spark, paths.history)
+        tables, flagged = history.load_history(spark, paths.history), history.flagged_titles(spark, paths.history)
     else:
-        tables = {name: history.stories(spark, paths.history, name, only) for name in history.TABLES}
+        tables, flagged = {name: history.stories(spark, paths.history, name, only) for name in history.TABLES}, None
     scored = {}
     with scratch(spark) as store:
         # the rules meet each title once, whatever the number of models
-        good = store(quality.good_headlines(tables["headlines"]).select("headline_id", "title"))
+        good = store(quality.good_headlines(tables["headlines"], flagged).select("headline_id", "title"))
         for name, scorer in scorers.items():
             stories = store(scoring.pending(good, tables["sentiment"], name))
             lanes = -(-stories.count() // LANE)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.functions.quality import RULES, low_quality_reason, rules_name
 from tidings.operators.sightings import upsert
 from tidings.schemas import HEADLINES, SENTIMENT
 from tidings.session import scratch
 from tidings.sources import directory
+from tidings.sources.files import exists
 from tidings.sources.snapshots import Snapshot, commit, current, tidy, write_snap
 
 TABLES = {"headlines": HEADLINES, "sentiment": SENTIMENT}
@@ -142,6 +144,28 @@ def upsert_months(spark: SparkSession, history_dir: str, batch: DataFrame) -> se
     return touched
 
 
+def flagged_titles(spark: SparkSession, history_dir: str, rules=RULES) -> DataFrame:
+    """headline_id, reason of the stored stories a rule flags, as `quality.flagged_stories` gives it.
+
+    What the rules say about a snap is stored beside it, under a name made of the rules, as snaps
+    never change: only titles of new snaps meet the patterns, and other rules begin anew."""
+    snapshot = current(spark, _root(history_dir, "headlines"))
+    folder = f"{snapshot.root}/flags/{rules_name(rules)}"
+    for snap in sorted({s for _, s in snapshot.pairs}):
+        place = f"{folder}/snap={snap}"
+        if not exists(spark, f"{place}/_SUCCESS"):
+            held = spark.read.schema("headline_id string, title string, month string").parquet(f"{snapshot.data}/snap={snap}")
+            failing = held.withColumn("reason", low_quality_reason(F.col("title"), rules)).filter("reason IS NOT NULL")
+            failing.write.mode("overwrite").parquet(place)
+    if not snapshot.pairs:
+        return spark.createDataFrame([], "headline_id string, reason string")
+    flags = spark.read.schema("headline_id string, title string, month string, reason string").option("basePath", folder).parquet(
+        *sorted({f"{folder}/snap={s}" for _, s in snapshot.pairs}))
+    # a month can have moved on to another snap
+    live = F.concat_ws("/", "month", "snap").isin(*[f"{m}/{s}" for m, s in snapshot.pairs])
+    return flags.filter(live).groupBy("headline_id").agg(F.min_by("reason", "title").alias("reason"))
+
+
 def unscored(spark: SparkSession, history_dir: str, keys: DataFrame) -> DataFrame:
     """The (headline_id, model) of `keys` without a stored score."""
     key = ["headline_id", "model"]

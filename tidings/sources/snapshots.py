@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.sources.files import exists, remove
+from tidings.sources.files import children, exists, remove
 
 ROW = "version long, month string, snap string"
 
@@ -86,9 +86,7 @@ def tidy(spark: SparkSession, root: str) -> None:
     """Remove what the newest version does not name. Not while others read or write the table."""
     now = current(spark, root)
     keep = {s for _, s in now.pairs}
-    for folder, kept in ((now.data, {f"snap={s}" for s in keep}), (f"{root}/keys", {now.keys}), (f"{root}/manifests", {f"{now.version:012d}"})):
-        if exists(spark, folder):
-            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")  # not opened
-            inner = f"/{folder.rsplit('/', 1)[-1]}/"
-            for name in {r["path"].rsplit(inner, 1)[-1].split("/")[0] for r in listed.collect()} - kept:
-                remove(spark, f"{folder}/{name}")
+    flags = [(f"{root}/flags/{rules}", {f"snap={s}" for s in keep}) for rules in children(spark, f"{root}/flags")]
+    for folder, kept in (*flags, (now.data, {f"snap={s}" for s in keep}), (f"{root}/keys", {now.keys}), (f"{root}/manifests", {f"{now.version:012d}"})):
+        for name in set(children(spark, folder)) - kept:
+            remove(spark, f"{folder}/{name}")
