@@ -809,6 +809,77 @@ def backfill_job(spark, sf):
     )
 
 
+_DAY_RUNS: dict[tuple[str, str], tuple[jobs.Paths, list[dict]]] = {}
+
+
+def _day_runs(spark, sf) -> tuple[jobs.Paths, list[dict]]:
+    """The two latest run dates as daily jobs from their documents, in order, then the earlier one
+    replayed from what it landed. Worked out once in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _DAY_RUNS:
+        paths, documents_ = jobs.Paths(shared_folder(spark, "catalog")), A.feed_documents(spark, sf)
+        days = [r["run_date"] for r in documents_.select("run_date").distinct().orderBy(F.desc("run_date")).limit(2).collect()][::-1]
+        options = {"now": f"{days[-1]}T23:59:59Z", "topics": A.TOPICS}
+        runs = [jobs.run_feed_day(spark, paths, documents_, day, order=["ord"], **options) for day in days]
+        runs.append(jobs.run_day(spark, paths, days[0], **options))
+        _DAY_RUNS[key] = paths, runs
+    return _DAY_RUNS[key]
+
+
+_RUN_DAYS = "SELECT DISTINCT run_date FROM raw ORDER BY run_date DESC LIMIT 2"
+# what the job lands on its days
+_DAY_ROWS = f"SELECT * FROM feedtop WHERE run_date IN ({_RUN_DAYS})"
+
+
+@query(sql(f"""SELECT step, run_date, mode, failed, low_quality, raw_records, inserted, raw_records - inserted AS seen_again, scored, history_after FROM (
+  SELECT 1 + CAST(d.run_date = (SELECT max(run_date) FROM raw) AS BIGINT) AS step, d.run_date, 'fetch' AS mode,
+    (SELECT string_agg(t.topic, ',' ORDER BY t.ord) FROM topics AS t WHERE t.topic NOT IN (SELECT topic FROM raw AS r WHERE r.run_date = d.run_date)) AS failed,
+    (SELECT count(*) FROM feed WHERE reason IS NOT NULL AND NOT outside AND feed.run_date = d.run_date) AS low_quality,
+    (SELECT count(*) FROM landed AS l WHERE l.run_date = d.run_date) AS raw_records,
+    (SELECT count(*) FROM (SELECT min(run_date) AS m FROM landed GROUP BY topic, headline_id) WHERE m = d.run_date) AS inserted,
+    (SELECT count(*) FROM (SELECT min(run_date) AS m FROM landed GROUP BY headline_id) WHERE m = d.run_date) AS scored,
+    (SELECT count(DISTINCT (topic, headline_id)) FROM landed AS l WHERE l.run_date <= d.run_date) AS history_after
+  FROM ({_RUN_DAYS}) AS d
+  UNION ALL SELECT 3, min(run_date), 'replay', '', 0, count(*) FILTER (WHERE run_date = (SELECT min(run_date) FROM landed)), 0, 0,
+    count(DISTINCT (topic, headline_id)) FROM landed)""", "feedtop", "raw", "topics").replace(
+    "\nSELECT step", f",\nlanded AS ({_DAY_ROWS})\nSELECT step"))
+def run_day_job(spark, sf):
+    """The counters of the daily job: two days in order, then a replay of the first, which adds nothing."""
+    _, runs = _day_runs(spark, sf)
+    rows = [
+        (step, r["run_date"], r["mode"], ",".join(r["failed_topics"]), r["filtered_low_quality"], r["raw_records"], r["inserted"],
+         r["seen_again"], r["scored"]["lexicon"], r["history_after"])
+        for step, r in enumerate(runs, 1)
+    ]
+    return spark.createDataFrame(rows, """step long, run_date string, mode string, failed string, low_quality long, raw_records long,
+        inserted long, seen_again long, scored long, history_after long""")
+
+
+@query(sql(f"""SELECT headline_id, topic, title, nullif(source, '') AS source, nullif(link, '') AS link, CAST(published AS VARCHAR) AS published_at,
+  CAST(min(collected_at) OVER w AS VARCHAR) AS first_seen_at, CAST(max(collected_at) OVER w AS VARCHAR) AS last_seen_at,
+  min(run_date) OVER w AS first_run_date, max(run_date) OVER w AS last_run_date
+  FROM ({_DAY_ROWS}) WINDOW w AS (PARTITION BY headline_id, topic)
+  QUALIFY row_number() OVER (PARTITION BY headline_id, topic ORDER BY run_date) = 1""", "feedtop", "raw"))
+def run_day_history(spark, sf):
+    """The history after those jobs."""
+    paths, _ = _day_runs(spark, sf)
+    return plain(history.load_history(spark, paths.history)["headlines"])
+
+
+@query(sql("""SELECT topic, CAST(first_run_date AS VARCHAR) AS first_run_date, CAST(last_run_date AS VARCHAR) AS last_run_date,
+  count(*) FILTER (WHERE lowq.headline_id IS NULL) AS n, count(lowq.headline_id) AS hidden
+  FROM head LEFT JOIN lowq USING (headline_id) GROUP BY ALL""", "head", "lowq"))
+def history_span_counts(spark, sf):
+    """The counts kept beside the history, over two loads of which the second moves rows of the first."""
+    paths = jobs.Paths(shared_folder(spark, "catalog"))
+    typed = A.typed_sightings(spark, sf)
+    late = F.dayofmonth("run_date") % 2 == 0
+    for part in (late, ~late):
+        history.upsert_months(spark, paths.history, sightings.collapse(typed.filter(part)))
+        counts = history.span_counts(spark, paths.history)
+    return plain(counts)
+
+
 @query(sql("""SELECT count(*) AS n, round(100 * avg(CAST(label_a = label_b AS DOUBLE)), 2) AS percent_agreement,
   (SELECT string_agg(CAST(n AS VARCHAR), ',' ORDER BY "row", col) FROM matrix) AS matrix FROM stories""", "stories", "matrix"))
 def compare_job(spark, sf):
@@ -901,8 +972,11 @@ def report_agreement(spark, sf):
     count(DISTINCT headline_id) AS n FROM good GROUP BY 1 ORDER BY n DESC, source LIMIT 10)) AS sources""",
            "head", "good", "sent", "topics", "edition", "activity"))
 def report_status(spark, sf):
+    folder = A.stored_history(spark, sf)
+    spans = history.span_counts(spark, folder)
     status = reports.status_report(
-        A.headlines(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS, run_date=_last_day(A.good(spark, sf))
+        A.headlines(spark, sf), A.sentiment(spark, sf), topics=A.TOPICS, flagged=history.flagged_titles(spark, folder),
+        run_date=_last_day(spans.filter("n > 0")), spans=spans,
     )
 
     def listed(column, render) -> F.Column:

@@ -182,6 +182,53 @@ def test_only_titles_of_new_snaps_meet_the_rules(spark, tmp_path, monkeypatch):
     assert flagged() == as_computed()
 
 
+def counted(headlines, rules=quality.RULES):
+    """(topic, first, last, n, hidden) worked out from all rows."""
+    bad = set(values(quality.flagged_stories(headlines, rules), "headline_id"))
+    cells = {}
+    for story, *span in values(headlines, "headline_id", "topic", "first_run_date", "last_run_date"):
+        cells.setdefault(tuple(span), [0, 0])[story in bad] += 1
+    return sorted((*span, *n) for span, n in cells.items())
+
+
+def test_kept_counts_equal_the_full_scan_under_random_upserts(spark, tmp_path, monkeypatch):
+    folder, rng = str(tmp_path / "history"), random.Random(3)
+    read = lambda rules=quality.RULES: sorted(values(history.span_counts(spark, folder, rules)))
+    assert read() == []
+    for load in range(4):
+        rows = []
+        for _ in range(25):
+            n, month = rng.randrange(30), rng.choice([5, 6, 7, 8])
+            title = JUNK if rng.random() < 0.1 else f"Story {n}"
+            rows.append(record(title, topic=rng.choice("AB"), link=f"https://e.com/{n}", run_date=f"2026-{month:02d}-{rng.randrange(1, 28):02d}"))
+        history.upsert_months(spark, folder, table(spark, rows))
+        if load != 1:  # one version is passed over
+            assert read() == counted(history.read_table(spark, folder, "headlines"))
+    assert read(quality.RULES[1:]) == counted(history.read_table(spark, folder, "headlines"), quality.RULES[1:])
+    monkeypatch.setattr(history, "flagged_titles", None)
+    assert read()  # a second call reads no stored title and no row of the history
+    history.tidy(spark, f"{folder}/headlines")
+    assert read() == counted(history.read_table(spark, folder, "headlines"))
+
+
+def test_a_first_failing_title_hides_rows_of_months_counted_before(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    link, other = "https://e.com/1", "https://e.com/2"
+    history.upsert_months(spark, folder, table(spark, [record("Fine", link=link, run_date="2026-05-02"), record("Other", link=other, run_date="2026-05-02")]))
+    assert values(history.span_counts(spark, folder), "n", "hidden") == [(2, 0)]
+    history.upsert_months(spark, folder, table(spark, [record(JUNK, topic="B", link=link, run_date="2026-08-02")]))
+    assert sorted(values(history.span_counts(spark, folder), "topic", "n", "hidden")) == [("B", 0, 1), ("Markets", 1, 1)]
+
+
+def test_rows_of_a_month_lie_by_the_day_last_seen(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    rows = [record(f"s{i}", run_date=f"2026-05-{1 + i % 20:02d}") for i in range(60)] + [record("s3", run_date="2026-06-01")]
+    history.upsert_months(spark, folder, table(spark, rows))
+    for file in history.read_table(spark, folder, "headlines").inputFiles():
+        days = values(spark.read.parquet(file), "last_run_date")
+        assert days == sorted(days)
+
+
 def random_batches(seed, days=6, per_day=40):
     """Sightings where one story makes up a third of all rows."""
     rng = random.Random(seed)

@@ -19,13 +19,15 @@ def _first_seen_within(good: DataFrame, start, end) -> DataFrame:
     return good.filter(F.col("first_run_date").between(date_column(start), date_column(end)))
 
 
+def _counted(good: DataFrame) -> bool:
+    """Whether the table holds counts of rows, not rows."""
+    return "n" in good.columns and "headline_id" not in good.columns
+
+
 def daily_counts(good: DataFrame, start: date | str | Column, end: date | str | Column) -> DataFrame:
     """(topic, day, n): rows per topic and the day they were first seen."""
-    return (
-        _first_seen_within(good, start, end)
-        .groupBy("topic", F.col("first_run_date").alias("day"))
-        .agg(F.count("*").alias("n"))
-    )
+    days = _first_seen_within(good, start, end).groupBy("topic", F.col("first_run_date").alias("day"))
+    return days.agg(F.sum("n").alias("n")).filter("n > 0") if _counted(good) else days.agg(F.count("*").alias("n"))
 
 
 def daily_sentiment(
@@ -45,13 +47,16 @@ def daily_sentiment(
 def span_counts(good: DataFrame) -> DataFrame:
     """(topic, first_run_date, last_run_date, n): the small table that sizes, totals and activity are
     made of. Reports that ask for several of them read the headlines for it once, as Spark reuses
-    the shuffle of equal plans."""
+    the shuffle of equal plans. A table that is one already, such as `history.span_counts` keeps, is
+    taken as it is, so every function here that counts rows by day or topic takes either."""
+    if _counted(good):
+        return good
     spans = [name for name in ("topic", "first_run_date", "last_run_date") if name in good.columns]
     return good.groupBy(*spans).agg(F.count("*").alias("n"))
 
 
 def topic_totals(good: DataFrame) -> DataFrame:
-    return span_counts(good).groupBy("topic").agg(F.sum("n").alias("n"))
+    return span_counts(good).groupBy("topic").agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 def sentiment_counts(good: DataFrame, sentiment: DataFrame) -> DataFrame:
@@ -77,7 +82,7 @@ def run_day_counts(good: DataFrame) -> DataFrame:
     )
     return marks.groupBy("day").agg(
         F.sum("first").alias("n_first"), F.sum("last").alias("n_last")
-    )
+    ).filter("n_first + n_last > 0")
 
 
 def run_dates(good: DataFrame) -> DataFrame:

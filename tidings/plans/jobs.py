@@ -77,7 +77,9 @@ def write_reports(
         # each wants other columns and days
         flagged = store(history.flagged_titles(spark, paths.history))
         good = quality.good_headlines(headlines, flagged)
-        latest = activity.latest_run_date(good).first()["run_date"]
+        # kept beside the history: what counts rows by day and topic does not read the headlines
+        spans = store(history.span_counts(spark, paths.history))
+        latest = activity.latest_run_date(spans.filter("n > 0")).first()["run_date"]
         # a stored edition has a known size, so the scores are looked up without moving them
         shown = store(edition(good, latest if latest is not None else F.lit(None).cast("date"), limit))
         documents.write_document(
@@ -93,13 +95,13 @@ def write_reports(
             recent = history.within(good, latest - timedelta(days=TREND_DAYS - 1), latest)
         documents.write_document(
             reports.trends_report(
-                recent, sentiment, end_date=latest, topics=topics, generated_at=generated_at
+                recent, sentiment, end_date=latest, topics=topics, generated_at=generated_at, spans=spans
             ),
             paths.report("trends"),
         )
         documents.write_document(
             reports.status_report(
-                headlines, sentiment, run=run, topics=topics, limit=limit, flagged=flagged, run_date=latest,
+                headlines, sentiment, run=run, topics=topics, limit=limit, flagged=flagged, run_date=latest, spans=spans,
                 parquet_files=history.count_files(spark, paths.history), generated_at=generated_at,
             ),
             paths.report("status"),
@@ -111,12 +113,14 @@ def load_records(
     *, now, run: dict, topics=TOPICS,
 ) -> dict:
     """Load raw records (with their partition `date`) on top of the history, score what is
-    missing, write tables and reports. Returns `run` with the counts filled in."""
+    missing, write tables and reports. Returns `run` with the counts filled in; `unreadable_times`
+    are the records whose `collected_at` is missing or no time, which load without it."""
     stored = history.load_history(spark, paths.history)
     run["history_before"] = stored["headlines"].count()
     with scratch(spark) as store:
         loaded = store(sightings.normalize(records))  # keys are worked out once, then counted and loaded
         counts = load_summary(stored["headlines"], loaded).first()
+        run["unreadable_times"] = loaded.filter("collected_at IS NULL").count()
         history.upsert_months(spark, paths.history, sightings.rebuild(loaded))
     run.update(
         raw_records=counts["raw_records"], inserted=counts["inserted"],

@@ -134,13 +134,15 @@ def edition_of_topic(latest: DataFrame, label: str) -> DataFrame:
 
 
 def trend_series(
-    good: DataFrame, sentiment: DataFrame, *, end_date=None, days: int = TREND_DAYS, topics=TOPICS
+    good: DataFrame, sentiment: DataFrame, *, end_date=None, days: int = TREND_DAYS, topics=TOPICS,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """(ord, topic, day, count, sentiment): a row for every configured topic and day; sentiment
-    is map<model, struct<avg, n, positive, neutral, negative>>, empty on a day without scores."""
+    is map<model, struct<avg, n, positive, neutral, negative>>, empty on a day without scores.
+    `spans` takes the counts kept with the history."""
     end = edition_date(good, end_date)
     start = F.date_sub(end, days - 1)
-    counts = activity.daily_counts(good, start, end).withColumnRenamed("n", "count")
+    counts = activity.daily_counts(good if spans is None else spans, start, end).withColumnRenamed("n", "count")
     stats = activity.daily_sentiment(good, sentiment, start, end).withColumn("avg", F.round("avg", 4))
     entries = F.array_sort(F.collect_list(F.struct("model", F.struct(*STATS).alias("stats"))))
     per_day = stats.groupBy("topic", "day").agg(F.map_from_entries(entries).alias("sentiment"))
@@ -167,10 +169,10 @@ def trend_rows(series: DataFrame) -> DataFrame:
 
 def trends_report(
     good: DataFrame, sentiment: DataFrame, *, end_date=None, days: int = TREND_DAYS,
-    topics=TOPICS, generated_at=None,
+    topics=TOPICS, generated_at=None, spans: DataFrame | None = None,
 ) -> DataFrame:
     """One row: per topic a dense daily series with count and per-model numbers."""
-    series = trend_series(good, sentiment, end_date=end_date, days=days, topics=topics)
+    series = trend_series(good, sentiment, end_date=end_date, days=days, topics=topics, spans=spans)
     found = series.withColumn("date", F.col("day").cast("string")).groupBy("topic").agg(
         _ordered(["day"], ["date", "count", "sentiment"]).alias("series")
     )
@@ -292,10 +294,12 @@ def agreement_report(
 # status
 
 
-def topic_sizes(good: DataFrame, run_date=None, topics=TOPICS, limit: int = MAX_PER_TOPIC) -> DataFrame:
+def topic_sizes(
+    good: DataFrame, run_date=None, topics=TOPICS, limit: int = MAX_PER_TOPIC, spans: DataFrame | None = None,
+) -> DataFrame:
     """(ord, topic, query, edition, total) for every configured topic, zero when missing."""
     shown = edition(good, run_date, limit).groupBy("topic").agg(F.count("*").alias("edition"))
-    totals = activity.topic_totals(good).withColumnRenamed("n", "total")
+    totals = activity.topic_totals(good if spans is None else spans).withColumnRenamed("n", "total")
     return (
         topic_frame(good.sparkSession, topics)
         .join(shown, "topic", "left")
@@ -308,10 +312,10 @@ def topic_sizes(good: DataFrame, run_date=None, topics=TOPICS, limit: int = MAX_
     )
 
 
-def history_numbers(headlines: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+def history_numbers(headlines: DataFrame, flagged: DataFrame | None = None, spans: DataFrame | None = None) -> DataFrame:
     """One row: headlines, excluded_low_quality, first_run_date, last_run_date, run_days."""
     stored = headlines.agg(F.count("*").alias("n"))  # answered from file footers
-    return activity.history_overview(quality.good_headlines(headlines, flagged)).select(
+    return activity.history_overview(quality.good_headlines(headlines, flagged) if spans is None else spans).select(
         "headlines", (stored.scalar() - F.col("headlines")).alias("excluded_low_quality"),
         "first_run_date", "last_run_date", "run_days",
     )
@@ -362,23 +366,25 @@ def run_block(run: dict | None) -> Column:
 def status_report(
     headlines: DataFrame, sentiment: DataFrame, *, run: dict | None = None, topics=TOPICS,
     limit: int = MAX_PER_TOPIC, trend_days: int = TREND_DAYS, parquet_files: int = 0,
-    generated_at=None, flagged: DataFrame | None = None, run_date=None,
+    generated_at=None, flagged: DataFrame | None = None, run_date=None, spans: DataFrame | None = None,
 ) -> DataFrame:
     """One row: the run, the size of the history, and counts per topic, run date and source.
-    `run_date` is the date of the latest edition where it is known; a value prunes the scan."""
+    `run_date` is the date of the latest edition where it is known; a value prunes the scan.
+    `spans` takes the counts kept with the history (`history.span_counts`), which then give the
+    overview, the totals and the activity without reading the headlines."""
     kept = quality.good_headlines(headlines, flagged)
     scored = activity.sentiment_counts(kept, sentiment)
     head = _one_row(
         headlines,
         generated_at=_stamp(generated_at),
-        _h=history_numbers(headlines, flagged).select(F.struct("*")).scalar(),
+        _h=history_numbers(headlines, flagged, spans).select(F.struct("*")).scalar(),
         _scored=_sorted_list(scored, ["model"], ["model", "n"]),
         topics=_sorted_list(
-            topic_sizes(kept, run_date, topics, limit).withColumnRenamed("topic", "label"),
+            topic_sizes(kept, run_date, topics, limit, spans).withColumnRenamed("topic", "label"),
             ["ord"], ["label", "query", "edition", "total"],
         ),
         daily=_sorted_list(
-            activity.daily_activity(kept, STATUS_DAILY_RUNS).withColumn("run_date", F.col("run_date").cast("string")),
+            activity.daily_activity(kept if spans is None else spans, STATUS_DAILY_RUNS).withColumn("run_date", F.col("run_date").cast("string")),
             ["run_date"], ["run_date", "new_headlines", "seen_again"],
         ),
         sources=_sorted_list(

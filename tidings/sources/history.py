@@ -17,11 +17,16 @@ TABLES = {"headlines": HEADLINES, "sentiment": SENTIMENT}
 # what a month is made of, and the order of rows inside it
 MONTH_OF = {"headlines": "first_run_date", "sentiment": "scored_at"}
 SORT_BY = {
-    "headlines": ["first_run_date", "topic", "headline_id"],
+    # by the day last seen: what an edition shows lies together in every month, and the row groups
+    # of stories that ended before are skipped by their statistics
+    "headlines": ["last_run_date", "first_run_date", "topic", "headline_id"],
     "sentiment": ["scored_at", "headline_id", "model"],
 }
 
 
+SPANS = "topic string, first_run_date date, last_run_date date, n long, hidden long"
+
+
 def month_column(table: str) -> Column:
     return F.date_format(MONTH_OF[table], "yyyy-MM")
 
@@ -144,12 +149,17 @@ def upsert_months(spark: SparkSession, history_dir: str, batch: DataFrame) -> se
     return touched
 
 
-def flagged_titles(spark: SparkSession, history_dir: str, rules=RULES) -> DataFrame:
+def _live(snapshot: Snapshot) -> Column:
+    """Whether `month` still lies in `snap`: it can have moved on to another."""
+    return F.concat_ws("/", "month", "snap").isin(*[f"{m}/{s}" for m, s in snapshot.pairs])
+
+
+def flagged_titles(spark: SparkSession, history_dir: str, rules=RULES, snapshot: Snapshot | None = None) -> DataFrame:
     """headline_id, reason of the stored stories a rule flags, as `quality.flagged_stories` gives it.
 
     What the rules say about a snap is stored beside it, under a name made of the rules, as snaps
     never change: only titles of new snaps meet the patterns, and other rules begin anew."""
-    snapshot = current(spark, _root(history_dir, "headlines"))
+    snapshot = snapshot or current(spark, _root(history_dir, "headlines"))
     folder = f"{snapshot.root}/flags/{rules_name(rules)}"
     for snap in sorted({s for _, s in snapshot.pairs}):
         place = f"{folder}/snap={snap}"
@@ -159,11 +169,33 @@ def flagged_titles(spark: SparkSession, history_dir: str, rules=RULES) -> DataFr
             failing.write.mode("overwrite").parquet(place)
     if not snapshot.pairs:
         return spark.createDataFrame([], "headline_id string, reason string")
-    flags = spark.read.schema("headline_id string, title string, month string, reason string").option("basePath", folder).parquet(
+    flags = spark.read.schema("headline_id string, title string, month string, reason string, snap string").option("basePath", folder).parquet(
         *sorted({f"{folder}/snap={s}" for _, s in snapshot.pairs}))
-    # a month can have moved on to another snap
-    live = F.concat_ws("/", "month", "snap").isin(*[f"{m}/{s}" for m, s in snapshot.pairs])
-    return flags.filter(live).groupBy("headline_id").agg(F.min_by("reason", "title").alias("reason"))
+    return flags.filter(_live(snapshot)).groupBy("headline_id").agg(F.min_by("reason", "title").alias("reason"))
+
+
+def span_counts(spark: SparkSession, history_dir: str, rules=RULES) -> DataFrame:
+    """(topic, first_run_date, last_run_date, n, hidden): the stored rows counted, good ones as `n`.
+
+    The counts of a snap are stored beside it, so only new snaps are read. What an upsert moves or
+    changes needs no subtraction: it rewrites every month that holds a story of its batch, and with
+    the old snap its counts no longer count. For the same reason counts of older snaps stay right when
+    a batch brings a story its first failing title: all rows of that story lie in the new snap."""
+    snapshot = current(spark, _root(history_dir, "headlines"))
+    folder, schema = f"{snapshot.root}/counts/{rules_name(rules)}", f"month string, {SPANS}, snap string"
+    missing = [s for s in sorted({s for _, s in snapshot.pairs}) if not exists(spark, f"{folder}/snap={s}/_SUCCESS")]
+    flagged = flagged_titles(spark, history_dir, rules, snapshot).select("headline_id", F.lit(True).alias("flagged")) if missing else None
+    for snap in missing:
+        held = spark.read.schema("headline_id string, topic string, first_run_date date, last_run_date date, month string").parquet(
+            f"{snapshot.data}/snap={snap}")
+        held.join(flagged, "headline_id", "left").groupBy("month", "topic", "first_run_date", "last_run_date").agg(
+            F.count_if(F.col("flagged").isNull()).alias("n"), F.count_if("flagged").alias("hidden"),
+        ).write.mode("overwrite").parquet(f"{folder}/snap={snap}")
+    if not snapshot.pairs:
+        return spark.createDataFrame([], SPANS)
+    counts = spark.read.schema(schema).option("basePath", folder).parquet(*sorted({f"{folder}/snap={s}" for _, s in snapshot.pairs}))
+    return counts.filter(_live(snapshot)).groupBy("topic", "first_run_date", "last_run_date").agg(
+        F.sum("n").alias("n"), F.sum("hidden").alias("hidden"))
 
 
 def unscored(spark: SparkSession, history_dir: str, keys: DataFrame) -> DataFrame:

@@ -86,7 +86,10 @@ def tidy(spark: SparkSession, root: str) -> None:
     """Remove what the newest version does not name. Not while others read or write the table."""
     now = current(spark, root)
     keep = {s for _, s in now.pairs}
-    flags = [(f"{root}/flags/{rules}", {f"snap={s}" for s in keep}) for rules in children(spark, f"{root}/flags")]
-    for folder, kept in (*flags, (now.data, {f"snap={s}" for s in keep}), (f"{root}/keys", {now.keys}), (f"{root}/manifests", {f"{now.version:012d}"})):
+    beside = [
+        (f"{root}/{kind}/{rules}", {f"snap={s}" for s in keep})
+        for kind in ("flags", "counts") for rules in children(spark, f"{root}/{kind}")
+    ]
+    for folder, kept in (*beside, (now.data, {f"snap={s}" for s in keep}), (f"{root}/keys", {now.keys}), (f"{root}/manifests", {f"{now.version:012d}"})):
         for name in set(children(spark, folder)) - kept:
             remove(spark, f"{folder}/{name}")
