@@ -3,9 +3,8 @@
 Every query runs twice and the second run counts, so that the start of the JVM and its compiler
 stay out; `first_runs` has the total of the first ones.
 `history_store` is the whole load: events to sightings, keys, collapse, scores, monthly Parquet.
-The analytics after it read that stored history. Two pairs compare a plain form with the
-rewritten one: the day-span range join with running sums, the double self join with one
-aggregate.
+The analytics after it read that stored history. Beside them stand two plain forms: activity by a
+range join of days with the history, pairs by joining the scores twice.
 """
 
 from __future__ import annotations
