@@ -16,7 +16,7 @@ from tidings.functions import labels, links, quality as quality_functions, text,
 from tidings.operators import activity, agreement, dimensions, editions, quality, scoring, sightings
 from tidings.plans import jobs, reports, views
 from tidings.session import shared_folder
-from tidings.sources import documents, feeds, history, raw
+from tidings.sources import documents, feeds, files, history, raw
 from tidings.streaming import jobs as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -816,7 +816,7 @@ def _day_runs(spark, sf) -> tuple[jobs.Paths, list[dict]]:
     """The two latest run dates as daily jobs from their documents, in order, then the earlier one
     replayed from what it landed. Worked out once in a session."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _DAY_RUNS:
+    if key not in _DAY_RUNS or not files.exists(spark, _DAY_RUNS[key][0].history):
         paths, documents_ = jobs.Paths(shared_folder(spark, "catalog")), A.feed_documents(spark, sf)
         days = [r["run_date"] for r in documents_.select("run_date").distinct().orderBy(F.desc("run_date")).limit(2).collect()][::-1]
         options = {"now": f"{days[-1]}T23:59:59Z", "topics": A.TOPICS}
