@@ -231,7 +231,7 @@ def test_cutoffs_are_certified_by_exact_bounds(spark):
     measured = quality_rules.measures(frame)
     chosen = {(r["stratum"], r["rule"]): r["cutoff"] for r in quality_rules.cutoffs(measured, labelled).collect()}
 
-    share, tests, want = quality_rules.ALPHA / 4, 4 * quality_rules.CELLS, {}
+    share, want = quality_rules.ALPHA / 4, {}
     signals = {"symbols": lambda t: t.count("#") / 60, "length": lambda t: len(t.replace(" ", "")) / 60,
                "dup_lines": lambda t: 0.0, "repeats": lambda t: 0.0}
     quality_of = {i: q for i, q, _ in labels}
@@ -245,7 +245,7 @@ def test_cutoffs_are_certified_by_exact_bounds(spark):
                 k, caught = sum(above), len(above) - sum(above)
                 tail = sum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(share)
                                     + (n - j) * math.log(1 - share)) for j in range(k + 1))
-                if tail <= quality_rules.DELTA / tests / 2 and caught and (best is None or (caught, c) >= best):
+                if tail <= quality_rules.DELTA / 4 / 2 and caught and (best is None or (caught, c) >= best):
                     best = (caught, c)
             if best:
                 want[lang, rule] = best[1]
@@ -255,3 +255,44 @@ def test_cutoffs_are_certified_by_exact_bounds(spark):
     for i, text, lang in rows:
         if ("en", "length") not in want:
             assert kept[i] == (lang == "fr" or signals["symbols"](text) <= limit + 1e-12)
+
+
+def test_small_strata_share_a_pool_that_rejects_their_bad_texts(spark):
+    rows, labels = [], []
+
+    def add(lang, many, signs, quality):
+        for _ in range(many):
+            i = len(rows)
+            rows.append((i, " ".join(f"{i % 50}a{j}" + "#" * (j < signs) for j in range(60)), lang, "mine"))
+            if quality is not None:
+                labels.append((i, quality))
+
+    for lang, many in (("en", 1200), ("fr", 560), ("de", 500), (None, 30)):
+        add(lang, many, 1, 1)
+        add(lang, 3, 40, 0)
+    add("es", 4, 40, 0)
+    first = len(rows)
+    for lang in ("en", "fr", "de", None, "es", "pl"):
+        add(lang, 1, 40, None)
+        add(lang, 1, 0, None)
+    schema = "doc_id long, text string, lang string, stratum string"
+    frame, labelled = spark.createDataFrame(rows, schema), spark.createDataFrame(labels, "doc_id long, quality int")
+    chosen = {(r["stratum"], r["rule"]) for r in quality_rules.cutoffs(quality_rules.measures(frame), labelled).collect()}
+    # en alone, the pool has 1,090 good texts; nothing is known of pl
+    assert {s for s, rule in chosen if rule == "symbols"} == {"en", "fr", "de", "", "es"}
+    got = {r["doc_id"]: (r["kept"], r["stratum"]) for r in quality_rules.verdicts(frame, labelled).collect()}
+    assert set(got.values()) <= {(True, "mine"), (False, "mine")}
+    assert [got[i][0] for i in range(first, len(rows))] == [False, True] * 5 + [True, True]
+    assert all(got[i][0] == bool(q) for i, q in labels)
+
+
+def test_as_many_strata_stand_alone_as_can_certify_something(spark):
+    draw = np.random.default_rng(4)
+    share, risk = 0.005, 0.0125
+    for _ in range(3):
+        sizes = {f"l{i}": int(n) for i, n in enumerate(draw.integers(0, 2600, 12))}
+        order = sorted(sizes, key=lambda s: (-sizes[s], s))
+        many = max((m for m in range(1, 13) if 0.995 ** sizes[order[m - 1]] <= risk / (m + 1)), default=0)
+        grouped, groups = quality_rules.grouping(spark.createDataFrame(list(sizes.items()), "stratum string, n long"), share, risk)
+        assert groups == many + 1
+        assert {r["stratum"] for r in grouped.collect() if r["group"] is not None} == set(order[:many])

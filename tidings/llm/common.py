@@ -38,6 +38,14 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % divisor
 
 
+def spare(name: str, columns: list[str]) -> str:
+    """`name`, lengthened until no column is called so, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back: computed once, independent of executors."""
     path = shared_folder(df.sparkSession, name)

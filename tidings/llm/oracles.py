@@ -59,18 +59,22 @@ c AS (
     SELECT *, 'repeats', n_repeat_words / nullif(CAST(n_words AS DOUBLE), 0) / 0.0125 FROM b)),
 lab AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 cal AS (SELECT lang, rule, cell, q FROM c JOIN lab USING (doc_id) WHERE NOT base_failed),
+sz AS (SELECT lang, count(*) FILTER (q = 1) AS n FROM cal WHERE rule = 'symbols' GROUP BY lang),
+rk AS (SELECT lang, n, row_number() OVER (ORDER BY n DESC, lang) AS m FROM sz WHERE pow(0.995, n) <= 0.05 / 4 / 2),
+al AS (SELECT coalesce(max(m), 0) AS m FROM rk WHERE pow(0.995, n) <= 0.05 / 4 / (m + 1)),
+gr AS (SELECT sz.lang, coalesce('alone:' || rk.lang, 'pool') AS grp FROM sz LEFT JOIN rk ON sz.lang = rk.lang AND rk.m <= (SELECT m FROM al)),
 g AS (
-  SELECT lang, rule, cut, count(*) FILTER (q = 1 AND cell >= cut) AS k, count(*) FILTER (q <> 1 AND cell >= cut) AS caught,
+  SELECT grp, rule, cut, count(*) FILTER (q = 1 AND cell >= cut) AS k, count(*) FILTER (q <> 1 AND cell >= cut) AS caught,
     count(*) FILTER (q = 1) AS n
-  FROM cal, (SELECT unnest(range(1, 41)) AS cut) GROUP BY ALL),
+  FROM cal JOIN gr USING (lang), (SELECT unnest(range(1, 41)) AS cut) GROUP BY ALL),
 t AS (
-  SELECT g.lang, g.rule, g.cut, any_value(g.caught) AS caught, sum(exp(lgamma(g.n + 1.0) - lgamma(i + 1.0) - lgamma(g.n - i + 1.0)
+  SELECT g.grp, g.rule, g.cut, any_value(g.caught) AS caught, sum(exp(lgamma(g.n + 1.0) - lgamma(i + 1.0) - lgamma(g.n - i + 1.0)
       + i * ln(0.005) + (g.n - i) * ln(0.995))) AS p, bool_or(g.k >= g.n) AS all_of
   FROM g, LATERAL (SELECT unnest(range(0, g.k + 1)) AS i) WHERE g.k <= g.n * 0.005 GROUP BY ALL),
 best AS (
-  SELECT lang, rule, arg_max(cut, caught * 100 + cut) AS cut FROM t
-  WHERE NOT all_of AND caught > 0 AND p <= 0.05 / 160 / (SELECT count(DISTINCT lang) FROM cal) GROUP BY ALL),
-bad AS (SELECT r, bool_or(cell >= cut) AS bad FROM c JOIN best USING (lang, rule) GROUP BY r)
+  SELECT grp, rule, arg_max(cut, caught * 100 + cut) AS cut FROM t
+  WHERE NOT all_of AND caught > 0 AND p <= 0.05 / 4 / ((SELECT m FROM al) + 1) GROUP BY ALL),
+bad AS (SELECT r, bool_or(cell >= cut) AS bad FROM c JOIN gr USING (lang) JOIN best USING (grp, rule) GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(bad, false) AS kept
 FROM b LEFT JOIN bad USING (r)
 """
