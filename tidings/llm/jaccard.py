@@ -44,6 +44,7 @@ POINT = 256  # coordinates
 COARSE = 4  # of them in one coordinate of the first look
 PAGE = 32  # points in a leaf
 BLOCK = 4096  # nodes of one place in a task at once
+SPREAD = 16  # tasks over which the rows of every place are dealt for a join
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -423,6 +424,13 @@ def near_pairs(mixed: DataFrame, content: DataFrame, forest: bool, percent: int
     return grouped.mapInArrow(rows, "place long, a long, b long")
 
 
+def at_hubs(rows: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """`rows` (with a node) joined with `few`, one row a key. A key's rows are dealt over `SPREAD`
+    tasks by node, to which its row of `few` is copied."""
+    dealt = rows.withColumn("part", F.pmod("node", F.lit(SPREAD)))
+    return dealt.join(few.withColumn("part", F.expr(f"explode(sequence(0L, {SPREAD - 1}L))")), [key, "part"]).drop("part")
+
+
 def mixed_places(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(place, node, label, n): the places where different components meet, those with the same
     smallest node as one, which is then their name. At a place of two nodes that pair is the one
@@ -431,8 +439,8 @@ def mixed_places(members: DataFrame, labels: DataFrame) -> DataFrame:
     met_ = tagged.groupBy("place").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.min("node").alias("hub"), F.count("*").alias("n"))
     hubs = met_.filter("least <> most AND n > 2").select("place", "hub")
-    joined = stored(tagged.join(hubs, "place").select(F.col("hub").alias("place"), "node", "label").distinct(), "hubs")
-    return joined.join(joined.groupBy("place").agg(F.count("*").alias("n")), "place")
+    joined = stored(at_hubs(tagged, hubs, "place").select(F.col("hub").alias("place"), "node", "label").distinct(), "hubs")
+    return at_hubs(joined, joined.groupBy("place").agg(F.count("*").alias("n")), "place")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -478,7 +486,9 @@ def labelled(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, u
     labels = components(links)
     named = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"), F.min(place).alias("first"))
-    return named.join(smallest, "label", "left")
+    # rows without a label match nothing and are dealt by their id; one with a label's value is told by `label`
+    keyed = named.withColumn("key", F.coalesce("label", F.xxhash64("doc_id", "hash")))
+    return keyed.join(smallest.withColumnRenamed("label", "key"), "key", "left").drop("key")
 
 
 def link(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -500,10 +510,12 @@ def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
     # nothing says that empty texts without an id are the same document
     repeated = (F.col("_n") > 1) & ~(F.col("_empty") & F.col("_id").isNull())
     marks = stored(marks.filter(~F.col("_first") | repeated).select("_id", "_hash", "_first"), "marks")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    # the input's columns inside one, where their names meet none of these
+    whole = documents.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
     if marks.filter("_first").isEmpty():
-        return documents.join(marks, same, "left_anti")
-    joined = documents.join(marks, same, "left")
-    at = W.partitionBy("_id", "_hash").orderBy(F.xxhash64(*[F.col(c) for c in documents.columns]))
+        return whole.join(marks, same, "left_anti").select("row.*")
+    joined = whole.join(marks, same, "left")
+    at = W.partitionBy("_id", "_hash").orderBy(F.xxhash64("row"))
     one = joined.filter("_first").withColumn("_row", F.row_number().over(at)).filter("_row = 1")
-    return joined.filter("_first is null").select(*documents.columns).unionByName(one.select(*documents.columns))
+    return joined.filter("_first is null").select("row.*").unionByName(one.select("row.*"))
