@@ -6,11 +6,12 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidings.llm import decontamination, jaccard, pieces, quality_model, secrets  # noqa: E402
-from tidings.llm.common import stored, table  # noqa: E402
+from tidings.llm.common import spare, stored, table  # noqa: E402
 from tidings.session import own_folder  # noqa: E402
 
 # near copies are those of op9: shingles of so many words, so much of them shared
@@ -22,7 +23,8 @@ ORACLE_SQL = None
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_model.score(docs, model, "_quality").filter(f"_quality >= {quality_model.CUT}").drop("_quality")
+    mark = spare("quality_score", docs.columns)
+    return quality_model.score(docs, model, mark).filter(F.col(mark) >= quality_model.CUT).drop(mark)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
