@@ -172,6 +172,28 @@ def test_segmentations(spark):
     assert list(pieces.sample([None], np.array([1]), lattices, 2))[0][0][3] == 0.0
 
 
+def test_pieces_words_and_states():
+    """Words are cut as the pattern says; words of one ending share its states."""
+    word = re.compile(" *[^ \n▁]+| +|\n|▁")
+    texts = ["a  b\n c ▁d▁▁ \n", "", "  ", "é漢 a", "\n", "▁", "x\t y", "a\ud800 b"]
+    words, which, sizes = pieces.cut(texts)
+    cut = [words[i].decode("utf-8", "surrogatepass") for i in which]
+    wanted = [word.findall(" " + t) if t else [] for t in texts]
+    assert cut == [w for text in wanted for w in text] and sizes.tolist() == [len(w) for w in wanted]
+    lattices = pieces.Lattices(pieces.load())
+    list(pieces.sample(["walking"], np.array([1]), lattices, 2))
+    before = lattices.n
+    list(pieces.sample(["talking", "king walking"], np.array([2, 3]), lattices, 2))
+    assert lattices.n == before + 3  # " t", "t" and " king": "alking" and "king" are the ends of the first word
+
+
+def test_pieces_contents():
+    vocabulary = pieces.load()
+    contents, ids = pieces.Contents(vocabulary), np.array([272, 4613, 0, 233, 191, 165], np.int32)
+    assert contents.spell(ids) == b"".join(vocabulary.content[i] for i in ids)
+    assert contents.spell(ids[:0]) == b""
+
+
 def test_jaccard_components(spark):
     draw = np.random.default_rng(2)
     base = [f"v{i}" for i in draw.integers(0, 400, 90)]

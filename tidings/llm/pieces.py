@@ -11,8 +11,10 @@ exactly the k largest of all perturbed segmentations; the next value is the thre
 the inclusion scores follow.
 
 All randomness is a hash of seed, row key, rank and place, so results depend on neither batches nor
-tasks. Lattices are built once per different word (a word never shares a piece with the next one)
-and kept, up to a bounded number of states. Vocabulary pieces that run over the end of a word, if a
+tasks. Lattices are built once per different word (a word never shares a piece with the next one),
+words of one ending share its states, and all are kept up to a bounded number of states: about 80
+bytes each and 120 a word, so some 70 MB a task beside the words of one batch. Endings are told
+apart by 64-bit hashes; `restored` would show a clash. Vocabulary pieces that run over the end of a word, if a
 vocabulary has any, are not used.
 
 Defined results: a null or empty text has one segmentation without pieces; a text with fewer than
@@ -23,7 +25,7 @@ equal samples; an empty table gives no rows. Only the key and the text are read.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,8 +37,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 TOP = 2
 SEED = 17
 MARK = "▁"
-UNIT = re.compile(" *[^ \n▁]+| +|\n|▁")
-STATES = 1_000_000  # kept between batches
+MARK_BYTES = MARK.encode()
+STATES = 600_000  # kept between batches
+LEARN_CHARS = 60_000  # words whose lattices are built together
 STEP = 0x5851F42D4C957F2D
 BATCH_CHARS = 400_000  # texts that are sampled together
 RESULT = "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, restored boolean"
@@ -74,19 +77,62 @@ def load(path: str = MODEL) -> Vocabulary:
         {p: (i, w - total) for p, (i, w) in pieces.items()}, byte_ids, float(worst - total), content, max(map(len, pieces)))
 
 
-def units(text: str) -> list[str]:
-    """A text, with the blank that encoding puts before it, cut where no piece can run across."""
-    return UNIT.findall(" " + text) if text else []
+def cut(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts, each with the blank that encoding puts before it, cut where no piece can run across:
+    the different words (in UTF-8, with the blanks before them), which of them come one after the other, and
+    how many each text has. A line feed or a piece's mark is a word, as are blanks that end a line."""
+    raw = [f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    ends = np.cumsum([len(r) for r in raw])
+    data = b"".join(raw)
+    code = np.frombuffer(data, np.uint8)
+    if not len(code):
+        return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+    blank, alone = code == 32, code == 10
+    begins = np.empty(len(code) + 1, bool)
+    begins[:-1], begins[-1] = alone, True
+    begins[1:] |= alone
+    begins[1:-1] |= blank[1:] & ~blank[:-1]
+    if MARK_BYTES in data:
+        marks = np.array([m.start() for m in re.finditer(MARK_BYTES, data)])
+        begins[marks] = begins[marks + len(MARK_BYTES)] = True
+    begins[0] = True
+    begins[ends] = True
+    places = np.flatnonzero(begins)
+    found = pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data)])
+    found = found.dictionary_encode()
+    words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return words, found.indices.to_numpy(), np.diff(np.searchsorted(places, ends), prepend=0)
 
 
 def decode(ids, vocabulary: Vocabulary) -> str:
-    out = b"".join([vocabulary.content[i] for i in ids])
+    out = b"".join(map(vocabulary.content.__getitem__, ids))
     return out[1:].decode("utf-8", "replace") if out[:1] == b" " else out.decode("utf-8", "replace")
 
 
+def _longer(array: np.ndarray, size: int, used: int) -> np.ndarray:
+    """The first `used` entries in an array with room for `size` and a quarter more."""
+    new = np.empty(size + size // 4, array.dtype)
+    new[:used] = array[:used]
+    return new
+
+
+class Contents:
+    """The bytes of all ids in one array."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.flat = np.frombuffer(b"".join(vocabulary.content), np.uint8)
+        self.size = np.array([len(c) for c in vocabulary.content], np.int32)
+        self.start = np.cumsum(self.size, dtype=np.int32) - self.size
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        stop = np.cumsum(size, dtype=np.int32)
+        return self.flat[np.repeat(self.start[ids] - stop + size, size) + np.arange(int(size.sum()), dtype=np.int32)].tobytes()
+
+
 class Lattices:
     """The lattices of all words seen so far, as flat arrays over states and edges. A state is a
-    place in a word; its edges run from the longest piece to the shortest."""
+    place in a word, known by the rest of the word; its edges run from the longest piece to the shortest."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -101,97 +147,141 @@ class Lattices:
         self.tables = []
         for found in beginnings:
             keys = np.array(sorted(found), np.uint64)
-            self.tables.append((keys, np.array([found[int(k)][0] for k in keys], np.int64), np.array([found[int(k)][1] for k in keys])))
+            self.tables.append((keys, np.array([found[int(k)][0] for k in keys], np.int32), np.array([found[int(k)][1] for k in keys])))
         self.clear()
 
     def clear(self):
-        self.roots: dict[str, int] = {}
+        self.roots: dict[bytes, int] = {}
         self.wide: list[list[int]] = []  # ids of edges that stand for several pieces
         self.n = self.edges = 0
-        self.first = np.zeros(1 << 10, np.int64)  # first edge of every state, one more at the end
+        self.first = np.zeros(1 << 10, np.int32)  # first edge of every state, one more at the end
+        self.after = np.zeros(1 << 10)  # log weight of all ways from every state to the end of its word
+        self.endings, self.ending = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, their states
         self.cum, self.logp = np.zeros(1 << 10), np.zeros(1 << 10)
-        self.next, self.piece = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
-
-    def learn(self, units: list[str]) -> None:
-        """Add the lattices of words that are not known yet, all together."""
-        vocabulary = self.vocabulary
-        lengths = np.array([len(u) for u in units])
-        text = "".join(units)
+        self.next, self.piece = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int32)
+
+    def learn(self, units: list[bytes]) -> None:
+        """Add the lattices of words that are not known yet, many together."""
+        sizes = np.cumsum(list(map(len, units)))
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // LEARN_CHARS)) + 1).tolist(), len(units)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            self._learn(units[a:b])
+
+    def _learn(self, units: list[bytes]) -> None:
+        raw = b"".join(units)
+        text = raw.decode("utf-8", "surrogatepass")
+        if len(text) == len(raw):
+            lengths = np.array(list(map(len, units)))
+        else:
+            lengths = np.array([len(u.decode("utf-8", "surrogatepass")) for u in units])
         points = np.frombuffer(text.replace(" ", MARK).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        points[np.cumsum(lengths)[np.array([u == MARK for u in units])] - 1] = 1 << 21  # a sign of the text, not a blank
-        ends = np.repeat(np.cumsum(lengths), lengths)
-        left = ends - np.arange(len(points))
-        # states in order of the distance to the end of the word
-        order = np.argsort(left, kind="stable")
-        state = np.empty(len(points), np.int64)
-        state[order] = np.arange(len(points))
+        points[np.cumsum(lengths)[np.array([u == MARK_BYTES for u in units])] - 1] = 1 << 21  # a sign of the text, not a blank
+        stops = np.cumsum(lengths)
+        begin = stops - lengths
+        left = np.repeat(stops, lengths) - np.arange(len(points))
+        state, fresh = self._states(points, stops, lengths, left)
+        if len(fresh):
+            self._edges(text, points, left, state, fresh)
+        self.roots.update(zip(units, state[begin].tolist()))
+
+    def _states(self, points, stops, lengths, left):
+        """The state of every place, and a place for each new one, the nearest to an end first."""
+        with np.errstate(over="ignore"):
+            power = np.repeat(np.array([[STEP], [pow(STEP, -1, 1 << 64)]], np.uint64), len(points), axis=1)
+            power[:, 0] = 1
+            power = np.multiply.accumulate(power, axis=1)
+            terms = (points + np.uint64(1)) * power[0]
+            sums = np.cumsum(terms)
+            rest = (np.repeat(sums[stops - 1], lengths) - sums + terms) * power[1]
+            rest = _mix(rest + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        hashes, one, which = np.unique(rest, return_index=True, return_inverse=True)
+        number, at = np.full(len(hashes), -1, np.int64), np.searchsorted(self.endings, hashes)
+        if len(self.endings):
+            place = np.minimum(at, len(self.endings) - 1)
+            number = np.where(self.endings[place] == hashes, self.ending[place], number)
+        new = np.flatnonzero(number < 0)
+        fresh = one[new]
+        distance = left[fresh]
+        # short numbers are sorted by their digits
+        short = len(fresh) and distance.max() < 1 << 16
+        order = np.argsort(distance.astype(np.uint16) if short else distance, kind="stable")
+        number[new[order]] = np.arange(self.n, self.n + len(new))
+        self.endings = np.insert(self.endings, at[new], hashes[new])
+        self.ending = np.insert(self.ending, at[new], number[new].astype(np.int32))
+        return number[which], fresh[order]
+
+    def _edges(self, text: str, points, left, state, fresh) -> None:
+        """The edges of the new states, which begin at the places `fresh`."""
+        vocabulary, n = self.vocabulary, len(fresh)
         found = []
-        at, h = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        at, h = fresh, np.zeros(n, np.uint64)
         with np.errstate(over="ignore"):
-            for n in range(1, vocabulary.longest + 1):
-                h = h * np.uint64(STEP) + points[at + n - 1] + np.uint64(1)
-                keys, ids, weights = self.tables[n]
+            for size in range(1, vocabulary.longest + 1):
+                h = h * np.uint64(STEP) + points[at + size - 1] + np.uint64(1)
+                keys, ids, weights = self.tables[size]
                 place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 hit = keys[place] == h
                 at, h, place = at[hit], h[hit], place[hit]
                 whole = ids[place] >= 0
-                found.append((at[whole], n, ids[place[whole]], weights[place[whole]]))
-                on = left[at] > n
+                found.append((at[whole], size, ids[place[whole]], weights[place[whole]]))
+                on = left[at] > size
                 at, h = at[on], h[on]
                 if not len(at):
                     break
         single = np.zeros(len(points), bool)
         single[found[0][0]] = True
-        spelled, ids, weights = np.flatnonzero(~single), [], []
+        spelled, ids, weights = fresh[~single[fresh]], [], []
         for i in spelled.tolist():
             raw = [vocabulary.byte_ids[b] for b in text[i].encode("utf-8", "surrogatepass")]
             if len(raw) > 1:
                 self.wide.append(raw)
             ids.append(raw[0] if len(raw) == 1 else -len(self.wide))
             weights.append(len(raw) * vocabulary.byte_weight)
-        found.append((spelled, 1, np.array(ids, np.int64), np.array(weights, np.float64)))
+        found.append((spelled, 1, np.array(ids, np.int32), np.array(weights, np.float64)))
         found.sort(key=lambda f: -f[1])
-        at = np.concatenate([f[0] for f in found])
-        size = np.repeat([f[1] for f in found], [len(f[0]) for f in found])
-        sort = np.argsort(state[at], kind="stable")
-        at, size = at[sort], size[sort]
-        piece = np.concatenate([f[2] for f in found])[sort]
-        weight = np.concatenate([f[3] for f in found])[sort]
-        last = left[at] == size
-        follow = np.where(last, -1, state[np.where(last, 0, at + size)])
-        # backward pass: log weight of all ways to the end, the nearest states first
-        counts = np.bincount(state[at], minlength=len(points))
+        # a state has at most one edge of a size, and those of one size are placed together
+        places = [state[f[0]] - self.n for f in found]
+        counts = np.zeros(n, np.int64)
+        for at in places:
+            counts[at] += 1
         stop = np.cumsum(counts)
         start = stop - counts
-        after = np.zeros(len(points) + 1)  # the last entry is the end of a word
-        whole = np.empty(len(at))
-        bounds = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
+        free = start.copy()
+        piece, weight, follow = np.empty(stop[-1], np.int32), np.empty(stop[-1]), np.empty(stop[-1], np.int64)
+        for (at, size, ids, weights), states in zip(found, places):
+            edge = free[states]
+            free[states] = edge + 1
+            piece[edge], weight[edge] = ids, weights
+            last = left[at] == size
+            follow[edge] = np.where(last, -1, state[np.where(last, 0, at + size)])
+        # backward pass: log weight of all ways to the end, the nearest states first
+        if self.n + n > len(self.after):
+            self.after = _longer(self.after, self.n + n, self.n)
+        after = self.after[self.n : self.n + n]
+        whole = np.empty(len(weight))
+        bounds = np.flatnonzero(np.diff(left[fresh], prepend=0, append=0)).tolist()
         for a, b in zip(bounds[:-1], bounds[1:]):
-            if a == b:
-                continue
             e, f = start[a], stop[b - 1]
-            value = weight[e:f] + after[follow[e:f]]
+            value = weight[e:f] + np.where(follow[e:f] < 0, 0.0, self.after[follow[e:f]])
             begin = start[a:b] - e
             top = np.maximum.reduceat(value, begin)
             after[a:b] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts[a:b])), begin))
             whole[e:f] = value
-        logp = np.minimum(whole - np.repeat(after[:-1], counts), 0.0)
+        logp = np.minimum(whole - np.repeat(after, counts), 0.0)
         p = np.exp(logp)
         total = np.cumsum(p)
         inside = total - np.repeat(total[start] - p[start], counts)
         inside[stop - 1] = 1.0
-        self._append(inside, logp, np.where(follow < 0, -1, follow + self.n), piece, stop)
-        begin = np.cumsum(lengths) - lengths
-        self.roots.update(zip(units, (state[begin] + self.n).tolist()))
-        self.n += len(points)
+        self._append(inside, logp, follow, piece, stop)
+        self.n += n
 
     def _append(self, cum, logp, follow, piece, stop):
         m = self.edges + len(cum)
         if m > len(self.cum):
             for name in ("cum", "logp", "next", "piece"):
-                setattr(self, name, np.resize(getattr(self, name), 2 * m))
+                setattr(self, name, _longer(getattr(self, name), m, self.edges))
         if self.n + len(stop) + 1 > len(self.first):
-            self.first = np.resize(self.first, 2 * (self.n + len(stop) + 1))
+            self.first = _longer(self.first, self.n + len(stop) + 1, self.n + 1)
         for array, new in ((self.cum, cum), (self.logp, logp), (self.next, follow), (self.piece, piece)):
             array[self.edges : m] = new
         self.first[self.n + 1 : self.n + 1 + len(stop)] = stop + self.edges
@@ -274,12 +364,14 @@ class Search:
 
     def __init__(self, lattices: Lattices, texts: list[str], keys: np.ndarray, k: int, seed: int):
         self.lattices, self.k = lattices, k
-        cut = [units(t) for t in texts]
-        new = {u for c in cut for u in c} - lattices.roots.keys()
+        words, which, sizes = cut(texts)
+        roots = list(map(lattices.roots.get, words))
+        new = [i for i, root in enumerate(roots) if root is None]
         if new:
-            lattices.learn(sorted(new))
-        self.roots = np.array([r for c in cut for r in map(lattices.roots.__getitem__, c)], np.int64)
-        sizes = np.array([len(c) for c in cut])
+            lattices.learn([words[i] for i in new])
+            for i in new:
+                roots[i] = lattices.roots[words[i]]
+        self.roots = np.array(roots, np.int64)[which]
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.owner = np.repeat(np.arange(len(texts)), sizes)
@@ -373,7 +465,9 @@ class Search:
         stays open. The new head (edges, words, log probability, before) and the next state."""
         value, which, token, excluded = best
         lattices = self.lattices
-        state = int(np.searchsorted(lattices.first[: lattices.n + 1], path.edges[token], side="right")) - 1
+        word = path.words[token]
+        # where the token before it ends, or the word begins
+        state = int(lattices.next[path.edges[token - 1]] if token and path.words[token - 1] == word else self.roots[word])
         edges = np.arange(lattices.first[state], lattices.first[state + 1])
         left = np.array([e for e in edges if int(e) not in excluded])
         p = np.exp(lattices.logp[left])
@@ -407,8 +501,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | str = MODEL, k: int =
         ("perturbed", pa.float64()), ("log_inclusion", pa.float64()), ("restored", pa.bool_()),
     ])
 
+    lattices, contents = Lattices(vocabulary), Contents(vocabulary)
+    # the tables are worked out once; a task needs no dictionary of pieces beside them
+    lattices.vocabulary = bare = replace(vocabulary, pieces={})
+
     def rows(batches):
-        lattices = Lattices(vocabulary)
+        lattices.clear()
 
         def flush(keys, texts):
             if lattices.n > STATES:
@@ -417,8 +515,10 @@ def encode(documents: DataFrame, vocabulary: Vocabulary | str = MODEL, k: int =
             found = sample(texts, np.array([-1 if key is None else key for key in keys], np.int64), lattices, k, seed)
             out, offsets, values = [], [0], []
             for key, text, samples in zip(keys, texts, found):
+                given = f" {text}".encode() if text else b""
                 for rank, (ids, log_prob, value, inclusion) in enumerate(samples, 1):
-                    out.append((key, rank, log_prob, value, inclusion, decode(ids.tolist(), vocabulary) == (text or "")))
+                    restored = contents.spell(ids) == given or decode(ids.tolist(), bare) == (text or "")
+                    out.append((key, rank, log_prob, value, inclusion, restored))
                     values.append(ids)
                     offsets.append(offsets[-1] + len(ids))
             columns = list(zip(*out))
