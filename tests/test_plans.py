@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog.queries import ORACLES, QUERIES
 from tests.helpers import record, records, table
 from tidings.operators import activity, agreement, editions, quality, sightings
-from tidings.sources import history, raw
+from tidings.sources import feeds, history, raw
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +82,11 @@ def test_a_day_is_read_from_its_own_folders(spark, tmp_path):
     day = raw.read_partition(spark, folder, "2026-09-13")
     assert day.inputFiles() and all("/landing=2/date=2026-09-13/" in f for f in day.inputFiles())
     assert "Exchange" not in plan(day) and day.count() == 2
+
+
+def test_items_are_parsed_once(spark):
+    """A filter on what becomes of the items must not be copied into the parser's place."""
+    documents = spark.createDataFrame([], "run_date date, topic string, collected_at timestamp_ntz, content string")
+    kept, _ = feeds.parse_feed(documents)
+    optimized = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_xml(") == 2  # as it is, and repaired
