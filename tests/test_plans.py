@@ -1,8 +1,11 @@
 """Shapes of plans that decide how the operators behave on large tables."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import adapters
 from catalog.queries import ORACLES, QUERIES
 from tests.helpers import record, records, table
 from tidings.operators import activity, agreement, editions, quality, sightings
@@ -90,3 +93,16 @@ def test_items_are_parsed_once(spark):
     kept, _ = feeds.parse_feed(documents)
     optimized = kept._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("from_xml(") == 2  # as it is, and repaired
+
+
+def test_history_keys_are_worked_out_once(spark, tmp_path, monkeypatch):
+    rows = [(i, datetime(2024, 1, 1 + i % 9, 5), i % 7, ["view", "purchase"][i % 2], 1.0, f'{{"k": {i % 13}}}') for i in range(80)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    sf, made, calls = str(tmp_path), adapters.raw_records, []
+    wanted = [adapters.fresh_headlines(spark, sf), adapters.fresh_sentiment(spark, sf)]
+    monkeypatch.setattr(adapters, "raw_records", lambda *given: calls.append(1) or made(*given))
+    stored = history.load_history(spark, adapters.stored_history(spark, sf))
+    assert len(calls) == 1
+    for name, frame in zip(("headlines", "sentiment"), wanted):
+        assert stored[name].count() == frame.count() and not stored[name].exceptAll(frame.select(*stored[name].columns)).count()
