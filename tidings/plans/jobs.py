@@ -186,7 +186,8 @@ def run_day(
 
 def without_document(run_dates: DataFrame, documents_: DataFrame, topics=TOPICS) -> DataFrame:
     """(run_date, ord, topic): configured topics that have no landed document on a run date. A
-    document without items counts as landed."""
+    document without items counts as landed. `documents_` may be their items instead, of which such
+    a document has a row as well."""
     named = [
         F.struct(F.lit(i).alias("ord"), F.lit(t.label).alias("topic"))
         for i, t in enumerate(topic_list(topics))
@@ -214,11 +215,11 @@ def run_feed_day(
     day = F.to_date(F.lit(str(run_date)))
     given = documents_.filter(F.col("run_date") == day)
     wanted = spark.range(1).select(day.alias("run_date"))
-    failed = [r["topic"] for r in without_document(wanted, given, topics).orderBy("ord").collect()]
-    if len(failed) == len(topic_list(topics)):
-        raise RuntimeError(f"no topic has a feed document for {run_date}")
     with scratch(spark) as store:
         items = store(feeds.read_items(given, feeds.daily_window(), order))  # counted and landed
+        failed = [r["topic"] for r in without_document(wanted, items, topics).orderBy("ord").collect()]
+        if len(failed) == len(topic_list(topics)):
+            raise RuntimeError(f"no topic has a feed document for {run_date}")
         return run_day(
             spark, paths, run_date, now=now, models=models, registry=registry, topics=topics,
             collected=feeds.feed_records(items, position=[*order, "position"], limit=limit),
@@ -272,13 +273,13 @@ def run_backfill(
     covered = [str(r["run_date"]) for r in span]
     missing = [str(r["run_date"]) for r in span if not r["known"]]
     open_dates = spark.createDataFrame([(r["run_date"],) for r in span if not r["known"]], "run_date date")
-    # at most one line per missing date and configured topic
-    failed = [
-        f"{r['topic']} ({r['run_date']})"
-        for r in without_document(open_dates, documents_, topics).orderBy("run_date", "ord").collect()
-    ]
     with scratch(spark) as store:
         items = store(_backfill_items(documents_, open_dates, order))  # counted and landed
+        # at most one line per missing date and configured topic
+        failed = [
+            f"{r['topic']} ({r['run_date']})"
+            for r in without_document(open_dates, items, topics).orderBy("run_date", "ord").collect()
+        ]
         dropped = _low_quality(items)
         written = raw.write_partitions(spark, paths.raw, _backfilled(items, limit, order))
         per_day = written.groupBy("date").agg(F.sum("n").alias("n"))
