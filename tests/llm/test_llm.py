@@ -217,6 +217,30 @@ def test_jaccard_components(spark):
     assert jaccard.one_of_each(docs(spark, texts)).count() == len(set(label))
 
 
+def test_pieces_beginnings_are_found():
+    random = np.random.default_rng(5)
+    for n in (0, 1, 3, 700):
+        held = {int(h): (int(h) % 7 - 1, float(i)) for i, h in enumerate(random.integers(1, 1 << 64, n, np.uint64))}
+        table = pieces.Beginnings(held)
+        asked = np.concatenate([np.array([0], np.uint64), np.array(list(held), np.uint64), random.integers(0, 1 << 64, 3000, np.uint64)])
+        hit, place = table.find(asked)
+        assert hit.tolist() == [int(h) in held for h in asked]
+        assert [(int(table.ids[p]), float(table.weights[p])) for p in place] == [held[int(h)] for h in asked[hit]]
+
+
+def test_pieces_roots_of_words_of_any_bytes():
+    vocabulary = pieces.load()
+    words = ["the", " caf\u00e9", "\n", "\u4e2d\u6587", " \U0001f600x", "\ud800y", " the", "z"]
+    units = [w.encode("utf-8", "surrogatepass") for w in words]
+    together, roots = pieces.Lattices(vocabulary), []
+    found = together.learn(units)
+    assert found.tolist() == [together.roots[u] for u in units]
+    for unit, root in zip(units, found):
+        alone = pieces.Lattices(vocabulary)
+        [own] = alone.learn([unit])
+        assert abs(alone.after[own] - together.after[root]) < 1e-12
+
+
 def test_jaccard_with_other_words_and_percent(spark):
     base = [f"w{i}" for i in range(120)]
     # shared of all: 4 words 117/127 and 117/139, 5 words 116/126 and 116/138

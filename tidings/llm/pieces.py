@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -120,14 +121,47 @@ class Contents:
     """The bytes of all ids in one array."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.flat = np.frombuffer(b"".join(vocabulary.content), np.uint8)
-        self.size = np.array([len(c) for c in vocabulary.content], np.int32)
-        self.start = np.cumsum(self.size, dtype=np.int32) - self.size
+        self.array = pa.array(vocabulary.content, pa.binary())
 
     def spell(self, ids: np.ndarray) -> bytes:
-        size = self.size[ids]
-        stop = np.cumsum(size, dtype=np.int32)
-        return self.flat[np.repeat(self.start[ids] - stop + size, size) + np.arange(int(size.sum()), dtype=np.int32)].tobytes()
+        taken = self.array.take(pa.array(ids))
+        ends = np.frombuffer(taken.buffers()[1], np.int32)
+        return taken.buffers()[2].to_pybytes()[: ends[len(ids)]] if len(ids) else b""
+
+
+class Beginnings:
+    """The hashes of all beginnings of pieces that have one length, with id (or -1) and weight, found
+    by their upper bits in a table at most a quarter full."""
+
+    def __init__(self, found: dict[int, tuple[int, float]]):
+        self.keys = np.array([*found, 0], np.uint64)  # a hash that is not there meets the last one
+        self.ids = np.array([i for i, _ in found.values()], np.int32)
+        self.weights = np.array([w for _, w in found.values()])
+        bits = max(len(found), 1).bit_length() + 2
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        for i, slot in enumerate(self._slot(self.keys[:-1]).tolist()):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) & self.mask
+            self.slots[slot] = i
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((h * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of `h` are there, and the places of those."""
+        slot = self._slot(h)
+        place = self.slots[slot]
+        hit = (self.keys[place] == h) & (place >= 0)
+        other = np.flatnonzero(~hit & (place >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & self.mask
+            place[other] = self.slots[slot[other]]
+            there = place[other] >= 0
+            hit[other] = there & (self.keys[place[other]] == h[other])
+            other = other[there & ~hit[other]]
+        return hit, place[hit]
 
 
 class Lattices:
@@ -144,10 +178,7 @@ class Lattices:
                 h = (h * STEP + ord(c) + 1) % (1 << 64)
                 beginnings[n].setdefault(h, (-1, 0.0))
             beginnings[len(piece)][h] = (i, weight)
-        self.tables = []
-        for found in beginnings:
-            keys = np.array(sorted(found), np.uint64)
-            self.tables.append((keys, np.array([found[int(k)][0] for k in keys], np.int32), np.array([found[int(k)][1] for k in keys])))
+        self.tables = [Beginnings(found) for found in beginnings]
         self.clear()
 
     def clear(self):
@@ -160,20 +191,19 @@ class Lattices:
         self.cum, self.logp = np.zeros(1 << 10), np.zeros(1 << 10)
         self.next, self.piece = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int32)
 
-    def learn(self, units: list[bytes]) -> None:
-        """Add the lattices of words that are not known yet, many together."""
+    def learn(self, units: list[bytes]) -> np.ndarray:
+        """Add the lattices of words that are not known yet, many together; gives their roots."""
         sizes = np.cumsum(list(map(len, units)))
         cuts = [0, *(np.flatnonzero(np.diff(sizes // LEARN_CHARS)) + 1).tolist(), len(units)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            self._learn(units[a:b])
+        return np.concatenate([self._learn(units[a:b], np.diff(sizes[a:b], prepend=sizes[a - 1] if a else 0)) for a, b in zip(cuts[:-1], cuts[1:])])
 
-    def _learn(self, units: list[bytes]) -> None:
+    def _learn(self, units: list[bytes], lengths: np.ndarray) -> np.ndarray:
         raw = b"".join(units)
         text = raw.decode("utf-8", "surrogatepass")
-        if len(text) == len(raw):
-            lengths = np.array(list(map(len, units)))
-        else:
-            lengths = np.array([len(u.decode("utf-8", "surrogatepass")) for u in units])
+        if len(text) < len(raw):
+            # a character has one byte that continues no other
+            begins = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+            lengths = np.add.reduceat(begins, np.cumsum(lengths) - lengths, dtype=np.int64)
         points = np.frombuffer(text.replace(" ", MARK).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         points[np.cumsum(lengths)[np.array([u == MARK_BYTES for u in units])] - 1] = 1 << 21  # a sign of the text, not a blank
         stops = np.cumsum(lengths)
@@ -182,7 +212,9 @@ class Lattices:
         state, fresh = self._states(points, stops, lengths, left)
         if len(fresh):
             self._edges(text, points, left, state, fresh)
-        self.roots.update(zip(units, state[begin].tolist()))
+        roots = state[begin]
+        self.roots.update(zip(units, roots.tolist()))
+        return roots
 
     def _states(self, points, stops, lengths, left):
         """The state of every place, and a place for each new one, the nearest to an end first."""
@@ -218,12 +250,11 @@ class Lattices:
         with np.errstate(over="ignore"):
             for size in range(1, vocabulary.longest + 1):
                 h = h * np.uint64(STEP) + points[at + size - 1] + np.uint64(1)
-                keys, ids, weights = self.tables[size]
-                place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = keys[place] == h
-                at, h, place = at[hit], h[hit], place[hit]
-                whole = ids[place] >= 0
-                found.append((at[whole], size, ids[place[whole]], weights[place[whole]]))
+                table = self.tables[size]
+                hit, place = table.find(h)
+                at, h = at[hit], h[hit]
+                whole = table.ids[place] >= 0
+                found.append((at[whole], size, table.ids[place[whole]], table.weights[place[whole]]))
                 on = left[at] > size
                 at, h = at[on], h[on]
                 if not len(at):
@@ -365,13 +396,11 @@ class Search:
     def __init__(self, lattices: Lattices, texts: list[str], keys: np.ndarray, k: int, seed: int):
         self.lattices, self.k = lattices, k
         words, which, sizes = cut(texts)
-        roots = list(map(lattices.roots.get, words))
-        new = [i for i, root in enumerate(roots) if root is None]
-        if new:
-            lattices.learn([words[i] for i in new])
-            for i in new:
-                roots[i] = lattices.roots[words[i]]
-        self.roots = np.array(roots, np.int64)[which]
+        roots = np.fromiter(map(lattices.roots.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(roots < 0)
+        if len(new):
+            roots[new] = lattices.learn(list(map(words.__getitem__, new.tolist())))
+        self.roots = roots[which]
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.owner = np.repeat(np.arange(len(texts)), sizes)
@@ -416,12 +445,13 @@ class Search:
             cut = np.searchsorted(owner, np.arange(n + 1))
             total = np.concatenate([[0.0], np.cumsum(logp)])
             head = np.array([h[2] for h in heads])
-            before = total[:-1] - total[cut[owner]] + head[owner]
+            count = np.diff(cut)
+            before = total[:-1] - np.repeat(total[cut[:-1]], count) + np.repeat(head, count)
             with np.errstate(divide="ignore"):
                 rest = before + np.log(np.maximum(-np.expm1(np.minimum(logp, 0.0)), 0.0))
-                place = np.arange(len(edges)) - cut[owner]
-                noise = gumbel(self.keys[owner], (place + np.array([len(h[0]) for h in heads])[owner]) * 8 + rank, 1 << 41)
-                part = truncated(rest, values[owner], noise)
+                place = np.arange(len(edges)) - np.repeat(cut[:-1] - np.array([len(h[0]) for h in heads]), count)
+                noise = gumbel(np.repeat(self.keys, count), place * 8 + rank, 1 << 41)
+                part = rest + noise  # below one ceiling the order stays
             for d in active:
                 a, b = cut[d], cut[d + 1]
                 end = float(total[b] - total[a] + heads[d][2])
@@ -433,49 +463,46 @@ class Search:
                     i = int(mine.argmax())
                     if mine[i] == -np.inf:
                         break
-                    open_[d].append((float(mine[i]), len(paths[d]) - 1, shift + i, frozenset([int(path.edges[shift + i])])))
+                    reached = float(truncated(mine[i], path.value, 0.0))
+                    open_[d].append((reached, len(paths[d]) - 1, shift + i, frozenset([int(path.edges[shift + i])])))
                     mine[i] = -np.inf
             if rank == self.k:
                 break
             heads = [(np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0)] * n
-            still, words_, states_ = [], [], []
-            for d in active:
-                if not open_[d]:
-                    continue
-                best = max(open_[d])
+            words_, states_ = [], []
+            active = [d for d in active if open_[d]]
+            chosen = [max(open_[d]) for d in active]
+            keys, token = self.keys[active], np.array([best[2] for best in chosen], np.int64) * 8 + rank + 1
+            drawn, noise = uniform(keys, token, 1 << 42).tolist(), gumbel(keys, token, 1 << 43).tolist()
+            for d, best, u, noise_ in zip(active, chosen, drawn, noise):
                 open_[d].remove(best)
                 values[d] = best[0]
-                heads[d], begin = self._turn(d, paths[d][best[1]], best, open_[d], rank + 1)
-                still.append(d)
+                heads[d], begin = self._turn(paths[d][best[1]], best, open_[d], u, noise_)
                 word = int(heads[d][1][-1])
                 if begin >= 0:
                     words_.append(np.array([word]))
                     states_.append(np.array([begin]))
                 words_.append(np.arange(word + 1, self.ends[d]))
                 states_.append(self.roots[word + 1 : self.ends[d]])
-            if not still:
+            if not active:
                 break
-            active = still
             words = np.concatenate(words_).astype(np.int64)
             states = np.concatenate(states_).astype(np.int64)
         return [(p, max(o)[0] if o else -np.inf) for p, o in zip(paths, open_)]
 
-    def _turn(self, d: int, path: Path, best, rest: list, rank: int):
-        """Leave `path` at a token by an edge that is not excluded; what still is not taken there
-        stays open. The new head (edges, words, log probability, before) and the next state."""
+    def _turn(self, path: Path, best, rest: list, u: float, noise: float):
+        """Leave `path` at a token by an edge that is not excluded, drawn by `u`; what still is not
+        taken there stays open, with `noise`. The new head (edges, words, log probability, before) and the next state."""
         value, which, token, excluded = best
         lattices = self.lattices
         word = path.words[token]
         # where the token before it ends, or the word begins
         state = int(lattices.next[path.edges[token - 1]] if token and path.words[token - 1] == word else self.roots[word])
-        edges = np.arange(lattices.first[state], lattices.first[state + 1])
-        left = np.array([e for e in edges if int(e) not in excluded])
+        left = np.array([e for e in range(lattices.first[state], lattices.first[state + 1]) if e not in excluded])
         p = np.exp(lattices.logp[left])
-        u = float(uniform(self.keys[d], token * 8 + rank, 1 << 42))
         new = int(left[min(int(np.searchsorted(np.cumsum(p) / p.sum(), u, side="right")), len(left) - 1)])
         mass = float(p.sum() - np.exp(lattices.logp[new]))
         if len(left) > 1 and mass > 0:
-            noise = float(gumbel(self.keys[d], token * 8 + rank, 1 << 43))
             again = float(truncated(path.before[token] + np.log(mass), value, noise))
             rest.append((again, which, token, excluded | {new}))
         head = (
